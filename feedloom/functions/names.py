@@ -14,6 +14,8 @@ SNAPSHOT_NAME_WITH_AGENCY = r"^gtfs_rt_(trip_updates|vehicle_positions)_(.+?)_(\
 SNAPSHOT_NAME_PLAIN = r"^gtfs_rt_(trip_updates|vehicle_positions)_(\d{8}_\d{6})\.json$"
 # Fixed value: route is the third underscore-separated field of a trip id.
 ROUTE_IN_TRIP_ID = r"^[^_]+_[^_]+_([^_]+)"
+# What in a member path tells its feed, first match wins.
+FEED_MARKS = {"trip_update": "trip_updates", "vehicle_position": "vehicle_positions"}
 # Authority and path of a URL, after RFC 3986 appendix B.
 _URL = r"^(?:[^:/?#]+:)?(?://([^/?#]*))?([^?#]*)"
 
@@ -99,9 +101,7 @@ def artifact_name(kind: Column, feed_type: Column, label: Column, stamp: Column)
 
 def classify_feed(member_name: Column) -> Column:
     """Feed type by substring of the full member path; null means the member is dropped."""
-    return F.when(member_name.contains("trip_update"), F.lit("trip_updates")).when(
-        member_name.contains("vehicle_position"), F.lit("vehicle_positions")
-    )
+    return F.coalesce(*[F.when(member_name.contains(mark), F.lit(feed)) for mark, feed in FEED_MARKS.items()])
 
 
 def agency_from_feed_name(feed_name: Column) -> Column:

@@ -77,14 +77,16 @@ def _entity_position(entity: Column) -> Column:
 
 def _items(doc: Column, flat_field: str, flat: callable, entity_field: str, from_entity: callable) -> Column:
     entities = F.filter(doc["entity"], lambda e: e[entity_field].isNotNull())
-    return F.when(doc[flat_field].isNotNull(), F.transform(doc[flat_field], flat)).otherwise(
-        F.transform(entities, from_entity)
-    )
+    listed = doc[flat_field]
+    if flat_field == "vehicle_positions":
+        listed = F.filter(listed, lambda v: v.isNotNull())
+    return F.when(doc[flat_field].isNotNull(), F.transform(listed, flat)).otherwise(F.transform(entities, from_entity))
 
 
 def _exploded(docs: DataFrame, feed_type: str, items: Column) -> DataFrame:
-    usable = docs.where((F.col("status") == "ok") & (F.col("feed_type") == feed_type))
-    return usable.select(*_DOCUMENT_COLUMNS, F.explode(items).alias("it"))
+    # Not a filter: pushed below the parse, it would parse every document a second time.
+    usable = F.when((F.col("status") == "ok") & (F.col("feed_type") == feed_type), items)
+    return docs.select(*_DOCUMENT_COLUMNS, F.explode(usable).alias("it"))
 
 
 def flatten_trip_updates(docs: DataFrame) -> DataFrame:

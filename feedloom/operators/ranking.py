@@ -57,10 +57,10 @@ def _cut(df: DataFrame, levels: Sequence[Level], start: int, stop: int) -> tuple
 
 
 def _iso_text(ts: Column) -> Column:
-    """Wall clock as sortable text with six fraction digits, empty for null (which sorts first)."""
+    """Wall clock as sortable text of fixed width, blank for null (which sorts first)."""
     text = ts.cast("timestamp_ntz").cast("string")
     dotted = F.when(F.length(text) == 19, F.concat(text, F.lit("."))).otherwise(text)
-    return F.coalesce(F.rpad(dotted, 26, "0"), F.lit(""))
+    return F.coalesce(F.rpad(dotted, 26, "0"), F.lit(" " * 26))
 
 
 def _time_level(ts: Column, length: int, rest: str, unit: str) -> Level:
@@ -68,7 +68,7 @@ def _time_level(ts: Column, length: int, rest: str, unit: str) -> Level:
     bucket = F.substring(_iso_text(ts), 1, length)
 
     def within(low: str, high: str) -> Column:
-        if low == "":
+        if not low.strip():
             return bucket.between(F.lit(low), F.lit(high))
         begin, end = (F.lit(b + rest).cast("timestamp_ntz") for b in (low, high))
         return (ts >= begin) & (ts < end + F.expr(f"interval 1 {unit}"))

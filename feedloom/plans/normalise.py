@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.operators.filters import agency_filter, feed_filter, feed_types
+from feedloom.operators.filters import agency_filter, feed_types
 from feedloom.operators.flatten import flatten
 from feedloom.operators.headway import headway_by_route, headway_stats
 from feedloom.operators.reports import document_log, ingest_report
@@ -47,7 +47,7 @@ def normalise_folder(
 
 def archive_documents(spark: SparkSession, base: str, pattern: str = "*.tar*", selection: str = "both", **quirks) -> DataFrame:
     """Parsed members of all archives; all archives are read before anything is written."""
-    return documents_from_members(feed_filter(read_archives(spark, base, pattern), selection), **quirks)
+    return documents_from_members(read_archives(spark, base, pattern, selection), **quirks)
 
 
 def normalise_archives(

@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.functions.names import classify_feed
+from feedloom.functions.names import FEED_MARKS, classify_feed
+from feedloom.operators.filters import feed_types
 from feedloom.sources.files import list_files, open_filesystem
 
 _INDEX = "archive STRING, member STRING, offset BIGINT, size BIGINT"
@@ -25,10 +26,6 @@ def _wanted(member) -> bool:
     return member.isfile() and member.name.endswith(".json")
 
 
-def _relevant(name: str) -> bool:
-    return "trip_update" in name or "vehicle_position" in name
-
-
 def _is_compressed(path):
     return path.rlike(r"(?i)\.(tgz|tbz2?|txz|gz|bz2|xz)$")
 
@@ -89,7 +86,8 @@ def _stream_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 ):
                     for member in tar:
                         tar.members = []
-                        if not (_wanted(member) and _relevant(member.name)):
+                        # Members of no feed are passed over without being read.
+                        if not _wanted(member) or not any(mark in member.name for mark in FEED_MARKS):
                             continue
                         content = tar.extractfile(member).read()
                         rows.append((path, member.name, content))
@@ -109,18 +107,20 @@ def archive_index(spark: SparkSession, base: str, pattern: str = "*.tar*") -> Da
     return plain.mapInPandas(_index_members, _INDEX).withColumn("feed_type", classify_feed(F.col("member")))
 
 
-def read_archives(spark: SparkSession, base: str, pattern: str = "*.tar*") -> DataFrame:
-    """(archive, member, feed_type, content) of every member that belongs to a feed.
+def read_archives(spark: SparkSession, base: str, pattern: str = "*.tar*", selection: str = "both") -> DataFrame:
+    """(archive, member, feed_type, content) of every member that belongs to a selected feed.
 
-    The feed is decided from the member path before any content is read.
+    The feed is decided from the member path; contents of other members are not read from
+    plain archives.
     """
-    index = archive_index(spark, base, pattern).where("feed_type is not null")
+    wanted = classify_feed(F.col("member")).isin(*feed_types(selection))
+    index = archive_index(spark, base, pattern).where(wanted)
     spread = index.select("archive", "member", "offset", "size").repartition("archive", "member", "offset")
     plain = spread.mapInPandas(_read_members, _MEMBERS)
 
     packed_paths = list_files(spark, base, pattern).where(_is_compressed(F.col("path"))).select("path")
     # Parsing costs more than inflating, so the members of one archive are spread out for it.
-    packed = packed_paths.mapInPandas(_stream_members, _MEMBERS).repartition("archive", "member")
+    packed = packed_paths.mapInPandas(_stream_members, _MEMBERS).where(wanted).repartition("archive", "member")
 
     return plain.unionByName(packed).select(
         "archive", "member", classify_feed(F.col("member")).alias("feed_type"), F.col("content").cast("string").alias("content")

@@ -17,8 +17,8 @@ def split_groups(rows: DataFrame, keys: Sequence[str], rows_per_part: int = ITEM
     """Add ``part``: 0 for groups of at most ``rows_per_part`` rows, else a salt.
 
     Only oversized groups are looked up, so the joined side has at most one row per
-    ``rows_per_part`` input rows. Copies of a row spread too: the salt is drawn per row,
-    repeatably for a given input partition.
+    ``rows_per_part`` input rows. Copies of a row spread too: the salt is drawn per row, and
+    before the join, so that a repeated task draws the same ones.
     """
     oversized = (
         rows.groupBy(*keys)
@@ -26,9 +26,9 @@ def split_groups(rows: DataFrame, keys: Sequence[str], rows_per_part: int = ITEM
         .where(F.col("_n") > rows_per_part)
         .select(*keys, F.ceil(F.col("_n") / rows_per_part).cast("int").alias("_parts"))
     )
-    salt = F.floor(F.rand(7) * F.col("_parts")).cast("int")
-    salted = rows.join(oversized, list(keys), "left")
-    return salted.withColumn("part", F.coalesce(salt, F.lit(0))).drop("_parts")
+    drawn = rows.withColumn("_draw", F.rand(7)).join(oversized, list(keys), "left")
+    part = F.floor(F.col("_draw") * F.col("_parts")).cast("int")
+    return drawn.withColumn("part", F.coalesce(part, F.lit(0))).drop("_parts", "_draw")
 
 
 def snapshot_documents(

@@ -32,20 +32,26 @@ _POSITION = "STRUCT<latitude: STRING, longitude: STRING, bearing: STRING, speed:
 _FLAT_VEHICLE = f"STRUCT<vehicle_id: STRING, vehicle: {_VEHICLE}, id: STRING, label: STRING, license_plate: STRING>"
 _FLAT_TRIP_FIELDS = "trip_id: STRING, route_id: STRING, direction_id: STRING, start_time: STRING, start_date: STRING"
 
-DOCUMENT = f"""
-    feed_type STRING, timestamp STRING, gtfs_realtime_version STRING, feed_url STRING, feed_name STRING,
-    header STRUCT<gtfs_realtime_version: STRING, timestamp: STRING>,
-    entity ARRAY<STRUCT<
+ENTITY = f"""STRUCT<
         id: STRING,
         trip_update: STRUCT<trip: {_TRIP}, vehicle: {_VEHICLE}, timestamp: STRING, delay: STRING>,
         vehicle: STRUCT<id: STRING, vehicle: {_VEHICLE}, trip: {_TRIP}, position: {_POSITION},
-            current_stop_sequence: STRING, current_status: STRING, timestamp: STRING>>>,
-    trip_updates ARRAY<STRUCT<{_FLAT_TRIP_FIELDS}, vehicle_id: STRING, vehicle: {_VEHICLE},
-        timestamp: STRING, delay: STRING>>,
-    vehicle_positions ARRAY<STRUCT<vehicle_id: STRING, id: STRING, vehicle: {_FLAT_VEHICLE}, trip: {_TRIP},
+            current_stop_sequence: STRING, current_status: STRING, timestamp: STRING>>"""
+FLAT_TRIP_UPDATE = f"""STRUCT<{_FLAT_TRIP_FIELDS}, vehicle_id: STRING, vehicle: {_VEHICLE},
+        timestamp: STRING, delay: STRING>"""
+FLAT_POSITION = f"""STRUCT<vehicle_id: STRING, id: STRING, vehicle: {_FLAT_VEHICLE}, trip: {_TRIP},
         {_FLAT_TRIP_FIELDS}, current_stop_sequence: STRING, current_status: STRING,
-        timestamp: STRING, position: {_POSITION}>>,
+        timestamp: STRING, position: {_POSITION}>"""
+
+ITEM_TYPES = {"entity": ENTITY, "trip_updates": FLAT_TRIP_UPDATE, "vehicle_positions": FLAT_POSITION}
+
+DOCUMENT = f"""
+    feed_type STRING, timestamp STRING, gtfs_realtime_version STRING, feed_url STRING, feed_name STRING,
+    header STRUCT<gtfs_realtime_version: STRING, timestamp: STRING>,
+    {", ".join(f"{name} ARRAY<{item}>" for name, item in ITEM_TYPES.items())},
     _corrupt_record STRING
 """
+# The same lists with unread items.
+DOCUMENT_ITEMS = ", ".join(f"{name} ARRAY<STRING>" for name in ITEM_TYPES)
 
 STATIC_DOCUMENT = "feed_url STRING, feed_name STRING, timestamp STRING, tables MAP<STRING, ARRAY<MAP<STRING, STRING>>>"

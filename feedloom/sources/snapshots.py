@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from feedloom.functions.names import (
 )
 from feedloom.functions.clock import date_str
 from feedloom.operators.documents import document_time, infer_agency
-from feedloom.sources.schemas import DOCUMENT
+from feedloom.sources.schemas import DOCUMENT, DOCUMENT_ITEMS, ITEM_TYPES
 
 
 def snapshot_glob(feed_type: str) -> str:
@@ -47,8 +49,19 @@ def stream_snapshot_files(spark: SparkSession, base: str, feed_type: str, files_
     )
 
 
-def _parsed(content: Column) -> Column:
-    return F.from_json(content, DOCUMENT, {"columnNameOfCorruptRecord": "_corrupt_record"})
+def _parsed(files: DataFrame) -> DataFrame:
+    """Add ``doc``. A list with an item of the wrong kind is read again item by item, so that
+    it loses that item only; all other documents are parsed once."""
+    parsed = files.withColumn("doc", F.from_json("content", DOCUMENT, {"columnNameOfCorruptRecord": "_corrupt_record"}))
+    doc, loose = F.col("doc"), F.from_json("content", DOCUMENT_ITEMS)
+    repaired = doc
+    for name, item in ITEM_TYPES.items():
+        repaired = repaired.withField(name, F.coalesce(doc[name], F.transform(loose[name], _item_reader(item))))
+    return parsed.withColumn("doc", F.when(doc["_corrupt_record"].isNotNull(), repaired).otherwise(doc))
+
+
+def _item_reader(item_type: str) -> Callable[[Column], Column]:
+    return lambda text: F.when(text.startswith("{"), F.from_json(text, item_type))
 
 
 def _well_formed(doc: Column) -> Column:
@@ -71,9 +84,7 @@ def documents_from_names(files: DataFrame, first_entity_only: bool = False) -> D
 
     Adds ``status``: ``ok``, ``bad_name`` or ``bad_json``; only ``ok`` documents yield rows.
     """
-    named = files.select(
-        "*", filename_parts(F.col("snapshot_filename")).alias("_parts"), _parsed(F.col("content")).alias("doc")
-    )
+    named = _parsed(files).withColumn("_parts", filename_parts(F.col("snapshot_filename")))
     docs = named.select(
         "snapshot_filename",
         F.col("_parts.feed_type").alias("feed_type"),
@@ -98,8 +109,7 @@ def documents_from_members(
     Input has ``member``, ``feed_type`` and ``content``. ``snapshot_filename`` becomes the
     canonical name. ``utc_as_jst`` keeps the UTC clock reading as if it were local.
     """
-    parsed = members.withColumn("doc", _parsed(F.col("content")))
-    timed = parsed.withColumn(
+    timed = _parsed(members).withColumn(
         "snapshot_ts_jst", document_time(F.col("doc"), F.col("feed_type"), utc_as_jst)
     ).withColumn("_feed_agency", agency_from_feed_name(F.col("doc.feed_name")))
     docs = timed.select(

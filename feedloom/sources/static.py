@@ -29,22 +29,26 @@ def _table_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     columns = ["archive", "table", "line_no", "row", "problem"]
 
+    def records(bundle, table: str):
+        with bundle.open(f"{table}.txt") as member:
+            text = io.TextIOWrapper(member, encoding="utf-8-sig", newline="")
+            for line_no, record in enumerate(csv.DictReader(text, strict=True), start=1):
+                if None in record:
+                    raise ValueError(f"line {line_no} has more fields than the header")
+                yield line_no, {k: v or None for k, v in record.items()}
+
     def bundle_rows(path: str):
         filesystem, target = open_filesystem(path)
         with filesystem.open_input_file(target) as raw, zipfile.ZipFile(raw) as bundle:
-            present = set(bundle.namelist())
-            for table in STATIC_TABLES:
-                if f"{table}.txt" not in present:
-                    continue
+            for table in [t for t in STATIC_TABLES if f"{t}.txt" in bundle.namelist()]:
                 try:
-                    with bundle.open(f"{table}.txt") as member:
-                        text = io.TextIOWrapper(member, encoding="utf-8-sig", newline="")
-                        for line_no, record in enumerate(csv.DictReader(text, strict=True), start=1):
-                            if None in record:
-                                raise ValueError(f"line {line_no} has more fields than the header")
-                            yield (path, table, line_no, {k: v or None for k, v in record.items()}, None)
+                    for _ in records(bundle, table):
+                        pass  # a table that breaks off later must not have given rows before
                 except Exception as error:  # noqa: BLE001 - a bad table is reported, the others are read
                     yield (path, table, None, None, str(error))
+                    continue
+                for line_no, row in records(bundle, table):
+                    yield (path, table, line_no, row, None)
 
     for batch in batches:
         for path in batch["path"]:
@@ -64,8 +68,7 @@ def _table_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def read_static_bundles(spark: SparkSession, base: str, pattern: str = "*.zip") -> DataFrame:
     """(archive, table, line_no, row, problem): the rows of the seven schedule tables of each bundle.
 
-    A table that cannot be read to its end is reported once in ``problem``; use
-    ``static_table`` to get the rows of the good ones.
+    A table that cannot be read to its end is skipped and reported once in ``problem``.
     """
     paths = list_files(spark, base, pattern).select("path")
     rows = paths.mapInPandas(_table_rows, _ROWS)
@@ -73,9 +76,7 @@ def read_static_bundles(spark: SparkSession, base: str, pattern: str = "*.zip")
 
 
 def good_rows(rows: DataFrame) -> DataFrame:
-    """Rows of tables without a problem: a table that failed midway is skipped whole."""
-    bad = rows.where("problem is not null").select("archive", "table").distinct()
-    return rows.where("problem is null").join(bad, ["archive", "table"], "left_anti").drop("problem")
+    return rows.where("problem is null").drop("problem")
 
 
 def static_table(rows: DataFrame, table: str, columns: list[str]) -> DataFrame:
