@@ -46,8 +46,10 @@ def _index_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         if len(found) >= 10000:
                             yield pd.DataFrame(found, columns=["archive", "member", "offset", "size"])
                             found = []
-            except (tarfile.TarError, OSError):
-                pass  # a damaged archive keeps what was readable and does not stop the others
+            except (tarfile.TarError, EOFError, ValueError):
+                # A damaged archive keeps what was readable and does not stop the others.
+                # Storage errors (OSError) are left to Spark's task retry.
+                pass
             if found:
                 yield pd.DataFrame(found, columns=["archive", "member", "offset", "size"])
 
@@ -72,6 +74,7 @@ def _read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _stream_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import lzma
     import tarfile
     import zlib
 
@@ -95,7 +98,7 @@ def _stream_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         if held >= _BATCH_BYTES:
                             yield pd.DataFrame(rows, columns=["archive", "member", "content"])
                             rows, held = [], 0
-            except (tarfile.TarError, OSError, EOFError, zlib.error):
+            except (tarfile.TarError, EOFError, ValueError, zlib.error, lzma.LZMAError):
                 pass
             if rows:
                 yield pd.DataFrame(rows, columns=["archive", "member", "content"])

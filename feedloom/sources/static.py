@@ -44,6 +44,8 @@ def _table_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 try:
                     for _ in records(bundle, table):
                         pass  # a table that breaks off later must not have given rows before
+                except OSError:
+                    raise  # storage trouble is not a bad table: let Spark run the task again
                 except Exception as error:  # noqa: BLE001 - a bad table is reported, the others are read
                     yield (path, table, None, None, str(error))
                     continue
@@ -59,7 +61,7 @@ def _table_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     if len(rows) >= _BATCH_ROWS:
                         yield pd.DataFrame(rows, columns=columns)
                         rows = []
-            except (zipfile.BadZipFile, OSError) as error:
+            except (zipfile.BadZipFile, ValueError) as error:
                 rows.append((path, None, None, None, str(error)))
             if rows:
                 yield pd.DataFrame(rows, columns=columns)
