@@ -6,129 +6,127 @@ without rows disappear at the explode; the fixed projection gives the empty tabl
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.names import blank_to_null
 from feedloom.operators.documents import all_fields_null
 
-_TRIP_FIELDS = ("trip_id", "route_id", "direction_id", "start_time", "start_date")
 _DOCUMENT_COLUMNS = ("snapshot_filename", "snapshot_ts_jst", "date_str_jst", "agency")
+# The lists an item can come from: expected or loose reading, flat or entity encoding.
+_LISTS = ("flat", "entity", "loose_flat", "loose_entity")
 
 
-def _own_or_nested_id(item: Column) -> Column:
-    return F.coalesce(blank_to_null(item["vehicle_id"]), item["vehicle"]["id"])
-
+def _items(docs: DataFrame, feed_type: str) -> DataFrame:
+    """One row per list item, in the column named after its list; the other three are null.
 
-def _trip_columns(get: callable) -> list[Column]:
-    return [get(f).alias(f) for f in _TRIP_FIELDS]
-
-
-def _flat_trip_update(item: Column) -> Column:
-    return F.struct(
-        F.lit(None).cast("string").alias("entity_id"),
-        *_trip_columns(lambda f: item[f]),
-        _own_or_nested_id(item).alias("vehicle_id"),
-        item["timestamp"].alias("timestamp"),
-        item["delay"].alias("delay"),
-    )
-
-
-def _entity_trip_update(entity: Column) -> Column:
-    update = entity["trip_update"]
-    return F.struct(
-        entity["id"].alias("entity_id"),
-        *_trip_columns(lambda f: update["trip"][f]),
-        update["vehicle"]["id"].alias("vehicle_id"),
-        update["timestamp"].alias("timestamp"),
-        update["delay"].alias("delay"),
-    )
+    The lists are exploded side by side and fields are picked afterwards, so all of it stays
+    in generated code. The conditions are no filter on purpose: pushed below the parse, a
+    filter would parse every document a second time.
+    """
+    usable = (F.col("status") == "ok") & (F.col("feed_type") == feed_type)
+    regular, loose = F.col("loose").isNull(), F.col("loose")
+    lists = {}
+    for prefix, doc, chosen in (("", F.col("doc"), regular), ("loose_", loose, ~regular)):
+        flat = doc[feed_type]
+        lists[f"{prefix}flat"] = F.when(usable & chosen, flat)
+        lists[f"{prefix}entity"] = F.when(usable & chosen & flat.isNull(), doc["entity"])
+    # A missing list must not hide the others.
+    zipped = F.arrays_zip(*[F.coalesce(lists[name], F.array()).alias(name) for name in _LISTS])
+    rows = docs.select(*_DOCUMENT_COLUMNS, F.explode(zipped).alias("it"))
+    return rows.select(*_DOCUMENT_COLUMNS, "it.*")
 
 
-def _position_struct(entity_id: Column, vehicle_id: Column, trip: list[Column], v: Column) -> Column:
-    return F.struct(
-        entity_id.alias("entity_id"),
-        vehicle_id.alias("vehicle_id"),
-        *trip,
-        v["current_stop_sequence"].alias("current_stop_sequence"),
-        v["current_status"].alias("current_status"),
-        v["timestamp"].alias("timestamp"),
-        v["position"].alias("position"),
-    )
+def _is_flat() -> Column:
+    return F.col("entity").isNull() & F.col("loose_entity").isNull()
 
 
-def _flat_position(nested_trip_only: bool) -> callable:
-    def build(v: Column) -> Column:
-        if nested_trip_only:
-            trip = _trip_columns(lambda f: v["trip"][f])
-        else:
-            trip = _trip_columns(lambda f: F.coalesce(v["trip"][f], v[f]))
-        return _position_struct(F.lit(None).cast("string"), _own_or_nested_id(v), trip, v)
+def _pick(flat: Callable[[Column], Column], entity: Callable[[Column], Column], dtype: str | None = None) -> Column:
+    """A field of whichever item the row holds; text that is no number of the type is null."""
+    readings = [flat(F.col("flat")), entity(F.col("entity")), flat(F.col("loose_flat")), entity(F.col("loose_entity"))]
+    if dtype is not None:
+        readings = [r.try_cast(dtype) for r in readings]
+    return F.coalesce(*readings)
 
-    return build
 
-
-def _entity_position(entity: Column) -> Column:
-    v = entity["vehicle"]
-    nested_missing = all_fields_null(v["vehicle"], ("id", "label", "license_plate"))
-    vehicle_id = F.when(nested_missing, v["id"]).otherwise(v["vehicle"]["id"])
-    return _position_struct(entity["id"], vehicle_id, _trip_columns(lambda f: v["trip"][f]), v)
+def _own_or_nested_id(item: Column) -> Column:
+    return F.coalesce(blank_to_null(item["vehicle_id"]), item["vehicle"]["id"])
 
 
-def _items(doc: Column, flat_field: str, flat: callable, entity_field: str, from_entity: callable) -> Column:
-    entities = F.filter(doc["entity"], lambda e: e[entity_field].isNotNull())
-    listed = doc[flat_field]
-    if flat_field == "vehicle_positions":
-        listed = F.filter(listed, lambda v: v.isNotNull())
-    return F.when(doc[flat_field].isNotNull(), F.transform(listed, flat)).otherwise(F.transform(entities, from_entity))
+def _none(_: Column) -> Column:
+    return F.lit(None).cast("string")
 
 
-def _exploded(docs: DataFrame, feed_type: str, items: Column) -> DataFrame:
-    # Not a filter: pushed below the parse, it would parse every document a second time.
-    usable = F.when((F.col("status") == "ok") & (F.col("feed_type") == feed_type), items)
-    return docs.select(*_DOCUMENT_COLUMNS, F.explode(usable).alias("it"))
+def _trip_columns(flat: Callable[[str], Callable], entity: str) -> dict[str, Column]:
+    types = {"trip_id": None, "route_id": None, "direction_id": "int", "start_time": None, "start_date": None}
+    return {
+        name: _pick(flat(name), lambda e, name=name: e[entity]["trip"][name], dtype).alias(name)
+        for name, dtype in types.items()
+    }
 
 
 def flatten_trip_updates(docs: DataFrame) -> DataFrame:
     """One row per trip update, in bronze column order."""
-    items = _items(F.col("doc"), "trip_updates", _flat_trip_update, "trip_update", _entity_trip_update)
-    return _exploded(docs, "trip_updates", items).select(
-        *_DOCUMENT_COLUMNS,
-        "it.entity_id",
-        "it.trip_id",
-        "it.route_id",
-        F.col("it.direction_id").try_cast("int").alias("direction_id"),
-        "it.start_time",
-        "it.start_date",
-        "it.vehicle_id",
-        F.col("it.timestamp").try_cast("bigint").alias("tu_timestamp"),
-        F.col("it.delay").try_cast("int").alias("delay"),
+    update = lambda name: lambda e: e["trip_update"][name]
+    has_update = F.col("entity.trip_update").isNotNull() | F.col("loose_entity.trip_update").isNotNull()
+    return (
+        _items(docs, "trip_updates")
+        .where(_is_flat() | has_update)
+        .select(
+            *_DOCUMENT_COLUMNS,
+            _pick(_none, lambda e: e["id"]).alias("entity_id"),
+            *_trip_columns(lambda name: lambda item: item[name], "trip_update").values(),
+            _pick(_own_or_nested_id, lambda e: e["trip_update"]["vehicle"]["id"]).alias("vehicle_id"),
+            _pick(lambda item: item["timestamp"], update("timestamp"), "bigint").alias("tu_timestamp"),
+            _pick(lambda item: item["delay"], update("delay"), "int").alias("delay"),
+        )
     )
 
 
+def _entity_vehicle_id(entity: Column) -> Column:
+    v = entity["vehicle"]
+    nested_missing = all_fields_null(v["vehicle"], ("id", "label", "license_plate"))
+    return F.when(nested_missing, v["id"]).otherwise(v["vehicle"]["id"])
+
+
 def flatten_vehicle_positions(docs: DataFrame, nested_trip_only: bool = False) -> DataFrame:
     """One row per vehicle position, in bronze column order; rows without a position stay.
 
     ``nested_trip_only`` ignores trip fields written at the top level of a flat item.
     """
-    items = _items(F.col("doc"), "vehicle_positions", _flat_position(nested_trip_only), "vehicle", _entity_position)
-    number = lambda name: F.col(f"it.position.{name}").try_cast("double")
-    return _exploded(docs, "vehicle_positions", items).select(
-        *_DOCUMENT_COLUMNS,
-        "it.entity_id",
-        "it.vehicle_id",
-        "it.trip_id",
-        "it.route_id",
-        F.col("it.direction_id").try_cast("int").alias("direction_id"),
-        "it.start_time",
-        "it.start_date",
-        F.col("it.current_stop_sequence").try_cast("int").alias("current_stop_sequence"),
-        F.col("it.current_status").try_cast("int").alias("current_status"),
-        F.col("it.timestamp").try_cast("bigint").alias("vp_timestamp"),
-        number("latitude").alias("lat"),
-        number("longitude").alias("lon"),
-        number("bearing").alias("bearing"),
-        number("speed").alias("speed"),
+
+    def flat_trip(name: str) -> Callable[[Column], Column]:
+        if nested_trip_only:
+            return lambda v: v["trip"][name]
+        return lambda v: F.coalesce(v["trip"][name], v[name])
+
+    def both(name: str, dtype: str, alias: str | None = None) -> Column:
+        return _pick(lambda v: v[name], lambda e: e["vehicle"][name], dtype).alias(alias or name)
+
+    def coordinate(name: str, alias: str) -> Column:
+        return _pick(lambda v: v["position"][name], lambda e: e["vehicle"]["position"][name], "double").alias(alias)
+
+    is_vehicle = F.col("entity.vehicle").isNotNull() | F.col("loose_entity.vehicle").isNotNull()
+    # An item that is no object is no vehicle in either list.
+    is_item = F.col("flat").isNotNull() | F.col("loose_flat").isNotNull()
+    return (
+        _items(docs, "vehicle_positions")
+        .where(is_item | is_vehicle)
+        .select(
+            *_DOCUMENT_COLUMNS,
+            _pick(_none, lambda e: e["id"]).alias("entity_id"),
+            _pick(_own_or_nested_id, _entity_vehicle_id).alias("vehicle_id"),
+            *_trip_columns(flat_trip, "vehicle").values(),
+            both("current_stop_sequence", "int"),
+            both("current_status", "int"),
+            both("timestamp", "bigint", "vp_timestamp"),
+            coordinate("latitude", "lat"),
+            coordinate("longitude", "lon"),
+            coordinate("bearing", "bearing"),
+            coordinate("speed", "speed"),
+        )
     )
 
 
@@ -138,11 +136,13 @@ def flatten(docs: DataFrame, feed_type: str) -> DataFrame:
 
 def document_row_count(feed_type: Column, doc: Column) -> Column:
     """How many rows a document yields, without exploding it."""
-    def count(flat_field: str, entity_field: str) -> Column:
+
+    def count(flat: Column, entity_field: str) -> Column:
         entities = F.size(F.filter(doc["entity"], lambda e: e[entity_field].isNotNull()))
-        return F.when(doc[flat_field].isNotNull(), F.size(doc[flat_field])).otherwise(entities)
+        return F.when(flat.isNotNull(), F.size(flat)).otherwise(entities)
 
-    rows = F.when(feed_type == "trip_updates", count("trip_updates", "trip_update")).when(
-        feed_type == "vehicle_positions", count("vehicle_positions", "vehicle")
+    vehicles = F.filter(doc["vehicle_positions"], lambda v: v.isNotNull())
+    rows = F.when(feed_type == "trip_updates", count(doc["trip_updates"], "trip_update")).when(
+        feed_type == "vehicle_positions", count(vehicles, "vehicle")
     )
     return F.greatest(F.coalesce(rows, F.lit(0)), F.lit(0))

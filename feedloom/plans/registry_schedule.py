@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import clock, names
 from feedloom.operators import activity, filters, headway, ranking, reports
-from feedloom.operators.documents import document_time, infer_agency
+from feedloom.operators.documents import document_time, either, infer_agency
 from feedloom.plans.fixtures import cycle_rows, documents
 from feedloom.plans.normalise import map_table
 from feedloom.plans.views import view, with_views
@@ -253,7 +253,7 @@ _HOURLY = """select distinct agency, date_trunc('hour', snapshot_ts_jst) as hr f
 )
 def fn_document_time(spark, sf_dir):
     docs = documents_from_members(_members(spark, sf_dir))
-    times = docs.select(document_time(F.col("doc"), F.col("feed_type")).alias("snapshot_ts_jst"), "snapshot_filename")
+    times = docs.select(either(lambda doc: document_time(doc, F.col("feed_type"))).alias("snapshot_ts_jst"), "snapshot_filename")
     return times.distinct().groupBy("snapshot_ts_jst").agg(F.count("*").alias("n"))
 
 
@@ -265,7 +265,7 @@ def fn_document_time(spark, sf_dir):
 )
 def fn_document_agency(spark, sf_dir):
     docs = documents_from_members(_members(spark, sf_dir))
-    agency = names.agency_from_feed_name(F.col("doc.feed_name"))
+    agency = names.agency_from_feed_name(either(lambda doc: doc["feed_name"]))
     return docs.select(agency.alias("agency"), "snapshot_ts_jst").distinct().groupBy("agency").agg(F.count("*").alias("n"))
 
 
@@ -288,7 +288,7 @@ def canonical_name(spark, sf_dir):
 )
 def infer_agency_query(spark, sf_dir):
     docs = documents_from_members(_members(spark, sf_dir))
-    inferred = docs.select(infer_agency(F.col("doc")).alias("agency"), "snapshot_ts_jst").distinct()
+    inferred = docs.select(either(infer_agency).alias("agency"), "snapshot_ts_jst").distinct()
     return inferred.groupBy("agency").agg(F.count("*").alias("documents"))
 
 
@@ -445,7 +445,7 @@ def empty_snapshot_schema(spark, sf_dir):
     docs = documents_from_names(hollow)
     flat = flatten_trip_updates(docs)
     per_agency = docs.groupBy("agency").agg(
-        F.count("*").alias("documents"), F.sum(document_row_count(F.col("feed_type"), F.col("doc"))).cast("bigint").alias("rows")
+        F.count("*").alias("documents"), F.sum(either(lambda doc: document_row_count(F.col("feed_type"), doc))).cast("bigint").alias("rows")
     )
     found = flat.groupBy("agency").agg(F.count("*").alias("exploded"))
     return per_agency.join(found, "agency", "left").select(

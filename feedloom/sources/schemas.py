@@ -24,34 +24,48 @@ BRONZE = {"trip_updates": TRIP_UPDATES, "vehicle_positions": VEHICLE_POSITIONS}
 
 STOP_TIMES = "trip_id STRING, stop_id STRING, departure_time STRING"
 
-# Leaves are STRING: feeds mix numbers and quoted numbers, and a typed leaf would lose one
-# of them. Casts happen when rows are projected.
-_TRIP = "STRUCT<trip_id: STRING, route_id: STRING, direction_id: STRING, start_time: STRING, start_date: STRING>"
+_ITEMS = {
+    "entity": """STRUCT<
+        id: STRING,
+        trip_update: STRUCT<trip: {trip}, vehicle: {vehicle}, timestamp: {long}, delay: {int}>,
+        vehicle: STRUCT<id: STRING, vehicle: {vehicle}, trip: {trip}, position: {position},
+            current_stop_sequence: {int}, current_status: {int}, timestamp: {long}>>""",
+    "trip_updates": """STRUCT<{trip_fields}, vehicle_id: STRING, vehicle: {vehicle}, timestamp: {long}, delay: {int}>""",
+    "vehicle_positions": """STRUCT<vehicle_id: STRING, id: STRING,
+        vehicle: STRUCT<vehicle_id: STRING, vehicle: {vehicle}, id: STRING, label: STRING, license_plate: STRING>,
+        trip: {trip}, {trip_fields}, current_stop_sequence: {int}, current_status: {int}, timestamp: {long},
+        position: {position}>""",
+}
+_TRIP_FIELDS = "trip_id: STRING, route_id: STRING, direction_id: {int}, start_time: STRING, start_date: STRING"
 _VEHICLE = "STRUCT<id: STRING, label: STRING, license_plate: STRING>"
-_POSITION = "STRUCT<latitude: STRING, longitude: STRING, bearing: STRING, speed: STRING>"
-_FLAT_VEHICLE = f"STRUCT<vehicle_id: STRING, vehicle: {_VEHICLE}, id: STRING, label: STRING, license_plate: STRING>"
-_FLAT_TRIP_FIELDS = "trip_id: STRING, route_id: STRING, direction_id: STRING, start_time: STRING, start_date: STRING"
+_POSITION = "STRUCT<latitude: {double}, longitude: {double}, bearing: {double}, speed: {double}>"
 
-ENTITY = f"""STRUCT<
-        id: STRING,
-        trip_update: STRUCT<trip: {_TRIP}, vehicle: {_VEHICLE}, timestamp: STRING, delay: STRING>,
-        vehicle: STRUCT<id: STRING, vehicle: {_VEHICLE}, trip: {_TRIP}, position: {_POSITION},
-            current_stop_sequence: STRING, current_status: STRING, timestamp: STRING>>"""
-FLAT_TRIP_UPDATE = f"""STRUCT<{_FLAT_TRIP_FIELDS}, vehicle_id: STRING, vehicle: {_VEHICLE},
-        timestamp: STRING, delay: STRING>"""
-FLAT_POSITION = f"""STRUCT<vehicle_id: STRING, id: STRING, vehicle: {_FLAT_VEHICLE}, trip: {_TRIP},
-        {_FLAT_TRIP_FIELDS}, current_stop_sequence: STRING, current_status: STRING,
-        timestamp: STRING, position: {_POSITION}>"""
-
-ITEM_TYPES = {"entity": ENTITY, "trip_updates": FLAT_TRIP_UPDATE, "vehicle_positions": FLAT_POSITION}
-
-DOCUMENT = f"""
-    feed_type STRING, timestamp STRING, gtfs_realtime_version STRING, feed_url STRING, feed_name STRING,
-    header STRUCT<gtfs_realtime_version: STRING, timestamp: STRING>,
-    {", ".join(f"{name} ARRAY<{item}>" for name, item in ITEM_TYPES.items())},
-    _corrupt_record STRING
-"""
-# The same lists with unread items.
-DOCUMENT_ITEMS = ", ".join(f"{name} ARRAY<STRING>" for name in ITEM_TYPES)
+
+def item_types(long: str, int_: str, double: str) -> dict[str, str]:
+    """Types of the list items of a document, with the given types for numbers."""
+    numbers = {"long": long, "int": int_, "double": double}
+    trip_fields = _TRIP_FIELDS.format(**numbers)
+    parts = {
+        "trip_fields": trip_fields,
+        "trip": f"STRUCT<{trip_fields}>",
+        "vehicle": _VEHICLE,
+        "position": _POSITION.format(**numbers),
+    }
+    return {name: text.format(**parts, **numbers) for name, text in _ITEMS.items()}
+
+
+def _document(time: str, items: dict[str, str]) -> str:
+    lists = ", ".join(f"{name} ARRAY<{item}>" for name, item in items.items())
+    return f"""feed_type STRING, timestamp {time}, gtfs_realtime_version STRING, feed_url STRING, feed_name STRING,
+        header STRUCT<gtfs_realtime_version: STRING, timestamp: {time}>, {lists}, _corrupt_record STRING"""
+
+
+# Numbers are expected as numbers, which parses fastest. A document that holds one as text is
+# read again with text leaves and cast leniently.
+DOCUMENT = _document("BIGINT", item_types("BIGINT", "INT", "DOUBLE"))
+LOOSE_ITEMS = item_types("STRING", "STRING", "STRING")
+LOOSE_DOCUMENT = _document("STRING", LOOSE_ITEMS)
+# The lists with unread items.
+RAW_LISTS = ", ".join(f"{name} ARRAY<STRING>" for name in LOOSE_ITEMS)
 
 STATIC_DOCUMENT = "feed_url STRING, feed_name STRING, timestamp STRING, tables MAP<STRING, ARRAY<MAP<STRING, STRING>>>"

@@ -14,8 +14,8 @@ from feedloom.functions.names import (
     snapshot_name,
 )
 from feedloom.functions.clock import date_str
-from feedloom.operators.documents import document_time, infer_agency
-from feedloom.sources.schemas import DOCUMENT, DOCUMENT_ITEMS, ITEM_TYPES
+from feedloom.operators.documents import document_time, either, infer_agency
+from feedloom.sources.schemas import DOCUMENT, LOOSE_DOCUMENT, LOOSE_ITEMS, RAW_LISTS
 
 
 def snapshot_glob(feed_type: str) -> str:
@@ -50,32 +50,36 @@ def stream_snapshot_files(spark: SparkSession, base: str, feed_type: str, files_
 
 
 def _parsed(files: DataFrame) -> DataFrame:
-    """Add ``doc``. A list with an item of the wrong kind is read again item by item, so that
-    it loses that item only; all other documents are parsed once."""
-    parsed = files.withColumn("doc", F.from_json("content", DOCUMENT, {"columnNameOfCorruptRecord": "_corrupt_record"}))
-    doc, loose = F.col("doc"), F.from_json("content", DOCUMENT_ITEMS)
-    repaired = doc
-    for name, item in ITEM_TYPES.items():
-        repaired = repaired.withField(name, F.coalesce(doc[name], F.transform(loose[name], _item_reader(item))))
-    return parsed.withColumn("doc", F.when(doc["_corrupt_record"].isNotNull(), repaired).otherwise(doc))
+    """Add ``doc``, and ``loose`` for the documents whose values are not all of the expected kind.
+
+    A regular document is parsed once. For the others ``loose`` has text leaves, and a list
+    with an item of the wrong kind is read item by item, so that it loses that item only.
+    """
+    corrupt = {"columnNameOfCorruptRecord": "_corrupt_record"}
+    parsed = files.withColumn("doc", F.from_json("content", DOCUMENT, corrupt))
+    irregular = F.col("doc._corrupt_record").isNotNull()
+    parsed = parsed.withColumn("loose", F.when(irregular, F.from_json("content", LOOSE_DOCUMENT, corrupt)))
+    loose, lists = F.col("loose"), F.from_json("content", RAW_LISTS)
+    repaired = loose
+    for name, item in LOOSE_ITEMS.items():
+        repaired = repaired.withField(name, F.coalesce(loose[name], F.transform(lists[name], _item_reader(item))))
+    return parsed.withColumn("loose", F.when(loose["_corrupt_record"].isNotNull(), repaired).otherwise(loose))
 
 
 def _item_reader(item_type: str) -> Callable[[Column], Column]:
     return lambda text: F.when(text.startswith("{"), F.from_json(text, item_type))
 
 
-def _well_formed(doc: Column) -> Column:
-    """False when the parser could read nothing at all of the text.
-
-    A document with one odd field still has its other fields, and is kept.
-    """
+def _well_formed() -> Column:
+    """False when the parser could read nothing at all of the text."""
+    doc, loose = F.col("doc"), F.col("loose")
     fields = ["feed_type", "timestamp", "header", "entity", "trip_updates", "vehicle_positions", "feed_name"]
-    found_something = F.coalesce(*[doc[f].isNotNull() | F.lit(None) for f in fields], F.lit(False))
+    found_something = F.coalesce(*[loose[f].isNotNull() | F.lit(None) for f in fields], F.lit(False))
     return found_something | (doc.isNotNull() & doc["_corrupt_record"].isNull())
 
 
 def _with_agency(docs: DataFrame, named: Column, first_entity_only: bool) -> DataFrame:
-    inferred = F.coalesce(infer_agency(F.col("doc"), first_entity_only), F.lit(UNKNOWN_AGENCY))
+    inferred = F.coalesce(either(lambda doc: infer_agency(doc, first_entity_only)), F.lit(UNKNOWN_AGENCY))
     return docs.withColumn("agency", F.when(named == UNKNOWN_AGENCY, inferred).otherwise(named))
 
 
@@ -92,10 +96,11 @@ def documents_from_names(files: DataFrame, first_entity_only: bool = False) -> D
         F.col("_parts.date_str_jst").alias("date_str_jst"),
         F.octet_length("content").cast("bigint").alias("size_bytes"),
         F.when(F.col("_parts").isNull(), "bad_name")
-        .when(~_well_formed(F.col("doc")), "bad_json")
+        .when(~_well_formed(), "bad_json")
         .otherwise("ok")
         .alias("status"),
         "doc",
+        "loose",
         F.col("_parts.agency").alias("_named_agency"),
     )
     return _with_agency(docs, F.col("_named_agency"), first_entity_only).drop("_named_agency")
@@ -110,16 +115,17 @@ def documents_from_members(
     canonical name. ``utc_as_jst`` keeps the UTC clock reading as if it were local.
     """
     timed = _parsed(members).withColumn(
-        "snapshot_ts_jst", document_time(F.col("doc"), F.col("feed_type"), utc_as_jst)
-    ).withColumn("_feed_agency", agency_from_feed_name(F.col("doc.feed_name")))
+        "snapshot_ts_jst", either(lambda doc: document_time(doc, F.col("feed_type"), utc_as_jst))
+    ).withColumn("_feed_agency", agency_from_feed_name(either(lambda doc: doc["feed_name"])))
     docs = timed.select(
         snapshot_name(F.col("feed_type"), F.col("_feed_agency"), F.col("snapshot_ts_jst")).alias("snapshot_filename"),
         "feed_type",
         "snapshot_ts_jst",
         date_str(F.col("snapshot_ts_jst")).alias("date_str_jst"),
         F.octet_length("content").cast("bigint").alias("size_bytes"),
-        F.when(_well_formed(F.col("doc")), "ok").otherwise("bad_json").alias("status"),
+        F.when(_well_formed(), "ok").otherwise("bad_json").alias("status"),
         "doc",
+        "loose",
         F.coalesce("_feed_agency", F.lit(UNKNOWN_AGENCY)).alias("_named_agency"),
     )
     return _with_agency(docs, F.col("_named_agency"), first_entity_only).drop("_named_agency")
