@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,11 +9,6 @@ from feedloom.functions.clock import JST_OFFSET_HOURS, epoch_to_wall_clock
 from feedloom.functions.names import agency_from_vehicle, blank_to_null, first_nonempty
 
 
-def either(reading: Callable[[Column], Column]) -> Column:
-    """A value of the document in columns ``doc`` or, when that is set, ``loose``."""
-    return F.when(F.col("loose").isNull(), reading(F.col("doc"))).otherwise(reading(F.col("loose")))
-
-
 def all_fields_null(struct: Column, fields: tuple[str, ...]) -> Column:
     return F.coalesce(*[struct[f] for f in fields]).isNull()
 

@@ -49,11 +49,15 @@ def parse_or_drop_ts(df: DataFrame, column: str, formats: Sequence[str] = ()) ->
     return df.withColumn(column, lenient_ts(F.col(column), formats)).where(F.col(column).isNotNull())
 
 
+def agency_list(agencies: str) -> list[str]:
+    return [a.strip() for a in agencies.split(",")]
+
+
 def agency_filter(df: DataFrame, agencies: str | None) -> DataFrame:
     """One agency or a comma-separated list; nothing or an empty text keeps all."""
     if not agencies:
         return df
-    return df.where(F.col("agency").isin([a.strip() for a in agencies.split(",")]))
+    return df.where(F.col("agency").isin(agency_list(agencies)))
 
 
 def feed_types(selection: str) -> tuple[str, ...]:

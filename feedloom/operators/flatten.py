@@ -14,41 +14,30 @@ from pyspark.sql import functions as F
 from feedloom.functions.names import blank_to_null
 from feedloom.operators.documents import all_fields_null
 
+_TRIP_FIELDS = ("trip_id", "route_id", "direction_id", "start_time", "start_date")
 _DOCUMENT_COLUMNS = ("snapshot_filename", "snapshot_ts_jst", "date_str_jst", "agency")
-# The lists an item can come from: expected or loose reading, flat or entity encoding.
-_LISTS = ("flat", "entity", "loose_flat", "loose_entity")
 
 
 def _items(docs: DataFrame, feed_type: str) -> DataFrame:
-    """One row per list item, in the column named after its list; the other three are null.
+    """One row per list item, in column ``flat`` or ``entity``; the other one is null.
 
-    The lists are exploded side by side and fields are picked afterwards, so all of it stays
-    in generated code. The conditions are no filter on purpose: pushed below the parse, a
-    filter would parse every document a second time.
+    The two lists are exploded side by side and fields are picked afterwards, so all of it
+    stays in generated code. Conditions are no filters here, and document columns depend on the
+    item position: a filter, written here or by a caller, would otherwise sink below the parse
+    and parse every document again.
     """
     usable = (F.col("status") == "ok") & (F.col("feed_type") == feed_type)
-    regular, loose = F.col("loose").isNull(), F.col("loose")
-    lists = {}
-    for prefix, doc, chosen in (("", F.col("doc"), regular), ("loose_", loose, ~regular)):
-        flat = doc[feed_type]
-        lists[f"{prefix}flat"] = F.when(usable & chosen, flat)
-        lists[f"{prefix}entity"] = F.when(usable & chosen & flat.isNull(), doc["entity"])
-    # A missing list must not hide the others.
-    zipped = F.arrays_zip(*[F.coalesce(lists[name], F.array()).alias(name) for name in _LISTS])
-    rows = docs.select(*_DOCUMENT_COLUMNS, F.explode(zipped).alias("it"))
-    return rows.select(*_DOCUMENT_COLUMNS, "it.*")
+    flat = F.when(usable, F.col("doc")[feed_type])
+    entity = F.when(usable & F.col("doc")[feed_type].isNull(), F.col("doc.entity"))
+    # A missing list must not hide the other.
+    zipped = F.arrays_zip(F.coalesce(flat, F.array()).alias("flat"), F.coalesce(entity, F.array()).alias("entity"))
+    rows = docs.select(*_DOCUMENT_COLUMNS, F.posexplode(zipped).alias("_pos", "it"))
+    return rows.select(*[F.when(F.col("_pos") >= 0, F.col(c)).alias(c) for c in _DOCUMENT_COLUMNS], "it.*")
 
 
-def _is_flat() -> Column:
-    return F.col("entity").isNull() & F.col("loose_entity").isNull()
-
-
-def _pick(flat: Callable[[Column], Column], entity: Callable[[Column], Column], dtype: str | None = None) -> Column:
-    """A field of whichever item the row holds; text that is no number of the type is null."""
-    readings = [flat(F.col("flat")), entity(F.col("entity")), flat(F.col("loose_flat")), entity(F.col("loose_entity"))]
-    if dtype is not None:
-        readings = [r.try_cast(dtype) for r in readings]
-    return F.coalesce(*readings)
+def _pick(flat: Callable[[Column], Column], entity: Callable[[Column], Column]) -> Column:
+    """A field of whichever item the row holds."""
+    return F.coalesce(flat(F.col("flat")), entity(F.col("entity")))
 
 
 def _own_or_nested_id(item: Column) -> Column:
@@ -59,28 +48,26 @@ def _none(_: Column) -> Column:
     return F.lit(None).cast("string")
 
 
-def _trip_columns(flat: Callable[[str], Callable], entity: str) -> dict[str, Column]:
-    types = {"trip_id": None, "route_id": None, "direction_id": "int", "start_time": None, "start_date": None}
-    return {
-        name: _pick(flat(name), lambda e, name=name: e[entity]["trip"][name], dtype).alias(name)
-        for name, dtype in types.items()
-    }
+def _trip_columns(flat: Callable[[str], Callable], entity: str) -> list[Column]:
+    return [_pick(flat(name), lambda e, name=name: e[entity]["trip"][name]).alias(name) for name in _TRIP_FIELDS]
 
 
 def flatten_trip_updates(docs: DataFrame) -> DataFrame:
     """One row per trip update, in bronze column order."""
-    update = lambda name: lambda e: e["trip_update"][name]
-    has_update = F.col("entity.trip_update").isNotNull() | F.col("loose_entity.trip_update").isNotNull()
+
+    def both(name: str, alias: str) -> Column:
+        return _pick(lambda item: item[name], lambda e: e["trip_update"][name]).alias(alias)
+
     return (
         _items(docs, "trip_updates")
-        .where(_is_flat() | has_update)
+        .where(F.col("entity").isNull() | F.col("entity.trip_update").isNotNull())
         .select(
             *_DOCUMENT_COLUMNS,
             _pick(_none, lambda e: e["id"]).alias("entity_id"),
-            *_trip_columns(lambda name: lambda item: item[name], "trip_update").values(),
+            *_trip_columns(lambda name: lambda item: item[name], "trip_update"),
             _pick(_own_or_nested_id, lambda e: e["trip_update"]["vehicle"]["id"]).alias("vehicle_id"),
-            _pick(lambda item: item["timestamp"], update("timestamp"), "bigint").alias("tu_timestamp"),
-            _pick(lambda item: item["delay"], update("delay"), "int").alias("delay"),
+            both("timestamp", "tu_timestamp"),
+            both("delay", "delay"),
         )
     )
 
@@ -102,26 +89,24 @@ def flatten_vehicle_positions(docs: DataFrame, nested_trip_only: bool = False) -
             return lambda v: v["trip"][name]
         return lambda v: F.coalesce(v["trip"][name], v[name])
 
-    def both(name: str, dtype: str, alias: str | None = None) -> Column:
-        return _pick(lambda v: v[name], lambda e: e["vehicle"][name], dtype).alias(alias or name)
+    def both(name: str, alias: str) -> Column:
+        return _pick(lambda v: v[name], lambda e: e["vehicle"][name]).alias(alias)
 
     def coordinate(name: str, alias: str) -> Column:
-        return _pick(lambda v: v["position"][name], lambda e: e["vehicle"]["position"][name], "double").alias(alias)
+        return _pick(lambda v: v["position"][name], lambda e: e["vehicle"]["position"][name]).alias(alias)
 
-    is_vehicle = F.col("entity.vehicle").isNotNull() | F.col("loose_entity.vehicle").isNotNull()
-    # An item that is no object is no vehicle in either list.
-    is_item = F.col("flat").isNotNull() | F.col("loose_flat").isNotNull()
     return (
         _items(docs, "vehicle_positions")
-        .where(is_item | is_vehicle)
+        # An item that is no object is no vehicle, in either list.
+        .where(F.col("flat").isNotNull() | F.col("entity.vehicle").isNotNull())
         .select(
             *_DOCUMENT_COLUMNS,
             _pick(_none, lambda e: e["id"]).alias("entity_id"),
             _pick(_own_or_nested_id, _entity_vehicle_id).alias("vehicle_id"),
-            *_trip_columns(flat_trip, "vehicle").values(),
-            both("current_stop_sequence", "int"),
-            both("current_status", "int"),
-            both("timestamp", "bigint", "vp_timestamp"),
+            *_trip_columns(flat_trip, "vehicle"),
+            both("current_stop_sequence", "current_stop_sequence"),
+            both("current_status", "current_status"),
+            both("timestamp", "vp_timestamp"),
             coordinate("latitude", "lat"),
             coordinate("longitude", "lon"),
             coordinate("bearing", "bearing"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.documents import either
+from feedloom.operators.filters import agency_list
 from feedloom.operators.flatten import document_row_count
 from feedloom.sources.schemas import FEED_TYPES
 
@@ -17,10 +17,10 @@ def document_log(docs: DataFrame, agencies: str | None = None) -> DataFrame:
 
     A document is skipped when it is bad, yields no rows, or its agency is filtered out.
     """
-    rows = either(lambda doc: document_row_count(F.col("feed_type"), doc))
+    rows = document_row_count(F.col("feed_type"), F.col("doc"))
     log = docs.select("snapshot_filename", "feed_type", "agency", "size_bytes", "status", rows.alias("rows"))
     usable = (F.col("status") == "ok") & (F.col("rows") > 0)
-    allowed = F.col("agency").isin([a.strip() for a in agencies.split(",")]) if agencies else F.lit(True)
+    allowed = F.col("agency").isin(agency_list(agencies)) if agencies else F.lit(True)
     return log.withColumns({"usable": usable, "processed": usable & allowed})
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.operators.filters import agency_filter, feed_types
+from feedloom.operators.filters import feed_types
 from feedloom.operators.flatten import flatten
 from feedloom.operators.headway import headway_by_route, headway_stats
 from feedloom.operators.reports import document_log, ingest_report
@@ -14,6 +14,8 @@ from feedloom.sources.bronze import write_bronze
 from feedloom.sources.snapshots import (
     documents_from_members,
     documents_from_names,
+    keep_agencies,
+    of_named_agencies,
     quarantine,
     read_snapshot_files,
 )
@@ -23,10 +25,11 @@ from feedloom.sources.static import good_rows, read_static_bundles, read_stop_ti
 def snapshot_rows(spark: SparkSession, landing: str, feed_type: str, agencies: str | None = None, **quirks) -> DataFrame:
     """Bronze rows of every snapshot file of one feed type.
 
-    The agency filter is applied to documents, before they are exploded.
+    Files that name another agency are not parsed; documents found to be of another one are
+    not exploded.
     """
-    docs = documents_from_names(read_snapshot_files(spark, landing, feed_type), **quirks)
-    return flatten(agency_filter(docs, agencies), feed_type)
+    files = of_named_agencies(read_snapshot_files(spark, landing, feed_type), agencies)
+    return flatten(keep_agencies(documents_from_names(files, **quirks), agencies), feed_type)
 
 
 def normalise_folder(
@@ -62,7 +65,7 @@ def normalise_archives(
     """Archive members to bronze. Rows of one date from several archives end up together."""
     for feed_type in feed_types(selection):
         docs = archive_documents(spark, archives, pattern, feed_type, **quirks)
-        write_bronze(flatten(agency_filter(docs, agencies), feed_type), base, feed_type)
+        write_bronze(flatten(keep_agencies(docs, agencies), feed_type), base, feed_type)
 
 
 def archive_agencies(spark: SparkSession, archives: str, pattern: str = "*.tar*", agencies: str | None = None) -> DataFrame:

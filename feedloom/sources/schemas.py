@@ -61,7 +61,7 @@ def _document(time: str, items: dict[str, str]) -> str:
 
 
 # Numbers are expected as numbers, which parses fastest. A document that holds one as text is
-# read again with text leaves and cast leniently.
+# read again with text leaves.
 DOCUMENT = _document("BIGINT", item_types("BIGINT", "INT", "DOUBLE"))
 LOOSE_ITEMS = item_types("STRING", "STRING", "STRING")
 LOOSE_DOCUMENT = _document("STRING", LOOSE_ITEMS)

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 from feedloom.functions.names import (
     UNKNOWN_AGENCY,
     agency_from_feed_name,
     filename_parts,
+    snapshot_agency,
     snapshot_name,
 )
 from feedloom.functions.clock import date_str
-from feedloom.operators.documents import document_time, either, infer_agency
+from feedloom.operators.documents import document_time, infer_agency
+from feedloom.operators.filters import agency_list
 from feedloom.sources.schemas import DOCUMENT, LOOSE_DOCUMENT, LOOSE_ITEMS, RAW_LISTS
 
 
@@ -50,37 +53,51 @@ def stream_snapshot_files(spark: SparkSession, base: str, feed_type: str, files_
 
 
 def _parsed(files: DataFrame) -> DataFrame:
-    """Add ``doc``, and ``loose`` for the documents whose values are not all of the expected kind.
+    """Add ``doc``. A regular document is parsed once, a document with odd values again."""
+    typed = files.withColumn("doc", F.from_json("content", DOCUMENT, {"columnNameOfCorruptRecord": "_corrupt_record"}))
+    odd = F.col("doc._corrupt_record").isNotNull()
+    return typed.withColumn("doc", F.when(odd, F.expr(_lenient_document())).otherwise(F.col("doc")))
 
-    A regular document is parsed once. For the others ``loose`` has text leaves, and a list
-    with an item of the wrong kind is read item by item, so that it loses that item only.
-    """
-    corrupt = {"columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = files.withColumn("doc", F.from_json("content", DOCUMENT, corrupt))
-    irregular = F.col("doc._corrupt_record").isNotNull()
-    parsed = parsed.withColumn("loose", F.when(irregular, F.from_json("content", LOOSE_DOCUMENT, corrupt)))
-    loose, lists = F.col("loose"), F.from_json("content", RAW_LISTS)
-    repaired = loose
-    for name, item in LOOSE_ITEMS.items():
-        repaired = repaired.withField(name, F.coalesce(loose[name], F.transform(lists[name], _item_reader(item))))
-    return parsed.withColumn("loose", F.when(loose["_corrupt_record"].isNotNull(), repaired).otherwise(loose))
-
-
-def _item_reader(item_type: str) -> Callable[[Column], Column]:
-    return lambda text: F.when(text.startswith("{"), F.from_json(text, item_type))
 
+@cache
+def _lenient_document() -> str:
+    """SQL text that reads values of ``content`` as text and casts them one by one.
 
-def _well_formed() -> Column:
-    """False when the parser could read nothing at all of the text."""
-    doc, loose = F.col("doc"), F.col("loose")
+    What does not fit is null. A list with an item of the wrong kind is read item by item, so
+    that it loses that item only. (Text, because it names some hundred fields.)
+    """
+    loose, lists = f"from_json(content, '{LOOSE_DOCUMENT}')", f"from_json(content, '{RAW_LISTS}')"
+    fields = []
+    for field in StructType.fromDDL(DOCUMENT):
+        value = f"{loose}.{field.name}"
+        if field.name in LOOSE_ITEMS:
+            item = f"if(startswith(i, '{{'), from_json(i, '{LOOSE_ITEMS[field.name]}'), null)"
+            value = f"coalesce({value}, transform({lists}.{field.name}, i -> {item}))"
+        fields.append(f"'{field.name}', {_cast_leaves(value, field.dataType)}")
+    return f"named_struct({', '.join(fields)})"
+
+
+def _cast_leaves(value: str, dtype: DataType) -> str:
+    if isinstance(dtype, StructType):
+        fields = [f"'{f.name}', {_cast_leaves(f'{value}.{f.name}', f.dataType)}" for f in dtype]
+        return f"if({value} is null, null, named_struct({', '.join(fields)}))"
+    if isinstance(dtype, ArrayType):
+        return f"transform({value}, e -> {_cast_leaves('e', dtype.elementType)})"
+    return f"try_cast({value} as {dtype.simpleString()})"
+
+
+def _status(named: Column) -> Column:
+    """``bad_json`` when the parser could read nothing at all of the text."""
+    doc = F.col("doc")
     fields = ["feed_type", "timestamp", "header", "entity", "trip_updates", "vehicle_positions", "feed_name"]
-    found_something = F.coalesce(*[loose[f].isNotNull() | F.lit(None) for f in fields], F.lit(False))
-    return found_something | (doc.isNotNull() & doc["_corrupt_record"].isNull())
+    found_something = F.coalesce(*[doc[f].isNotNull() | F.lit(None) for f in fields], F.lit(False))
+    whole = doc.isNotNull() & doc["_corrupt_record"].isNull()
+    return F.when(~named, "bad_name").when(~(found_something | whole), "bad_json").otherwise("ok")
 
 
-def _with_agency(docs: DataFrame, named: Column, first_entity_only: bool) -> DataFrame:
-    inferred = F.coalesce(either(lambda doc: infer_agency(doc, first_entity_only)), F.lit(UNKNOWN_AGENCY))
-    return docs.withColumn("agency", F.when(named == UNKNOWN_AGENCY, inferred).otherwise(named))
+def _agency(named: Column, first_entity_only: bool) -> Column:
+    inferred = F.coalesce(infer_agency(F.col("doc"), first_entity_only), F.lit(UNKNOWN_AGENCY))
+    return F.when(named == UNKNOWN_AGENCY, inferred).otherwise(named)
 
 
 def documents_from_names(files: DataFrame, first_entity_only: bool = False) -> DataFrame:
@@ -89,21 +106,16 @@ def documents_from_names(files: DataFrame, first_entity_only: bool = False) -> D
     Adds ``status``: ``ok``, ``bad_name`` or ``bad_json``; only ``ok`` documents yield rows.
     """
     named = _parsed(files).withColumn("_parts", filename_parts(F.col("snapshot_filename")))
-    docs = named.select(
+    return named.select(
         "snapshot_filename",
         F.col("_parts.feed_type").alias("feed_type"),
         F.col("_parts.snapshot_ts_jst").alias("snapshot_ts_jst"),
         F.col("_parts.date_str_jst").alias("date_str_jst"),
+        _agency(F.col("_parts.agency"), first_entity_only).alias("agency"),
         F.octet_length("content").cast("bigint").alias("size_bytes"),
-        F.when(F.col("_parts").isNull(), "bad_name")
-        .when(~_well_formed(), "bad_json")
-        .otherwise("ok")
-        .alias("status"),
+        _status(F.col("_parts").isNotNull()).alias("status"),
         "doc",
-        "loose",
-        F.col("_parts.agency").alias("_named_agency"),
     )
-    return _with_agency(docs, F.col("_named_agency"), first_entity_only).drop("_named_agency")
 
 
 def documents_from_members(
@@ -114,23 +126,47 @@ def documents_from_members(
     Input has ``member``, ``feed_type`` and ``content``. ``snapshot_filename`` becomes the
     canonical name. ``utc_as_jst`` keeps the UTC clock reading as if it were local.
     """
-    timed = _parsed(members).withColumn(
-        "snapshot_ts_jst", either(lambda doc: document_time(doc, F.col("feed_type"), utc_as_jst))
-    ).withColumn("_feed_agency", agency_from_feed_name(either(lambda doc: doc["feed_name"])))
-    docs = timed.select(
+    timed = _parsed(members).withColumns(
+        {
+            "snapshot_ts_jst": document_time(F.col("doc"), F.col("feed_type"), utc_as_jst),
+            "_feed_agency": agency_from_feed_name(F.col("doc.feed_name")),
+        }
+    )
+    named = F.coalesce("_feed_agency", F.lit(UNKNOWN_AGENCY))
+    return timed.select(
         snapshot_name(F.col("feed_type"), F.col("_feed_agency"), F.col("snapshot_ts_jst")).alias("snapshot_filename"),
         "feed_type",
         "snapshot_ts_jst",
         date_str(F.col("snapshot_ts_jst")).alias("date_str_jst"),
+        _agency(named, first_entity_only).alias("agency"),
         F.octet_length("content").cast("bigint").alias("size_bytes"),
-        F.when(_well_formed(), "ok").otherwise("bad_json").alias("status"),
+        _status(F.lit(True)).alias("status"),
         "doc",
-        "loose",
-        F.coalesce("_feed_agency", F.lit(UNKNOWN_AGENCY)).alias("_named_agency"),
     )
-    return _with_agency(docs, F.col("_named_agency"), first_entity_only).drop("_named_agency")
+
+
+def keep_agencies(docs: DataFrame, agencies: str | None) -> DataFrame:
+    """Mark documents of other agencies ``filtered``, so that they yield no rows.
+
+    A mark and not a filter: the agency may come out of the document, and a filter on it would
+    sink below the parse and parse every document again.
+    """
+    if not agencies:
+        return docs
+    other = ~F.col("agency").isin(agency_list(agencies))
+    return docs.withColumn("status", F.when((F.col("status") == "ok") & other, "filtered").otherwise(F.col("status")))
+
+
+def of_named_agencies(files: DataFrame, agencies: str | None) -> DataFrame:
+    """Leave out files whose name states another agency, before they are parsed."""
+    if not agencies:
+        return files
+    named = snapshot_agency(F.col("snapshot_filename"))
+    return files.where(named.isNull() | named.isin([*agency_list(agencies), UNKNOWN_AGENCY]))
 
 
 def quarantine(docs: DataFrame) -> DataFrame:
     """Documents that yield no rows because of their name or their text, with the reason."""
-    return docs.where(F.col("status") != "ok").select("snapshot_filename", "feed_type", "status", "size_bytes")
+    report = F.struct("snapshot_filename", "feed_type", "status", "size_bytes")
+    # Rows are picked by a generator: as a filter, the condition would be evaluated by parsing again.
+    return docs.select(F.inline(F.when(F.col("status").startswith("bad_"), F.array(report))))
