@@ -58,13 +58,13 @@ def cycle_completeness(df: DataFrame, expected: Sequence[str], ts: str = "snapsh
 def static_profile(rows: DataFrame) -> DataFrame:
     """(table, rows, columns, sample): size, column list and one sample record per schedule table.
 
-    Rows are first counted per header, of which a table has a few, so no list grows with the data.
+    Rows are first counted per header, of which a table has a few, so no list grows with the
+    data. The sample is looked for among first lines only.
     """
-    per_header = rows.groupBy("table", F.array_sort(F.map_keys("row")).alias("header")).agg(
-        F.count("*").alias("n"), F.min(F.struct("line_no", F.to_json("row").alias("json"))).alias("first")
-    )
-    return per_header.groupBy("table").agg(
-        F.sum("n").alias("rows"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("header")))).alias("columns"),
-        F.min("first")["json"].alias("sample"),
+    per_header = rows.groupBy("table", F.array_sort(F.map_keys("row")).alias("header")).agg(F.count("*").alias("n"))
+    sizes = per_header.groupBy("table").agg(
+        F.sum("n").alias("rows"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("header")))).alias("columns")
     )
+    first_lines = rows.where("line_no = 1").groupBy("table")
+    samples = first_lines.agg(F.min(F.struct("archive", F.to_json("row").alias("json")))["json"].alias("sample"))
+    return sizes.join(samples, "table", "left")

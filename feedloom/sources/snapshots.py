@@ -39,10 +39,19 @@ def read_snapshot_files(spark: SparkSession, base: str, feed_type: str) -> DataF
     )
 
 
-def stream_snapshot_files(spark: SparkSession, base: str, feed_type: str, files_per_batch: int = 10000) -> DataFrame:
-    """The same frame as an unbounded one: files are picked up as they land."""
+def stream_snapshot_files(
+    spark: SparkSession, base: str, feed_type: str, files_per_batch: int = 10000, archive_dir: str | None = None
+) -> DataFrame:
+    """The same frame as an unbounded one: files are picked up as they land.
+
+    With ``archive_dir`` files move there once they are taken in, which keeps the listing of a
+    long-lived landing folder short.
+    """
+    reader = spark.readStream.format("text")
+    if archive_dir is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return (
-        spark.readStream.format("text")
+        reader
         .option("wholetext", "true")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", snapshot_glob(feed_type))

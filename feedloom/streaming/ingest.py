@@ -39,6 +39,7 @@ def stream_bronze(
     once: bool = False,
     files_per_batch: int = 10000,
     quarantine_dir: str | None = None,
+    archive_dir: str | None = None,
     also: Callable[[int], None] | None = None,
 ) -> list[StreamingQuery]:
     """Start one query per feed type from ``landing`` to bronze; ``once`` drains and stops.
@@ -49,7 +50,7 @@ def stream_bronze(
     """
     queries = []
     for feed_type in feed_types(selection):
-        files = stream_snapshot_files(spark, landing, feed_type, files_per_batch)
+        files = stream_snapshot_files(spark, landing, feed_type, files_per_batch, archive_dir)
         writer = (
             files.writeStream.queryName(f"bronze_{feed_type}_{abs(hash(checkpoint)):x}")
             .option("checkpointLocation", f"{checkpoint}/{feed_type}")
