@@ -49,10 +49,13 @@ class _NamedFilesWriter(DataSourceWriter):
 
     def write(self, rows) -> WriterCommitMessage:
         filesystem, root = open_filesystem(self.base)
+        made = set()
         for row in rows:
             target = posixpath.join(root, row["name"])
             folder, leaf = posixpath.split(target)
-            filesystem.create_dir(folder, recursive=True)
+            if folder not in made:
+                filesystem.create_dir(folder, recursive=True)
+                made.add(folder)
             # A hidden name first: a lost or repeated task never shows half a file.
             staged = posixpath.join(folder, f".{leaf}.{uuid.uuid4().hex}")
             with filesystem.open_output_stream(staged, compression=None) as sink:
