@@ -21,6 +21,7 @@ def _parser() -> argparse.ArgumentParser:
         command.add_argument("--output-dir")
         command.add_argument("--feed-type", default="both", choices=["trip_updates", "vehicle_positions", "both"])
         command.add_argument("--agency-filter")
+    folder.add_argument("--quarantine-dir")
     archives.add_argument("--pattern", default="*.tar*")
     archives.add_argument("--show-agencies", action="store_true")
 
@@ -31,6 +32,8 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--feed-type", default="realtime", choices=["trip_updates", "vehicle_positions", "realtime", "all"])
     ingest.add_argument("--interval", type=int, default=DEFAULT_INTERVAL)
     ingest.add_argument("--once", action="store_true")
+    ingest.add_argument("--quarantine-dir")
+    ingest.add_argument("--archive-dir", help="where files move once they are taken in")
 
     headway = commands.add_parser("headway", help="headway statistics of a stop_times file")
     headway.add_argument("--stop-times", required=True)
@@ -42,7 +45,9 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"feedloom-{args.command}").getOrCreate()
     if args.command == "normalise":
-        normalise.normalise_folder(spark, args.input_dir, args.output_dir, args.feed_type, args.agency_filter)
+        normalise.normalise_folder(
+            spark, args.input_dir, args.output_dir, args.feed_type, args.agency_filter, args.quarantine_dir
+        )
     elif args.command == "archives" and args.show_agencies:
         report = normalise.archive_agencies(spark, args.input_dir, args.pattern, args.agency_filter)
         report.orderBy("agency").show(1000, truncate=False)
@@ -50,13 +55,14 @@ def main(argv: list[str] | None = None) -> None:
         normalise.normalise_archives(
             spark, args.input_dir, args.output_dir, args.pattern, args.agency_filter, args.feed_type
         )
-    elif args.command == "ingest" and args.once:
-        ingest_once(spark, args.landing, args.output_dir, args.checkpoint, args.feed_type)
     elif args.command == "ingest":
-        for query in stream_bronze(
-            spark, args.landing, args.output_dir, args.checkpoint, args.feed_type, args.interval
-        ):
-            query.awaitTermination()
+        options = {"quarantine_dir": args.quarantine_dir, "archive_dir": args.archive_dir}
+        if args.once:
+            ingest_once(spark, args.landing, args.output_dir, args.checkpoint, args.feed_type, **options)
+        else:
+            stream_bronze(spark, args.landing, args.output_dir, args.checkpoint, args.feed_type, args.interval, **options)
+            # The first query to fail ends the application; a restart resumes from the checkpoint.
+            spark.streams.awaitAnyTermination()
     else:
         stats, by_route = normalise.headway_report(spark, args.stop_times)
         stats.write.mode("overwrite").parquet(f"{args.output_dir}/by_route_and_stop")

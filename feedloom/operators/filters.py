@@ -38,10 +38,16 @@ def service_hours(df: DataFrame, ts: str, start: str = "05:30", end: str = "23:5
 
 
 def service_day(df: DataFrame, ts: str, day: date) -> DataFrame:
-    """Rows of one calendar day, as a range on the bare column so that it reaches the scan."""
+    """Rows of one calendar day, as a range on the bare column so that it reaches the scan.
+
+    On bronze rows the date partition is named too, so other days are not listed or read.
+    """
     begin = F.lit(day.isoformat()).cast("timestamp_ntz")
     end = F.lit(date.fromordinal(day.toordinal() + 1).isoformat()).cast("timestamp_ntz")
-    return df.where((F.col(ts) >= begin) & (F.col(ts) < end))
+    rows = df.where((F.col(ts) >= begin) & (F.col(ts) < end))
+    if ts == "snapshot_ts_jst" and "date_str_jst" in df.columns:
+        rows = rows.where(F.col("date_str_jst") == day.strftime("%Y%m%d"))
+    return rows
 
 
 def parse_or_drop_ts(df: DataFrame, column: str, formats: Sequence[str] = ()) -> DataFrame:

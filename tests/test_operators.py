@@ -158,6 +158,8 @@ def test_bronze_replaces_only_touched_partitions(spark, tmp_path):
     assert bronze.read_bronze(spark, base, "vehicle_positions").count() == 0
     assert [r.date_str_jst for r in bronze.retention_window(table, 0, "20251111").distinct().collect()] == ["20251111"]
     plan = table.where("agency = 'a' and date_str_jst >= '20251111'")._jdf.queryExecution().executedPlan().toString()
+    day = filters.service_day(table, "snapshot_ts_jst", date(2025, 11, 11))._jdf.queryExecution().executedPlan().toString()
+    assert "date_str_jst" in day.split("PartitionFilters: [")[1].split("]")[0]
     assert "PartitionFilters: [" in plan and "agency" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 

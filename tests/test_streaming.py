@@ -97,3 +97,14 @@ def test_minute_counts_drop_rows_behind_the_watermark(spark, tmp_path):
     drain()
     got = sorted((str(r.minute)[11:16], r.n) for r in spark.read.parquet(output).collect())
     assert got == [("00:00", 2), ("00:01", 1), ("00:04", 1), ("00:05", 1)]
+
+
+def test_files_move_once_they_are_taken_in(spark, tmp_path):
+    landing, base, offsets, done = tmp_path / "landing", str(tmp_path / "bronze"), str(tmp_path / "offsets"), tmp_path / "done"
+    done.mkdir()
+    for i in range(3):
+        land(landing, "trip_updates", "a", f"20251114_1000{i}0", f"t{i}")
+        cli.main(["ingest", "--landing", str(landing), "--output-dir", base, "--checkpoint", offsets, "--feed-type", "trip_updates",
+                  "--once", "--archive-dir", str(done)])
+    assert [t[2] for t in trips(spark, base)] == ["t0", "t1", "t2"]
+    assert 1 <= len(list(done.rglob("*.json"))) and len(list(landing.rglob("*.json"))) < 3
