@@ -40,7 +40,9 @@ def headway(stop_times: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
     """Every departure with ``headway_s``, the step from the previous departure of its group.
 
     Of several equal departures one carries the step and the others 0. Copies of a row are
-    counted first and repeated at the end, so they meet no window and no join.
+    counted first and repeated at the end, so they meet no window and no join. The join back is
+    one row per (keys, time) on its right side; should very many different trips share one
+    time, AQE splits their side of it.
     """
     keys = [*KEYS, *extra_keys]
     departures = with_departures(stop_times)

@@ -60,10 +60,6 @@ def _in_part(name: Column) -> Column:
     return F.when(F.col("part") == 0, name).otherwise(F.concat(F.format_string("part-%06d/", "part"), name))
 
 
-def _by_line(a: Column, b: Column) -> Column:
-    return F.when(a["line_no"] < b["line_no"], -1).when(a["line_no"] > b["line_no"], 1).otherwise(0)
-
-
 def static_documents(rows: DataFrame, feed_url: Column | None = None) -> DataFrame:
     """(name, content): schedule tables nested in one JSON document per feed.
 
@@ -73,7 +69,11 @@ def static_documents(rows: DataFrame, feed_url: Column | None = None) -> DataFra
     keyed = rows.select("label", "stamp", "table", "line_no", "row", (feed_url or F.lit(None).cast("string")).alias("feed_url"))
     parts = split_groups(keyed, ["label", "stamp"])
     per_table = parts.groupBy("label", "stamp", "feed_url", "part", "table").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("line_no", "row")), _by_line), lambda r: r["row"]).alias("records")
+        F.sort_array(F.collect_list(F.struct("line_no", F.map_entries("row").alias("entries")))).alias("records")
+    )
+    # Entries instead of maps, because maps have no order to sort by.
+    per_table = per_table.withColumn(
+        "records", F.transform("records", lambda r: F.map_from_entries(r["entries"]))
     )
     documents = per_table.groupBy("label", "stamp", "feed_url", "part").agg(
         F.map_from_entries(F.collect_list(F.struct("table", "records"))).alias("tables")
