@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.llm.bagminhash import near_classes
 from feedloom.llm.common import table
 from feedloom.llm.mixing import mix_documents
 from feedloom.llm.packing import pack_documents
@@ -35,6 +36,12 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near_classes(table(spark, sf_dir, "documents"))
+    kept = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("class_digest"))
+    return classes.select("doc_id", "class_id", kept.alias("kept"))
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -44,5 +51,5 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filter, op4_mix_sources, op8_pack, op9_shard)}
+QUERIES = {f.__name__: f for f in (op3_url_filter, op4_mix_sources, op5_bagminhash, op8_pack, op9_shard)}
 ORACLES: dict[str, str] = {}
