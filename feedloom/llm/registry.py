@@ -10,6 +10,7 @@ from feedloom.llm.common import table
 from feedloom.llm.mixing import mix_documents
 from feedloom.llm.packing import pack_documents
 from feedloom.llm.sharding import shard_documents
+from feedloom.llm.toxicity import toxicity
 from feedloom.llm.url_filter import filter_urls, labelled_urls
 
 URL_RULES = (
@@ -42,6 +43,10 @@ def op5_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", kept.alias("kept"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -51,5 +56,5 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filter, op4_mix_sources, op5_bagminhash, op8_pack, op9_shard)}
+QUERIES = {f.__name__: f for f in (op3_url_filter, op4_mix_sources, op5_bagminhash, op7_toxicity, op8_pack, op9_shard)}
 ORACLES: dict[str, str] = {}
