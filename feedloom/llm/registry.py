@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.bagminhash import near_classes
 from feedloom.llm.common import table
 from feedloom.llm.mixing import mix_documents
+from feedloom.llm.neighbours import nearest
 from feedloom.llm.packing import pack_documents
 from feedloom.llm.sharding import shard_documents
 from feedloom.llm.toxicity import toxicity
@@ -56,5 +57,10 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filter, op4_mix_sources, op5_bagminhash, op7_toxicity, op8_pack, op9_shard)}
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors["vec_id"] % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op3_url_filter, op4_mix_sources, op5_bagminhash, op7_toxicity, op8_pack, op9_shard, op10_neighbours)}
 ORACLES: dict[str, str] = {}
