@@ -11,6 +11,7 @@ from feedloom.llm.mixing import mix_documents
 from feedloom.llm.neighbours import nearest
 from feedloom.llm.packing import pack_documents
 from feedloom.llm.sharding import shard_documents
+from feedloom.llm.subspace_join import near_embeddings
 from feedloom.llm.toxicity import toxicity
 from feedloom.llm.url_filter import filter_urls, labelled_urls
 
@@ -44,6 +45,10 @@ def op5_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", kept.alias("kept"))
 
 
+def op6_subspace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -62,5 +67,5 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors["vec_id"] % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filter, op4_mix_sources, op5_bagminhash, op7_toxicity, op8_pack, op9_shard, op10_neighbours)}
+QUERIES = {f.__name__: f for f in (op3_url_filter, op4_mix_sources, op5_bagminhash, op6_subspace, op7_toxicity, op8_pack, op9_shard, op10_neighbours)}
 ORACLES: dict[str, str] = {}
