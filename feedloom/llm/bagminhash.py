@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import staged
+from feedloom.llm.common import staged, text_batches
 from feedloom.llm.graph import components
 from feedloom.llm.wordhash import counted, mix, shingles, text_chunks
 
@@ -136,6 +136,7 @@ def near_classes(docs: DataFrame, width: int = 5, threshold: float = 0.8, bands:
     components in a bucket, members outside its largest component are compared with all members of
     other components: no link between components is lost, and a bucket of copies costs its size.
     """
+    text_batches(docs.sparkSession)
     signed = staged(_signed(docs, width, bands, rows), "signatures")
     texts = staged(signed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("bands").alias("bands")), "texts")
     banded = texts.where("size > 0").select("digest", "size", F.explode("bands").alias("bucket"))

@@ -28,6 +28,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let the session hand texts to Python workers in batches of some megabytes, not 10,000 texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def tasks_for(spark: SparkSession, factor: int = 1) -> int:
     """Partitions for work that is heavy per row: the session's shuffle width."""
     return factor * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import ranked, staged, tasks_for
+from feedloom.llm.common import ranked, staged, tasks_for, text_batches
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _CACHED_WORDS, _CACHED_LENGTH = 400_000, 64
@@ -154,6 +154,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = 2048, end_id:
     columns are not read.
     """
     spark: SparkSession = docs.sparkSession
+    text_batches(spark)
     spread = docs.select("doc_id", "text").repartition(tasks_for(spark))
     pieces = staged(tokenized_pieces(spread, tokenizer, window, end_id), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}

@@ -12,6 +12,7 @@ from feedloom.llm.neighbours import nearest
 from feedloom.llm.packing import pack_documents
 from feedloom.llm.sharding import shard_documents
 from feedloom.llm.subspace_join import near_embeddings
+from feedloom.llm.suffix_dedup import removal_digest
 from feedloom.llm.toxicity import toxicity
 from feedloom.llm.url_filter import filter_urls, labelled_urls
 
@@ -30,6 +31,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_digest(table(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return filter_urls(pages, URL_RULES, labelled_urls(pages, URL_RULES))
@@ -67,5 +72,5 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors["vec_id"] % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filter, op4_mix_sources, op5_bagminhash, op6_subspace, op7_toxicity, op8_pack, op9_shard, op10_neighbours)}
+QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op3_url_filter, op4_mix_sources, op5_bagminhash, op6_subspace, op7_toxicity, op8_pack, op9_shard, op10_neighbours)}
 ORACLES: dict[str, str] = {}

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm.common import text_batches
 from feedloom.llm.wordhash import mix, range_hashes, text_chunks, word_ranges
 
 #: Identity terms; each is swapped with the others of its line.
@@ -65,7 +66,7 @@ def _lowered(docs: DataFrame) -> DataFrame:
 
 
 def training_rows(labelled: DataFrame, most: int) -> DataFrame:
-    """(label, found, other): features of labelled texts and of their swapped versions (null: same).
+    """(label, found, other): features (32-bit) of labelled texts and of their swapped versions (null: same).
 
     A bounded sample of at most ``most`` rows (text, label), those of smallest hash.
     """
@@ -85,15 +86,15 @@ def training_rows(labelled: DataFrame, most: int) -> DataFrame:
             other: list = [None] * len(texts)
             for i, found in zip(changed, lists([others[i] for i in changed])):
                 other[i] = found
-            kind = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(lists(texts), kind), pa.array(other, kind)], ["label", "found", "other"])
+            columns = ([None if x is None else x.astype(np.int32).tobytes() for x in kind] for kind in (lists(texts), other))
+            yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(c, pa.binary()) for c in columns)], ["label", "found", "other"])
 
     rows = _lowered(labelled).select("text", F.col("label").cast("int").alias("label")).where("label is not null")
     some = rows.orderBy(F.xxhash64("text", "label"), "text", "label").limit(most)
-    return some.mapInArrow(extract, "label int, found array<int>, other array<int>")
+    return some.mapInArrow(extract, "label int, found binary, other binary")
 
 
-def fit(examples: list[tuple[int, list[int], list[int] | None]], sparsity: float = 3e-4, fairness: float = 1.0, rounds: int = 150) -> Model:
+def fit(examples: list[tuple[int, np.ndarray, np.ndarray | None]], sparsity: float = 3e-4, fairness: float = 1.0, rounds: int = 150) -> Model:
     """Balanced logistic loss + sparsity * |w| + fairness * mean squared score change under swaps.
 
     Solved by accelerated proximal gradient. A text's score is its bias plus the weights of what
@@ -103,15 +104,16 @@ def fit(examples: list[tuple[int, list[int], list[int] | None]], sparsity: float
     labels = np.array([y for y, _, _ in examples], float)
     if not len(labels) or labels.min() == labels.max():
         return Model(np.zeros(DIMENSIONS), 0.0 if not len(labels) else (20.0 if labels[0] else -20.0))
-    row = np.repeat(np.arange(len(labels)), [len(f) for _, f, _ in examples])
-    column = np.concatenate([np.asarray(f, np.int64) for _, f, _ in examples])
-    pairs = [(np.asarray(f, np.int64), np.asarray(o, np.int64)) for _, f, o in examples if o is not None]
-    moves = [(np.setdiff1d(f, o), np.setdiff1d(o, f)) for f, o in pairs]
+    row = np.repeat(np.arange(len(labels), dtype=np.int32), [len(f) for _, f, _ in examples])
+    column = np.concatenate([f for _, f, _ in examples])
+    moves = [(np.setdiff1d(f, o), np.setdiff1d(o, f)) for _, f, o in examples if o is not None]
     swap = np.repeat(np.arange(len(moves)), [len(a) + len(b) for a, b in moves])
     swap_column = np.concatenate([np.concatenate(m) for m in moves]) if moves else np.zeros(0, np.int64)
     sign = np.concatenate([np.repeat([1.0, -1.0], [len(a), len(b)]) for a, b in moves]) if moves else np.zeros(0)
-    used, column = np.unique(np.concatenate([column, swap_column]), return_inverse=True)
-    column, swap_column = column[: len(row)], column[len(row) :]
+    often = np.bincount(column, minlength=DIMENSIONS) > 1  # what occurs in one example teaches nothing general
+    row, column = row[often[column]], column[often[column]]
+    used = np.union1d(column, swap_column)
+    column, swap_column = (np.searchsorted(used, c).astype(np.int32) for c in (column, swap_column))
     balance = np.where(labels > 0.5, 0.5 / labels.sum(), 0.5 / (1 - labels).sum())
     weights, bias = np.zeros(len(used)), 0.0
     ahead, ahead_bias, pace, step = weights, bias, 1.0, 1.0
@@ -148,14 +150,16 @@ def fit(examples: list[tuple[int, list[int], list[int] | None]], sparsity: float
     return Model(full, float(bias))
 
 
-def train(labelled: DataFrame, most: int = 8000, **options) -> Model:
+def train(labelled: DataFrame, most: int = 4000, **options) -> Model:
     """Fit on at most ``most`` of the labelled rows (text, label 0 or 1; null labels don't count)."""
     rows = training_rows(labelled, most).collect()
-    return fit([tuple(r) for r in rows], **options)
+    array = lambda x: None if x is None else np.frombuffer(x, np.int32)
+    return fit([(r["label"], array(r["found"]), array(r["other"])) for r in rows], **options)
 
 
 def score_texts(docs: DataFrame, model: Model, names: list[str] | None = None) -> DataFrame:
     """Add ``score`` (0 to 1) of each whole text to the columns ``names`` (default doc_id)."""
+    text_batches(docs.sparkSession)
     names = names or ["doc_id"]
     weights = model.weights.astype(np.float32)
 
@@ -181,7 +185,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
-def train_on(docs: DataFrame, labels: DataFrame, most: int = 8000) -> Model:
+def train_on(docs: DataFrame, labels: DataFrame, most: int = 4000) -> Model:
     """Train on documents joined with ``labels`` (doc_id, toxic), held-out ids left aside.
 
     Only ids and labels are shuffled until the bounded choice of ids is made.
@@ -191,7 +195,7 @@ def train_on(docs: DataFrame, labels: DataFrame, most: int = 8000) -> Model:
     return train(docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "label"), most)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, most: int = 8000) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, most: int = 4000) -> DataFrame:
     """Score every whole text of ``docs`` (doc_id, text).
 
     Returns doc_id, held_out, score (higher: likelier label 1; null and empty texts get the bias

@@ -30,7 +30,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 _UP, _DOWN = _powers(_BASE, _STEP + 1), _powers(_INVERSE, _STEP + 1)
 
 
-def text_chunks(column: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def text_chunks(column: pa.Array, most: int = 1 << 19) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, row offsets from 0) of runs of rows of about ``most`` bytes; nulls are empty.
 
     A text longer than that is a run of its own, whole.
