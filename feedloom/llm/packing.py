@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+import sys
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from zlib import crc32
 
@@ -10,47 +13,79 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import ranked, staged, tasks_for, text_batches
+from feedloom.llm.common import ranked, staged, text_batches
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-_CACHED_WORDS, _CACHED_LENGTH = 400_000, 64
+_CACHED_WORDS, _CACHED_LENGTH = 250_000, 48
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
+#: Fixed value: how byte-level BPE cuts text into the pieces that it encodes one by one.
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_ranks(model: dict) -> dict[bytes, int]:
+    """A byte-level vocabulary as ranks of byte strings. Its file writes bytes that don't print as
+    the characters from 256 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+    return {bytes(byte_of[c] for c in token): rank for token, rank in model["vocab"].items()}
+
+
+def text_encoder(path: str) -> Callable[[str], Sequence[int]]:
+    """Ids of a text under a tokenizer file; strings of special tokens are ordinary text.
+
+    Plain byte-level BPE, whose merges come in order of their ids, runs on the faster of two
+    libraries, with equal ids; any other file on the general one.
+    """
     from tokenizers import Tokenizer
 
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    cut = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    model, cutter = parts["model"], parts["pre_tokenizer"] or {}
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model.get("merges", [])]
+    ids = [model["vocab"].get(m, -1) for m in merged]
+    if model["type"] == "BPE" and not parts["normalizer"] and cut.items() <= cutter.items() and ids == sorted(ids):
+        import tiktoken
+
+        return tiktoken.Encoding("file", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=_byte_ranks(model), special_tokens={}).encode_ordinary
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
 class _Words(dict):
-    """Token ids (little-endian unsigned 32-bit) of words, filled as they come; bounded."""
+    """Token ids (little-endian unsigned 32-bit) of words; keeps the first ones, a bounded number."""
 
     def __init__(self, path: str):
         super().__init__()
-        self.tokenizer = _tokenizer(path)
+        self.ids = text_encoder(path)
+        self.splits = getattr(self.ids, "__name__", "") == "encode_ordinary"
 
     def encode(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return array("I", self.ids(text)).tobytes() if sys.byteorder == "little" else b"".join(i.to_bytes(4, "little") for i in self.ids(text))
 
     def __missing__(self, word: str) -> bytes:
         ids = self.encode(word)
-        if len(word) <= _CACHED_LENGTH:
-            if len(self) >= _CACHED_WORDS:
-                self.clear()
+        if len(word) <= _CACHED_LENGTH and len(self) < _CACHED_WORDS:
             self[word] = ids
         return ids
 
 
+@lru_cache(maxsize=1)
+def _words(path: str) -> _Words:
+    """One cache for all tasks of a Python worker."""
+    return _Words(path)
+
+
 def _text_ids(text: str, words: _Words) -> bytes:
     """Ids of a whole text. The byte-level pattern never joins a word with the single blank after it,
-    so a text without double blanks is the sum of its blank-led words; others are encoded whole."""
+    so a text without double blanks is the sum of its blank-led words; others are encoded whole.
+    That holds for the byte-level pattern only, so ``words.splits`` says whether to."""
     if not text:
         return b""
-    if "  " in text:
+    if "  " in text or not words.splits:
         return words.encode(text)
     first, *others = text.split(" ")
     return words[first] + b"".join([words[" " + w] for w in others])
@@ -60,7 +95,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int)
     """One row per piece: full windows from the start of each document, then what is left."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = _Words(tokenizer), end_id.to_bytes(4, "little")
+        words, end = _words(tokenizer), end_id.to_bytes(4, "little")
         names = [n.split()[0] for n in _PIECES.split(", ")]
         for batch in batches:
             out: list[list] = [[] for _ in names]
@@ -155,8 +190,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = 2048, end_id:
     """
     spark: SparkSession = docs.sparkSession
     text_batches(spark)
-    spread = docs.select("doc_id", "text").repartition(tasks_for(spark))
-    pieces = staged(tokenized_pieces(spread, tokenizer, window, end_id), "pieces")
+    pieces = staged(tokenized_pieces(docs, tokenizer, window, end_id), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     plan = best_fit_decreasing(counts, window)
     schema = "length long, first long, pieces long, sequence long, used long, each long"

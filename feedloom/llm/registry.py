@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.bagminhash import near_classes
 from feedloom.llm.common import table
+from feedloom.llm.license_scan import scan_licenses
+from feedloom.llm.license_texts import LICENSE_TEXTS
 from feedloom.llm.mixing import mix_documents
 from feedloom.llm.neighbours import nearest
 from feedloom.llm.packing import pack_documents
@@ -31,6 +33,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"), LICENSE_TEXTS)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digest(table(spark, sf_dir, "documents"))
 
@@ -72,5 +78,5 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors["vec_id"] % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op3_url_filter, op4_mix_sources, op5_bagminhash, op6_subspace, op7_toxicity, op8_pack, op9_shard, op10_neighbours)}
+QUERIES = {f.__name__: f for f in (op1_licenses, op2_suffix_dedup, op3_url_filter, op4_mix_sources, op5_bagminhash, op6_subspace, op7_toxicity, op8_pack, op9_shard, op10_neighbours)}
 ORACLES: dict[str, str] = {}
