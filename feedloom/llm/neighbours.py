@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -26,9 +27,15 @@ def unit_rows(vectors: pd.Series) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def collision_rate(width: float, distance: float) -> float:
-    """Chance that projections of vectors ``distance`` apart differ by at most ``width``."""
-    return math.erf(width / distance / math.sqrt(2)) if distance > 0 else 1.0
+def sure_width(axes: int, need: int, sigma: float) -> float:
+    """Window (each side) per unit of distance at which a row collides on ``need`` of the axes with
+    ``sigma`` standard deviations to spare: projections differ by a normal of that distance."""
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        rate = (low + high) / 2
+        enough = rate * axes - sigma * math.sqrt(axes * rate * (1 - rate)) >= need
+        low, high = (low, rate) if enough else (rate, high)
+    return NormalDist().inv_cdf(min(1 - 1e-12, (1 + high) / 2))
 
 
 def search_block(base: np.ndarray, queries: np.ndarray, k: int, axes: np.ndarray, frequent: float, sigma: float, first_width: float, growth: float) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -38,26 +45,29 @@ def search_block(base: np.ndarray, queries: np.ndarray, k: int, axes: np.ndarray
     of its own projection and grows by ``growth`` (virtual rehashing: wider buckets of the same
     hash); only the new margins are counted. Rows that have collided on at least ``frequent`` of
     the axes are verified once. The search ends when a row as near as the k-th best would have
-    reached that count with ``sigma`` standard deviations to spare, or all rows were verified.
+    reached that count with ``sigma`` standard deviations to spare, or all rows were verified;
+    no window grows beyond what that asks for.
     """
     m, n = axes.shape[1], len(base)
     need = math.ceil(frequent * m)
+    per_distance = sure_width(m, need, sigma)
     projected = base @ axes
     order = np.argsort(projected, axis=0, kind="stable").T.copy()
     lines = np.take_along_axis(projected.T, order, axis=1)
     out = []
     for q, at in zip(queries, queries @ axes):
-        counts = np.zeros(n, np.int16)
+        counts = np.zeros(n, np.int64)
         done = np.zeros(n, bool)
         rows, cosines = np.zeros(0, np.int64), np.zeros(0)
         low = np.array([np.searchsorted(line, x) for line, x in zip(lines, at)])
         high, width = low.copy(), first_width
         while True:
+            margins = []
             for j in range(m):
-                left, right = np.searchsorted(lines[j], (at[j] - width, at[j] + width), "left")
-                counts[order[j, left : low[j]]] += 1
-                counts[order[j, high[j] : right]] += 1
-                low[j], high[j] = min(left, low[j]), max(right, high[j])
+                left, right = lines[j].searchsorted((at[j] - width, at[j] + width))
+                margins += [order[j, left : low[j]], order[j, high[j] : right]]
+                low[j], high[j] = left, right
+            counts += np.bincount(np.concatenate(margins), minlength=n)
             fresh = np.flatnonzero((counts >= need) & ~done)
             done[fresh] = True
             rows = np.concatenate([rows, fresh])
@@ -66,15 +76,17 @@ def search_block(base: np.ndarray, queries: np.ndarray, k: int, axes: np.ndarray
                 break
             if len(rows) > k:  # the query itself may be among them
                 kth = np.partition(cosines, len(cosines) - k - 1)[len(cosines) - k - 1]
-                rate = collision_rate(width, math.sqrt(max(1e-12, 2 - 2 * kth)))
-                if rate * m - sigma * math.sqrt(m * rate * (1 - rate)) >= need:
+                enough = per_distance * math.sqrt(max(1e-12, 2 - 2 * kth))
+                if width >= enough:
                     break
-            width *= growth
+                width = min(width * growth, enough)
+            else:
+                width *= growth
         out.append((rows, cosines))
     return out
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, axes: int = 64, frequent: float = 0.5, sigma: float = 1.8, block: int = 8192, query_block: int = 256, seed: int = 7) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, axes: int = 64, frequent: float = 0.6, sigma: float = 1.0, block: int = 32768, query_block: int = 256, seed: int = 7) -> DataFrame:
     """The ``k`` nearest rows (vec_id, embedding) by cosine for each query row, others than itself.
 
     Returns query_id, rank (from 1; ties to the smaller id), vec_id and score (the cosine of the
@@ -101,7 +113,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, axes: int = 64, fr
             some, queries = some.sort_values("vec_id", kind="stable"), queries.sort_values("vec_id", kind="stable")
             ids = some["vec_id"].to_numpy()
             units, points = unit_rows(some["embedding"]), unit_rows(queries["embedding"])
-            searched = search_block(units, points, k, lines, frequent, sigma, 0.05, 1.4)
+            searched = search_block(units, points, k, lines, frequent, sigma, 0.1, 2.0)
             for query_id, point, (at, cosines) in zip(queries["vec_id"], points, searched):
                 other = ids[at] != query_id
                 at, cosines = at[other], cosines[other]
