@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from feedloom.plans import normalise
-from feedloom.streaming.ingest import DEFAULT_INTERVAL, ingest_once, stream_bronze
+from feedloom.streaming.ingest import DEFAULT_INTERVAL, stream_bronze, stream_with_static
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -29,7 +29,9 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--landing", required=True)
     ingest.add_argument("--output-dir", required=True)
     ingest.add_argument("--checkpoint", required=True)
-    ingest.add_argument("--feed-type", default="realtime", choices=["trip_updates", "vehicle_positions", "realtime", "all"])
+    ingest.add_argument("--feed-type", default="realtime", choices=["trip_updates", "vehicle_positions", "realtime", "gtfs_static", "all"])
+    ingest.add_argument("--bundles", help="schedule bundles, for gtfs_static and all")
+    ingest.add_argument("--schedule-dir", help="where schedule tables go, for gtfs_static and all")
     ingest.add_argument("--interval", type=int, default=DEFAULT_INTERVAL)
     ingest.add_argument("--once", action="store_true")
     ingest.add_argument("--quarantine-dir")
@@ -42,7 +44,10 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> None:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if getattr(args, "feed_type", "") in ("gtfs_static", "all") and not (args.bundles and args.schedule_dir):
+        parser.error(f"--feed-type {args.feed_type} needs --bundles and --schedule-dir")
     spark = SparkSession.builder.appName(f"feedloom-{args.command}").getOrCreate()
     if args.command == "normalise":
         normalise.normalise_folder(
@@ -50,17 +55,29 @@ def main(argv: list[str] | None = None) -> None:
         )
     elif args.command == "archives" and args.show_agencies:
         report = normalise.archive_agencies(spark, args.input_dir, args.pattern, args.agency_filter)
-        report.orderBy("agency").show(1000, truncate=False)
+        if args.output_dir:
+            report.write.mode("overwrite").parquet(args.output_dir)
+        else:
+            for row in report.orderBy("agency").toLocalIterator():
+                print(*row, sep="\t")
     elif args.command == "archives":
         normalise.normalise_archives(
             spark, args.input_dir, args.output_dir, args.pattern, args.agency_filter, args.feed_type
         )
     elif args.command == "ingest":
-        options = {"quarantine_dir": args.quarantine_dir, "archive_dir": args.archive_dir}
+        options = {"quarantine_dir": args.quarantine_dir, "archive_dir": args.archive_dir, "interval": args.interval, "once": args.once}
+        place = (spark, args.landing, args.output_dir, args.checkpoint)
+        refresh = lambda: normalise.refresh_static_tables(spark, args.bundles, args.schedule_dir)
+        if args.feed_type == "gtfs_static":
+            return refresh()
+        if args.feed_type == "all":
+            queries = stream_with_static(*place, refresh, selection="realtime", **options)
+        else:
+            queries = stream_bronze(*place, args.feed_type, **options)
         if args.once:
-            ingest_once(spark, args.landing, args.output_dir, args.checkpoint, args.feed_type, **options)
+            for query in queries:
+                query.awaitTermination()
         else:
-            stream_bronze(spark, args.landing, args.output_dir, args.checkpoint, args.feed_type, args.interval, **options)
             # The first query to fail ends the application; a restart resumes from the checkpoint.
             spark.streams.awaitAnyTermination()
     else:

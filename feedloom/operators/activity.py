@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.session import shared_dir
+
 
 def minute_counts(df: DataFrame, ts: str, by: Sequence[str] = ()) -> DataFrame:
     """(by, minute, n) of the minutes that have records."""
@@ -19,7 +21,8 @@ def records_per_minute(df: DataFrame, ts: str, by: Sequence[str] = ()) -> DataFr
 
     The minutes are laid out day by day, so a long span is spread over tasks.
     """
-    counts = minute_counts(df, ts, by)
+    shared_dir(df.sparkSession)
+    counts = minute_counts(df, ts, by).checkpoint()  # one row per minute; both sides below read it
     span = counts.groupBy(*by).agg(F.min("minute").alias("first"), F.max("minute").alias("last"))
     one_day, one_minute = F.expr("interval 1 day"), F.expr("interval 1 minute")
     days = span.where("first is not null").select(
@@ -58,15 +61,19 @@ def filter_counts(df: DataFrame, **predicates: Column) -> DataFrame:
 def downsample_positions(vp: DataFrame, every: str = "1 second", ts: str = "snapshot_ts_jst") -> DataFrame:
     """Per vehicle and time bucket: first position and mean speed, buckets aligned to the epoch.
 
-    Fixed-width buffers keep this a hash aggregation. Which of several rows of one vehicle at
-    the very same time comes first is open, but its two coordinates stay together.
+    Of several rows of one vehicle at the very same time the smallest (latitude, longitude) comes
+    first. The tie is settled per time, then the earliest time of a bucket is taken.
     """
-    located = vp.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    reduced = located.groupBy("vehicle_id", F.window(F.col(ts), every)).agg(
-        F.min_by("lat", ts).alias("latitude"),
-        F.min_by("lon", ts).alias("longitude"),
-        F.avg("speed").alias("speed"),
-        F.count("*").alias("n"),
+    located = vp.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).withColumn("_place", F.struct("lat", "lon"))
+    # per exact time first, so that a tie is settled before the earliest time is taken
+    at_once = located.groupBy("vehicle_id", ts).agg(
+        F.min("_place")["lat"].alias("latitude"), F.min("_place")["lon"].alias("longitude"), F.sum("speed").alias("_sum"), F.count("speed").alias("_speeds"), F.count("*").alias("n")
+    )
+    reduced = at_once.groupBy("vehicle_id", F.window(F.col(ts), every)).agg(
+        F.min_by("latitude", ts).alias("latitude"),
+        F.min_by("longitude", ts).alias("longitude"),
+        (F.sum("_sum") / F.sum("_speeds")).alias("speed"),
+        F.sum("n").alias("n"),
     )
     start = F.col("window.start").cast("timestamp_ntz").alias(ts)
     return reduced.select("vehicle_id", start, "latitude", "longitude", "speed", "n")

@@ -25,7 +25,8 @@ COST_BUDGET = 0.10
 FIRST_DUAL = 0.1
 Q_RATE = 0.3
 Q_DISCOUNT = 0.98
-N_ACTIONS = 4
+# Rows of a run that one window holds.
+SEGMENT = 1 << 16
 
 
 def uniform_from_key(key: Column, seed: int) -> Column:
@@ -136,43 +137,13 @@ def ema_dual(
     Both recursions are unrolled into running sums and a running minimum over segments of a
     fixed number of rows, with one carried row per (run, segment); no run is held in one place.
     """
-    keep, keys = 1.0 - rate, list(keys)
-    # (1-a)^-length stays within 1e120, and four segments back it has underflowed to nothing.
-    length = 1 << 16 if keep <= 0 else max(1, min(1 << 16, int(math.log(1e120) / -math.log(keep))))
-    back = math.ceil(math.log(1e-320) / (length * math.log(keep))) if keep > 0 else 1
-
+    keys = list(keys)
     numbered = with_row_number(freeze_order(df, keys, order), keys)
-    rows = numbered.withColumns(
-        {
-            "_seg": F.floor((F.col("_t") - 1) / length).cast("bigint"),
-            "_j": ((F.col("_t") - 1) % length + 1).cast("double"),
-        }
-    )
-    segment = [*keys, "_seg"]
+    scaled = numbered.withColumn("_x", F.col(x).cast("double") * rate)
+    rows = _decayed_sum(scaled, keys, "_t", "_x", 1.0 - rate, "ema")
+    rows = rows.withColumn("_seg", F.floor((F.col("_t") - 1) / SEGMENT).cast("bigint"))
+    segment, across = [*keys, "_seg"], Window.partitionBy(*keys).orderBy("_seg")
     running = Window.partitionBy(*segment).orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
-    if keep > 0:
-        scaled = F.sum(F.col(x) * F.pow(F.lit(keep), -F.col("_j"))).over(running)
-        local = F.pow(F.lit(keep), F.col("_j")) * scaled * rate
-    else:
-        local = F.col(x).cast("double")
-    rows = rows.withColumn("_local", local)
-
-    # The last value of a segment is a plain sum, so it needs no window and combines map-side.
-    if keep > 0:
-        last = F.sum(F.col(x) * F.pow(F.lit(keep), -F.col("_j"))) * F.pow(F.lit(keep), F.max("_j")) * rate
-    else:
-        last = F.max_by(F.col(x).cast("double"), "_t")
-    ends = rows.groupBy(*segment).agg(last.alias("_end"))
-    across = Window.partitionBy(*keys).orderBy("_seg")
-    carried = sum(
-        (
-            F.coalesce(F.lag("_end", step).over(across), F.lit(0.0)) * (keep ** (length * (step - 1)))
-            for step in range(1, back + 1)
-        ),
-        F.lit(0.0),
-    )
-    rows = _join_segment(rows, ends.select(*segment, carried.alias("_carry")), segment)
-    rows = rows.withColumn("ema", F.col("_local") + F.pow(F.lit(keep), F.col("_j")) * F.col("_carry"))
 
     # weight_t = S_t + max(first, max over j<=t of -S_j), with S the running sum of the steps.
     rows = rows.withColumn("_sum", F.sum(dual_rate * (F.col("ema") - budget)).over(running))
@@ -188,6 +159,41 @@ def ema_dual(
     return rows.select(*df.columns, F.col("_t").alias("step"), "ema", dual.alias("dual_weight"))
 
 
+def _decayed_sum(rows: DataFrame, keys: list[str], at: str, x: str, keep: float, name: str) -> DataFrame:
+    """Add ``name``: the sum over earlier positions j (from 1, gapless) of keep^(t - j) * x_j.
+
+    Positions are cut into segments; a segment's last sum is carried on by the same recursion over
+    segments, with keep^length, until one segment is left or older ones have decayed to nothing.
+    Null x count as 0.
+    """
+    # keep^-length stays within 1e120, so scaled sums don't overflow.
+    within = 1 if keep <= 0 else SEGMENT if keep >= 1 else max(1, min(SEGMENT, int(math.log(1e120) / -math.log(keep))))
+    seg, j = f"{at}_seg", f"{at}_j"
+    position = F.col(at) - 1
+    rows = rows.withColumns({seg: F.floor(position / within).cast("bigint"), j: (position % within + 1).cast("double")})
+    running = Window.partitionBy(*keys, seg).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    value = F.coalesce(F.col(x), F.lit(0.0))
+    if within == 1 and keep <= 0:
+        return rows.withColumn(name, value).drop(seg, j)
+    scaled = value * F.pow(F.lit(keep), -F.col(j))
+    # The last sum of a segment needs no window and combines map-side.
+    ends = rows.groupBy(*keys, seg).agg((F.sum(scaled) * F.pow(F.lit(keep), F.max(j))).alias("_end"))
+    across = Window.partitionBy(*keys).orderBy(seg)
+    onward, carried = keep**within, F.col("_carry")
+    if onward**4 < 1e-320:  # after a few segments nothing is left
+        back = 1 if onward == 0 else math.ceil(-320 / math.log10(onward))
+        lags = [F.coalesce(F.lag("_end", k).over(across), F.lit(0.0)) * onward ** (k - 1) for k in range(1, back + 1)]
+        ends = ends.withColumn("_carry", sum(lags[1:], lags[0]))
+    elif (ends.agg(F.max(seg)).first()[0] or 0) == 0:
+        ends = ends.withColumn("_carry", F.lit(0.0))
+    else:
+        ends = _decayed_sum(ends.withColumn(f"{at}_up", F.col(seg) + 1), keys, f"{at}_up", "_end", onward, "_whole")
+        ends = ends.withColumn("_carry", F.coalesce(F.lag("_whole").over(across), F.lit(0.0)))
+    rows = rows.withColumn("_local", F.pow(F.lit(keep), F.col(j)) * F.sum(scaled).over(running))
+    rows = _join_segment(rows, ends.select(*keys, seg, "_carry"), [*keys, seg])
+    return rows.withColumn(name, F.col("_local") + F.pow(F.lit(keep), F.col(j)) * carried).drop(seg, j, "_local", "_carry")
+
+
 def _join_segment(rows: DataFrame, side: DataFrame, segment: list[str]) -> DataFrame:
     extra = [c for c in side.columns if c not in segment]
     same = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in segment]
@@ -195,12 +201,17 @@ def _join_segment(rows: DataFrame, side: DataFrame, segment: list[str]) -> DataF
 
 
 def q_sweep(
-    transitions: DataFrame, q: DataFrame | None = None, alpha: float = Q_RATE, gamma: float = Q_DISCOUNT, sweeps: int = 1
+    transitions: DataFrame,
+    n_actions: int,
+    q: DataFrame | None = None,
+    alpha: float = Q_RATE,
+    gamma: float = Q_DISCOUNT,
+    sweeps: int = 1,
 ) -> DataFrame:
     """(s, a, q) after K batch sweeps over logged (s, a, r, s2, done).
 
     The log is read once: it shrinks to one row per (s, a, s2, done) with its count and reward
-    sum, and every sweep runs on that. Unseen values count as 0. Lineage is cut every sweep.
+    sum, and every sweep runs on that. Unseen values of the ``n_actions`` actions count as 0. Lineage is cut every sweep.
     """
     shared_dir(transitions.sparkSession)
     model = transitions.groupBy("s", "a", "s2", "done").agg(F.sum("r").alias("r_sum"), F.count("*").alias("n")).checkpoint()
@@ -209,7 +220,7 @@ def q_sweep(
     for sweep in range(sweeps):
         # An action without a value counts as 0, so a state not valued for all actions has at least 0.
         best = current.groupBy(F.col("s").alias("s2")).agg(F.max("q").alias("_q"), F.count("*").alias("_a"))
-        value = best.select("s2", F.when(F.col("_a") < N_ACTIONS, F.greatest("_q", F.lit(0.0))).otherwise(F.col("_q")).alias("v"))
+        value = best.select("s2", F.when(F.col("_a") < n_actions, F.greatest("_q", F.lit(0.0))).otherwise(F.col("_q")).alias("v"))
         future = F.when(F.col("done"), F.lit(0.0)).otherwise(gamma * F.coalesce("v", F.lit(0.0)))
         targets = (
             model.join(value, "s2", "left")
@@ -224,7 +235,7 @@ def q_sweep(
     return current
 
 
-def greedy_policy(q: DataFrame, states: DataFrame | None = None) -> DataFrame:
+def greedy_policy(q: DataFrame, n_actions: int, states: DataFrame | None = None) -> DataFrame:
     """(s, action): best action per state, lowest on ties; 0 for a state of ``states`` without values.
 
     Actions without a value count as 0, so they win over negative values.
@@ -233,7 +244,7 @@ def greedy_policy(q: DataFrame, states: DataFrame | None = None) -> DataFrame:
         F.max(F.struct("q", (-F.col("a")).alias("neg"))).alias("best"),
         F.array_sort(F.collect_set("a")).alias("seen"),
     )
-    unseen = F.array_except(F.sequence(F.lit(0), F.lit(N_ACTIONS - 1)), F.transform("seen", lambda a: a.cast("int")))
+    unseen = F.array_except(F.sequence(F.lit(0), F.lit(n_actions - 1)), F.transform("seen", lambda a: a.cast("int")))
     first_unseen = F.get(unseen, 0)
     best_action = (-F.col("best.neg")).cast("int")
     action = F.when(

@@ -15,10 +15,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Enough rows to order in one task without a thought.
-SMALL = 1_000_000
-
-
 @dataclass(frozen=True)
 class Level:
     """One coarsening of the order.
@@ -51,8 +47,6 @@ def _cut(df: DataFrame, levels: Sequence[Level], start: int, stop: int) -> tuple
             return df.limit(0), 0, 0
         df = df.where(level.within(reached["low"], reached["high"]))
         start, stop = start - reached["before"], stop - reached["before"]
-        if reached["n"] <= max(SMALL, 2 * (stop - start)):
-            break
     return df, start, stop
 
 

@@ -15,10 +15,18 @@ from feedloom.sources.schemas import FEED_TYPES
 def document_log(docs: DataFrame, agencies: str | None = None) -> DataFrame:
     """One row per document: what it holds, and whether it is processed or skipped.
 
-    A document is skipped when it is bad, yields no rows, or its agency is filtered out.
+    A document is skipped when it is bad, yields no rows, or its agency is filtered out. Parts of
+    one document count as one, which is bad if any part is.
     """
     rows = document_row_count(F.col("feed_type"), F.col("doc"))
-    log = docs.select("snapshot_filename", "feed_type", "agency", "size_bytes", "status", rows.alias("rows"))
+    parts = docs.select("document", "feed_type", "agency", "size_bytes", "status", rows.alias("rows"))
+    log = parts.groupBy("document").agg(
+        F.max("feed_type").alias("feed_type"),
+        F.max("agency").alias("agency"),
+        F.sum("size_bytes").alias("size_bytes"),
+        F.coalesce(F.min(F.when(F.col("status") != "ok", F.col("status"))), F.lit("ok")).alias("status"),
+        F.sum("rows").alias("rows"),
+    )
     usable = (F.col("status") == "ok") & (F.col("rows") > 0)
     allowed = F.col("agency").isin(agency_list(agencies)) if agencies else F.lit(True)
     return log.withColumns({"usable": usable, "processed": usable & allowed})

@@ -16,7 +16,7 @@ from feedloom.functions.clock import epoch_seconds, ts_to_stamp
 from feedloom.functions.names import artifact_name
 from feedloom.plans.views import view
 from feedloom.session import fresh_dir
-from feedloom.sources.documents import snapshot_documents, split_groups, write_documents
+from feedloom.sources.documents import in_parts, snapshot_documents, write_documents
 from feedloom.sources.files import write_named_files
 from feedloom.sources.protobuf import encode_entities
 
@@ -80,13 +80,13 @@ def entity_id() -> Column:
     return F.concat(F.lit("e"), F.col("event_id").cast("string"))
 
 
-def flat_documents(rows: DataFrame, feed_type: str) -> DataFrame:
-    return snapshot_documents(rows, flat_item(feed_type), extra={"timestamp": F.col("timestamp")})
+def flat_documents(rows: DataFrame, feed_type: str, parts: int = 1) -> DataFrame:
+    return snapshot_documents(rows, flat_item(feed_type), extra={"timestamp": F.col("timestamp")}, parts=parts)
 
 
 def entity_documents(rows: DataFrame, feed_type: str) -> DataFrame:
     keyed = rows.select(*_KEYS, entity_item(feed_type).alias("_item"))
-    grouped = split_groups(keyed, _KEYS).groupBy(*_KEYS, "part").agg(F.collect_list("_item").alias("entity"))
+    grouped = in_parts(keyed, _KEYS, 1, ["_item"]).groupBy(*_KEYS, "part").agg(F.collect_list("_item").alias("entity"))
     content = F.to_json(
         F.struct(F.struct(F.lit("2.0").alias("gtfs_realtime_version"), "timestamp").alias("header"), "entity")
     )
@@ -189,8 +189,8 @@ def payloads(spark: SparkSession, sf_dir: str, feed_type: str) -> DataFrame:
     rows = cycle_rows(spark, sf_dir, feed_type)
     fields = ["trip_id", "route_id", "vehicle_id"]
     extra = ["delay"] if feed_type == "trip_updates" else [position_struct().alias("position")]
-    keyed = rows.select(*_KEYS, F.struct(entity_id().alias("id"), *fields, *extra).alias("_item"))
-    grouped = split_groups(keyed, _KEYS).groupBy(*_KEYS, "part").agg(F.collect_list("_item").alias("entities"))
+    keyed = rows.select(*_KEYS, F.struct(entity_id().alias("id"), *fields, F.col("item_time").alias("timestamp"), *extra).alias("_item"))
+    grouped = in_parts(keyed, _KEYS, 1, ["_item"]).groupBy(*_KEYS, "part").agg(F.collect_list("_item").alias("entities"))
     name = artifact_name(F.lit("rt_raw"), F.col("feed_type"), F.col("label"), F.col("stamp"))
     placed = grouped.withColumn("name", F.concat(F.format_string("part-%06d/", "part"), name))
     return encode_entities(placed, ["name", "feed_type", "timestamp"]).select("name", "content")

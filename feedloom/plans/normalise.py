@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,11 @@ from feedloom.operators.filters import feed_types
 from feedloom.operators.flatten import flatten
 from feedloom.operators.headway import headway_by_route, headway_stats
 from feedloom.operators.reports import document_log, ingest_report
-from feedloom.sources.archives import read_archives
+from feedloom.session import fresh_dir
+from feedloom.sources.archives import scan_archives
 from feedloom.sources.bronze import write_bronze
+from feedloom.sources.files import read_payloads
+from feedloom.sources.protobuf import decode_trip_updates, decode_vehicle_positions
 from feedloom.sources.snapshots import (
     documents_from_members,
     documents_from_names,
@@ -44,13 +49,13 @@ def normalise_folder(
     for feed_type in feed_types(selection):
         write_bronze(snapshot_rows(spark, landing, feed_type, agencies), base, feed_type)
         if quarantine_dir is not None:
-            docs = documents_from_names(read_snapshot_files(spark, landing, feed_type))
-            quarantine(docs).write.mode("overwrite").parquet(f"{quarantine_dir}/{feed_type}")
+            files = of_named_agencies(read_snapshot_files(spark, landing, feed_type), agencies)
+            quarantine(documents_from_names(files)).write.mode("overwrite").parquet(f"{quarantine_dir}/{feed_type}")
 
 
 def archive_documents(spark: SparkSession, base: str, pattern: str = "*.tar*", selection: str = "both", **quirks) -> DataFrame:
     """Parsed members of all archives; all archives are read before anything is written."""
-    return documents_from_members(read_archives(spark, base, pattern, selection), **quirks)
+    return documents_from_members(scan_archives(spark, base, pattern, selection), **quirks)
 
 
 def normalise_archives(
@@ -60,12 +65,20 @@ def normalise_archives(
     pattern: str = "*.tar*",
     agencies: str | None = None,
     selection: str = "both",
+    quarantine_dir: str | None = None,
     **quirks,
 ) -> None:
-    """Archive members to bronze. Rows of one date from several archives end up together."""
+    """Archive members to bronze. Rows of one date from several archives end up together.
+
+    Archives are opened once; their members wait in the shared folder and are parsed per feed.
+    """
+    members = fresh_dir(spark, "members")
+    scan_archives(spark, archives, pattern, selection).write.option("compression", "zstd").parquet(members)
     for feed_type in feed_types(selection):
-        docs = archive_documents(spark, archives, pattern, feed_type, **quirks)
+        docs = documents_from_members(spark.read.parquet(members).where(F.col("feed_type") == feed_type), **quirks)
         write_bronze(flatten(keep_agencies(docs, agencies), feed_type), base, feed_type)
+    if quarantine_dir is not None:
+        quarantine(documents_from_members(spark.read.parquet(members), **quirks)).write.mode("overwrite").parquet(quarantine_dir)
 
 
 def archive_agencies(spark: SparkSession, archives: str, pattern: str = "*.tar*", agencies: str | None = None) -> DataFrame:
@@ -85,9 +98,41 @@ def headway_report(spark: SparkSession, stop_times_csv: str) -> tuple[DataFrame,
 
 
 def refresh_static_tables(spark: SparkSession, bundles: str, base: str) -> None:
-    """Rewrite the schedule rows of all bundles as one table partitioned by table name."""
+    """Write the schedule rows of all bundles as a new version below ``base``.
+
+    A version is a folder of its own, partitioned by table name, and counts once it is complete, so
+    readers see one whole version and a refresh that runs twice gives equal versions.
+    """
     rows = good_rows(read_static_bundles(spark, bundles))
-    rows.hint("rebalance", "table").write.mode("overwrite").option("compression", "zstd").partitionBy("table").parquet(base)
+    version = f"{base.rstrip('/')}/version-{time.time_ns():020d}"
+    rows.hint("rebalance", "table").write.option("compression", "zstd").partitionBy("table").parquet(version)
+
+
+def read_static_tables(spark: SparkSession, base: str) -> DataFrame:
+    """The schedule rows of the last complete version."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/version-*/_SUCCESS")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return spark.read.parquet(max(s.getPath().getParent().toString() for s in found))
+
+
+def payload_documents(payloads: DataFrame, feed_type: str) -> DataFrame:
+    """Parsed documents of protobuf payloads ``(path, content)`` named as snapshots.
+
+    Each payload becomes the flat document that its snapshot would hold, so it takes the same way to
+    bronze; one that can't be decoded has no text and ends in quarantine as ``bad_json``.
+    """
+    decode = decode_trip_updates if feed_type == "trip_updates" else decode_vehicle_positions
+    document = F.struct(F.lit(feed_type).alias("feed_type"), "timestamp", F.col(feed_type))
+    name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.pb$", ".json")
+    text = F.when(F.col(feed_type).isNotNull(), F.to_json(document)).otherwise("")
+    return documents_from_names(decode(payloads).select(name.alias("snapshot_filename"), text.alias("content")))
+
+
+def payloads_to_bronze(spark: SparkSession, landing: str, base: str, selection: str = "both", pattern: str = "*.pb") -> None:
+    """Raw payload files below ``landing`` to bronze."""
+    for feed_type in feed_types(selection):
+        payloads = read_payloads(spark, landing, f"gtfs_rt_{feed_type}_{pattern}")
+        write_bronze(flatten(payload_documents(payloads, feed_type), feed_type), base, feed_type)
 
 
 def map_table(vp: DataFrame) -> DataFrame:

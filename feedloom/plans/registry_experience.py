@@ -55,14 +55,15 @@ def masked_argmax(spark, sf_dir):
 @query(
     "duelling_q",
     with_views(
-        """select id, round(priority + q0 - (q0 + q1 + q2 + q3) / 4, 6) as d0, round(priority + q3 - (q0 + q1 + q2 + q3) / 4, 6) as d3
-        from transitions""",
+        "select id, "
+        + ", ".join(f"round(priority + q{i} - (q0 + q1 + q2 + q3) / 4, 6) as d{i}" for i in range(4))
+        + " from transitions",
         "transitions",
     ),
 )
 def duelling_q(spark, sf_dir):
     values = _transitions(spark, sf_dir).select("id", actions.duelling_q(F.col("priority"), _q()).alias("d"))
-    return values.select("id", F.round(F.get("d", 0), 6).alias("d0"), F.round(F.get("d", 3), 6).alias("d3"))
+    return values.select("id", *[F.round(F.get("d", i), 6).alias(f"d{i}") for i in range(4)])
 
 
 _TD = _SCORES + """, tg as (
@@ -196,11 +197,11 @@ _SWEEPS = """, t1 as (select s, a, 0.3e0 * avg(r) as q from transitions group by
 @query("q_sweep", _with(_SWEEPS, "select s, a, round(q, 6) as q from q2"))
 def q_sweep(spark, sf_dir):
     log = _transitions(spark, sf_dir).select("s", "a", "r", "s2", "done")
-    return rounded(experience.q_sweep(log, sweeps=2), "q")
+    return rounded(experience.q_sweep(log, 4, sweeps=2), "q")
 
 
 @query("greedy_policy", _with(_SWEEPS, "select s, cast(arg_min(a, {'n': -round(q, 9), 'a': a}) as int) as action from q2 group by 1"))
 def greedy_policy(spark, sf_dir):
     log = _transitions(spark, sf_dir).select("s", "a", "r", "s2", "done")
-    q = experience.q_sweep(log, sweeps=2).withColumn("q", F.round("q", 9))
-    return experience.greedy_policy(q)
+    q = experience.q_sweep(log, 4, sweeps=2).withColumn("q", F.round("q", 9))
+    return experience.greedy_policy(q, 4)

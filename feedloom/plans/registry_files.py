@@ -12,7 +12,7 @@ from feedloom.plans.views import events, view, with_views
 from feedloom.session import fresh_dir
 from feedloom.sources import bronze, documents, protobuf, snapshots, static
 from feedloom.sources.files import read_payloads, write_named_files
-from feedloom.streaming.counts import stream_minute_counts
+from feedloom.streaming.counts import read_minute_counts, stream_minute_counts
 from feedloom.streaming.ingest import ingest_once, stream_with_static
 
 QUERIES, ORACLES = {}, {}
@@ -69,13 +69,16 @@ def flatten_vp(spark, sf_dir):
 
 
 # Documents per agency and hour: one in five truncated, one in seven under a foreign name.
-_DAMAGED = """select agency, hr, case when n % 7 = 0 then 'bad_name' when n % 5 = 0 then 'bad_json' else 'ok' end as status, n
-  from (select agency, date_trunc('hour', snapshot_ts_jst) as hr, count(*) as n from tu group by 1, 2)"""
+_DAMAGED = """select feed, agency, hr, case when n % 7 = 0 then 'bad_name' when n % 5 = 0 then 'bad_json' else 'ok' end as status, n
+  from (select 'trip_updates' as feed, agency, date_trunc('hour', snapshot_ts_jst) as hr, count(*) as n from tu group by 2, 3
+    union all select 'vehicle_positions', agency, date_trunc('hour', snapshot_ts_jst), count(*) from vp group by 2, 3)"""
 
 
 def _damaged(spark, sf_dir):
-    docs = fixtures.flat_documents(fixtures.cycle_rows(spark, sf_dir, "trip_updates", "hour"), "trip_updates")
-    n = F.size(F.from_json("content", "trip_updates ARRAY<STRUCT<trip_id: STRING>>")["trip_updates"])
+    both = [fixtures.flat_documents(fixtures.cycle_rows(spark, sf_dir, f, "hour"), f) for f in ("trip_updates", "vehicle_positions")]
+    docs = both[0].unionByName(both[1])
+    lists = F.from_json("content", "trip_updates ARRAY<STRUCT<trip_id: STRING>>, vehicle_positions ARRAY<STRUCT<trip_id: STRING>>")
+    n = F.size(F.coalesce(lists["trip_updates"], lists["vehicle_positions"]))
     name = F.element_at(F.split("name", "/"), -1)
     return docs.select(
         F.when(n % 7 == 0, F.concat(F.lit("copy-of-"), name)).otherwise(name).alias("snapshot_filename"),
@@ -83,20 +86,21 @@ def _damaged(spark, sf_dir):
     )
 
 
-@query("quarantine", with_views(f"select status, count(*) as documents from ({_DAMAGED}) where status <> 'ok' group by 1", "tu"))
+@query("quarantine", with_views(f"select status, count(*) as documents from ({_DAMAGED}) where status <> 'ok' group by 1", "tu", "vp"))
 def quarantine_query(spark, sf_dir):
     bad = snapshots.quarantine(snapshots.documents_from_names(_damaged(spark, sf_dir)))
-    return bad.groupBy("status").agg(F.count("*").alias("documents"))
+    return bad.groupBy("status").agg(F.count_distinct("snapshot_filename").alias("documents"))
 
 
-_REPORT_SQL = f"""select agency, cast(sum(trip_updates) as bigint) as trip_updates, cast(0 as bigint) as vehicle_positions,
+_REPORT_SQL = f"""select agency, cast(sum(trip_updates) as bigint) as trip_updates, cast(sum(vehicle_positions) as bigint) as vehicle_positions,
     cast(sum(1) as bigint) as documents, cast(sum(processed) as bigint) as processed, cast(sum(1 - processed) as bigint) as skipped
-  from (select case when status = 'ok' then agency else '(none)' end as agency, case when status = 'ok' then 1 else 0 end as trip_updates,
+  from (select case when status = 'ok' then agency else '(none)' end as agency, case when status = 'ok' and feed = 'trip_updates' then 1 else 0 end as trip_updates,
+      case when status = 'ok' and feed = 'vehicle_positions' then 1 else 0 end as vehicle_positions,
       case when status = 'ok' and agency = 'harbour_bus' then 1 else 0 end as processed from ({_DAMAGED}))
   group by rollup(agency)"""
 
 
-@query("ingest_report", with_views(_REPORT_SQL, "tu"))
+@query("ingest_report", with_views(_REPORT_SQL, "tu", "vp"))
 def ingest_report_query(spark, sf_dir):
     docs = snapshots.documents_from_names(_damaged(spark, sf_dir))
     return ingest_report(document_log(docs, "harbour_bus")).drop("bytes")
@@ -197,13 +201,22 @@ def scan_static_zip(spark, sf_dir):
 @query(
     "static_profile",
     with_views(
-        """select 'stop_times' as "table", count(*) as "rows", 'departure_time,stop_id,trip_id' as columns from stop_times""", "stop_times"
+        """select 'stop_times' as "table", count(*) as "rows", 'departure_time,stop_id,trip_id' as columns, true as sampled from stop_times
+        union all select 'stops', count(distinct stop_id), 'stop_id,stop_name', true from stop_times""",
+        "stop_times",
     ),
 )
 def static_profile_query(spark, sf_dir):
+    """All tables of the bundles. Bundles hold parts of one schedule and repeat stops: each counts once."""
     rows = static.good_rows(static.read_static_bundles(spark, _bundles(spark, sf_dir)))
-    profile = static_profile(rows.where("table = 'stop_times'"))
-    return profile.select("table", "rows", F.array_join("columns", ",").alias("columns"))
+    first = rows.where("table = 'stops'").groupBy(F.try_element_at("row", F.lit("stop_id")).alias("stop")).agg(
+        F.min(F.struct("archive", "line_no")).alias("at")
+    )
+    s, f = rows.alias("s"), first.alias("f")
+    once = (F.col("s.archive") == F.col("f.at.archive")) & (F.col("s.line_no") == F.col("f.at.line_no"))
+    stops = s.where("s.table = 'stops'").join(f, once & (F.try_element_at("s.row", F.lit("stop_id")) == F.col("f.stop"))).select("s.*")
+    profile = static_profile(rows.where("table <> 'stops'").unionByName(stops))
+    return profile.select("table", "rows", F.array_join("columns", ",").alias("columns"), F.col("sample").isNotNull().alias("sampled"))
 
 
 def _schedule_rows(spark, sf_dir):
@@ -259,7 +272,8 @@ def _payload_files(spark, sf_dir, feed_type: str):
     with_views(
         """select concat('gtfs_rt_trip_updates_', agency, '_', strftime(date_trunc('day', snapshot_ts_jst), '%Y%m%d_%H%M%S'), '.pb') as file,
         cast(epoch(date_trunc('day', snapshot_ts_jst)) as bigint) - 32400 as header_time,
-        trip_id, route_id, 0 as direction_id, '' as start_time, '' as start_date, vehicle_id, cast(0 as bigint) as tu_timestamp, delay from tu""",
+        trip_id, route_id, 0 as direction_id, '' as start_time, '' as start_date, vehicle_id,
+        cast(floor(epoch(snapshot_ts_jst)) as bigint) - 32400 as tu_timestamp, delay from tu""",
         "tu",
     ),
 )
@@ -275,6 +289,7 @@ def decode_pb_trip_updates(spark, sf_dir):
     "decode_pb_vehicle_positions",
     with_views(
         """select concat('gtfs_rt_vehicle_positions_', agency, '_', strftime(date_trunc('day', snapshot_ts_jst), '%Y%m%d_%H%M%S'), '.pb') as file,
+        cast(epoch(date_trunc('day', snapshot_ts_jst)) as bigint) - 32400 as header_time, cast(floor(epoch(snapshot_ts_jst)) as bigint) - 32400 as vp_timestamp,
         vehicle_id, trip_id, route_id, 0 as direction_id, 0 as current_stop_sequence, 2 as current_status,
         lat is not null as located, round(cast(cast(lat as float) as double), 4) as lat, round(cast(cast(lon as float) as double), 4) as lon,
         case when lat is not null then cast(0 as double) end as bearing,
@@ -284,9 +299,12 @@ def decode_pb_trip_updates(spark, sf_dir):
 )
 def decode_pb_vehicle_positions(spark, sf_dir):
     decoded = protobuf.decode_vehicle_positions(_payload_files(spark, sf_dir, "vehicle_positions"))
-    items = decoded.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.explode("vehicle_positions").alias("it"))
+    file = F.element_at(F.split("path", "/"), -1).alias("file")
+    items = decoded.select(file, F.col("timestamp").alias("header_time"), F.explode("vehicle_positions").alias("it"))
     flat = items.select(
         "file",
+        "header_time",
+        F.col("it.timestamp").alias("vp_timestamp"),
         *[f"it.{c}" for c in ("vehicle_id", "trip_id", "route_id", "direction_id", "current_stop_sequence", "current_status")],
         F.col("it.position").isNotNull().alias("located"),
         F.col("it.position.latitude").alias("lat"),
@@ -297,6 +315,54 @@ def decode_pb_vehicle_positions(spark, sf_dir):
     return rounded(flat, "lat", "lon", "speed", digits=4)
 
 
+@query(
+    "pb_to_bronze",
+    with_views(
+        _tu_sql("day", "cast(null as varchar)").replace("cast(null as int) as direction_id", "0 as direction_id"),
+        "tu",
+    ),
+)
+def pb_to_bronze(spark, sf_dir):
+    """Payload files of trip updates to bronze, all columns."""
+    base, table = fresh_dir(spark, "payloads"), fresh_dir(spark, "bronze")
+    write_named_files(fixtures.payloads(spark, sf_dir, "trip_updates"), base)
+    normalise.payloads_to_bronze(spark, base, table, "trip_updates")
+    return bronze.read_bronze(spark, table, "trip_updates")
+
+
+@query(
+    "pb_positions_to_bronze",
+    with_views(
+        """select snapshot_filename, snapshot_ts_jst, date_str_jst, agency, entity_id, vehicle_id, trip_id, route_id, 0 as direction_id, start_time,
+        start_date, 0 as current_stop_sequence, '2' as current_status, vp_timestamp,
+        round(cast(cast(lat as float) as double), 4) as lat, round(cast(cast(lon as float) as double), 4) as lon,
+        case when lat is not null then cast(0 as double) end as bearing, round(cast(cast(speed as float) as double), 4) as speed from ("""
+        + _vp_sql("day")
+        + ")",
+        "vp",
+    ),
+)
+def pb_positions_to_bronze(spark, sf_dir):
+    base, table = fresh_dir(spark, "payloads"), fresh_dir(spark, "bronze")
+    write_named_files(fixtures.payloads(spark, sf_dir, "vehicle_positions"), base)
+    normalise.payloads_to_bronze(spark, base, table, "vehicle_positions")
+    return rounded(bronze.read_bronze(spark, table, "vehicle_positions"), "lat", "lon", "speed", digits=4)
+
+
+@query(
+    "archive_agencies",
+    with_views(
+        """select agency, cast(sum(n) as bigint) as trip_updates, cast(0 as bigint) as vehicle_positions, cast(sum(n) as bigint) as documents,
+        cast(sum(n) as bigint) as processed, cast(0 as bigint) as skipped
+        from (select agency, count(distinct date_trunc('day', snapshot_ts_jst)) as n from tu group by 1) group by rollup(agency)""",
+        "tu",
+    ),
+)
+def archive_agencies(spark, sf_dir):
+    base = _archives(spark, sf_dir, "trip_updates", packed=True)
+    return normalise.archive_agencies(spark, base).drop("bytes")
+
+
 @query(
     "raw_archive",
     with_views(
@@ -356,26 +422,32 @@ def stream_once(spark, sf_dir):
 @query(
     "stream_with_static",
     with_views(
-        "select 'rows' as kind, count(*) as n from tu union all select 'departures', count(*) from stop_times", "tu", "stop_times"
+        """select 'trip_updates' as kind, count(*) as n from tu union all select 'vehicle_positions', count(*) from vp
+        union all select 'departures', count(*) from stop_times""",
+        "tu",
+        "vp",
+        "stop_times",
     ),
 )
 def stream_with_static_query(spark, sf_dir):
-    base, bundles = fixtures.landing(spark, sf_dir, "trip_updates"), _bundles(spark, sf_dir)
+    base, bundles = fixtures.landing(spark, sf_dir, "trip_updates", "vehicle_positions"), _bundles(spark, sf_dir)
     table, schedule, checkpoint = (fresh_dir(spark, label) for label in ("bronze", "schedule", "offsets"))
     refresh = lambda: normalise.refresh_static_tables(spark, bundles, schedule)
-    running = stream_with_static(spark, base, table, checkpoint, refresh, selection="trip_updates", once=True, files_per_batch=40)
+    running = stream_with_static(spark, base, table, checkpoint, refresh, selection="both", once=True, files_per_batch=40)
     for stream in running:
         stream.awaitTermination()
-    rows = bronze.read_bronze(spark, table, "trip_updates").agg(F.lit("rows").alias("kind"), F.count("*").alias("n"))
-    departures = bronze.read_table(spark, schedule).where("table = 'stop_times'")
-    return rows.unionByName(departures.agg(F.lit("departures").alias("kind"), F.count("*").alias("n")))
+    departures = normalise.read_static_tables(spark, schedule).where("table = 'stop_times'")
+    counts = departures.agg(F.lit("departures").alias("kind"), F.count("*").alias("n"))
+    for feed_type in ("trip_updates", "vehicle_positions"):
+        rows = bronze.read_bronze(spark, table, feed_type)
+        counts = counts.unionByName(rows.agg(F.lit(feed_type).alias("kind"), F.count("*").alias("n")))
+    return counts
 
 
 @query(
     "stream_minute_counts",
     with_views(
-        """select agency, minute, n from (select agency, date_trunc('minute', snapshot_ts_jst) as minute, count(*) as n from vp group by 1, 2)
-        where minute + interval 1 minute <= (select date_trunc('milliseconds', max(snapshot_ts_jst)) - interval 1 minute from vp)""",
+        "select agency, date_trunc('minute', snapshot_ts_jst) as minute, count(*) as n from vp group by 1, 2",
         "vp",
     ),
 )
@@ -385,14 +457,6 @@ def stream_minute_counts_query(spark, sf_dir):
         spark.readStream.schema(events(spark, sf_dir).schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )
     agency = F.when(F.col("event_id") % 2 == 0, "harbour_tram").otherwise("harbour_bus")
-    counts = stream_minute_counts(stream.select(F.col("ts").alias("snapshot_ts_jst"), agency.alias("agency")))
-    running = (
-        counts.writeStream.format("parquet")
-        .option("path", output)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    running.awaitTermination()
-    return bronze.read_table(spark, output)
+    rows = stream.select(F.col("ts").alias("snapshot_ts_jst"), agency.alias("agency"))
+    stream_minute_counts(rows, output, checkpoint, once=True).awaitTermination()
+    return read_minute_counts(spark, output)

@@ -17,8 +17,9 @@ from feedloom.functions.names import FEED_MARKS, classify_feed
 from feedloom.operators.filters import feed_types
 from feedloom.sources.files import list_files, open_filesystem
 
-_INDEX = "archive STRING, member STRING, offset BIGINT, size BIGINT"
-_MEMBERS = "archive STRING, member STRING, content BINARY"
+_INDEX = "archive STRING, member STRING, offset BIGINT, size BIGINT, problem STRING"
+_MEMBERS = "archive STRING, member STRING, content BINARY, problem STRING"
+_INDEX_COLUMNS, _MEMBER_COLUMNS = ([c.split()[0] for c in s.split(", ")] for s in (_INDEX, _MEMBERS))
 _BATCH_BYTES = 16 << 20
 
 
@@ -42,16 +43,18 @@ def _index_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     for member in tar:
                         tar.members = []
                         if _wanted(member):
-                            found.append((path, member.name, member.offset_data, member.size))
+                            found.append((path, member.name, member.offset_data, member.size, None))
                         if len(found) >= 10000:
-                            yield pd.DataFrame(found, columns=["archive", "member", "offset", "size"])
+                            yield pd.DataFrame(found, columns=_INDEX_COLUMNS)
                             found = []
-            except (tarfile.TarError, EOFError, ValueError):
-                # A damaged archive keeps what was readable and does not stop the others.
+                    if raw.size() < tar.offset + tarfile.BLOCKSIZE:
+                        found.append((path, None, 0, 0, "no end mark"))
+            except (tarfile.TarError, EOFError, ValueError) as error:
+                # A damaged archive keeps what was readable, and is reported.
                 # Storage errors (OSError) are left to Spark's task retry.
-                pass
+                found.append((path, None, 0, 0, str(error) or type(error).__name__))
             if found:
-                yield pd.DataFrame(found, columns=["archive", "member", "offset", "size"])
+                yield pd.DataFrame(found, columns=_INDEX_COLUMNS)
 
 
 def _read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -60,20 +63,24 @@ def _read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             filesystem, target = open_filesystem(archive)
             rows, held = [], 0
             with filesystem.open_input_file(target) as raw:
-                for member, offset, size in zip(wanted["member"], wanted["offset"], wanted["size"]):
+                for member, offset, size, problem in zip(wanted["member"], wanted["offset"], wanted["size"], wanted["problem"]):
+                    if problem is not None:
+                        rows.append((archive, None, None, problem))
+                        continue
                     content = raw.read_at(int(size), int(offset))
                     if len(content) < size:
+                        rows.append((archive, member, None, f"{len(content)} of {size} bytes"))
                         continue
-                    rows.append((archive, member, content))
+                    rows.append((archive, member, content, None))
                     held += len(content)
                     if held >= _BATCH_BYTES:
-                        yield pd.DataFrame(rows, columns=["archive", "member", "content"])
+                        yield pd.DataFrame(rows, columns=_MEMBER_COLUMNS)
                         rows, held = [], 0
             if rows:
-                yield pd.DataFrame(rows, columns=["archive", "member", "content"])
+                yield pd.DataFrame(rows, columns=_MEMBER_COLUMNS)
 
 
-def _stream_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _stream_members(batches: Iterator[pd.DataFrame], marks: tuple[str, ...]) -> Iterator[pd.DataFrame]:
     import lzma
     import tarfile
     import zlib
@@ -89,19 +96,19 @@ def _stream_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 ):
                     for member in tar:
                         tar.members = []
-                        # Members of no feed are passed over without being read.
-                        if not _wanted(member) or not any(mark in member.name for mark in FEED_MARKS):
+                        # Members of no selected feed are passed over without being kept.
+                        if not _wanted(member) or not any(mark in member.name for mark in marks):
                             continue
                         content = tar.extractfile(member).read()
-                        rows.append((path, member.name, content))
+                        rows.append((path, member.name, content, None))
                         held += len(content)
                         if held >= _BATCH_BYTES:
-                            yield pd.DataFrame(rows, columns=["archive", "member", "content"])
+                            yield pd.DataFrame(rows, columns=_MEMBER_COLUMNS)
                             rows, held = [], 0
-            except (tarfile.TarError, EOFError, ValueError, zlib.error, lzma.LZMAError):
-                pass
+            except (tarfile.TarError, EOFError, ValueError, zlib.error, lzma.LZMAError) as error:
+                rows.append((path, None, None, str(error) or type(error).__name__))
             if rows:
-                yield pd.DataFrame(rows, columns=["archive", "member", "content"])
+                yield pd.DataFrame(rows, columns=_MEMBER_COLUMNS)
 
 
 def archive_index(spark: SparkSession, base: str, pattern: str = "*.tar*") -> DataFrame:
@@ -110,21 +117,43 @@ def archive_index(spark: SparkSession, base: str, pattern: str = "*.tar*") -> Da
     return plain.mapInPandas(_index_members, _INDEX).withColumn("feed_type", classify_feed(F.col("member")))
 
 
-def read_archives(spark: SparkSession, base: str, pattern: str = "*.tar*", selection: str = "both") -> DataFrame:
-    """(archive, member, feed_type, content) of every member that belongs to a selected feed.
+def _read_tasks(index: DataFrame) -> int:
+    """As many tasks as the indexed bytes fill input splits, and at least two per core."""
+    spark = index.sparkSession
+    split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    held = index.agg(F.sum("size")).first()[0] or 0
+    return max(2 * spark.sparkContext.defaultParallelism, -(-held // split))
+
+
+def scan_archives(spark: SparkSession, base: str, pattern: str = "*.tar*", selection: str = "both") -> DataFrame:
+    """(archive, member, feed_type, content, problem): members of the selected feeds, and what could
+    not be read: a damaged archive (no member) or a member that is cut short, each with ``problem``.
 
     The feed is decided from the member path; contents of other members are not read from
     plain archives.
     """
-    wanted = classify_feed(F.col("member")).isin(*feed_types(selection))
+    selected = feed_types(selection)
+    marks = tuple(mark for mark, feed in FEED_MARKS.items() if feed in selected)
+    wanted = classify_feed(F.col("member")).isin(*selected) | F.col("problem").isNotNull()
     index = archive_index(spark, base, pattern).where(wanted)
-    spread = index.select("archive", "member", "offset", "size").repartition("archive", "member", "offset")
+    # A given number of partitions is left alone, so members of one archive stay spread.
+    spread = index.select(*_INDEX_COLUMNS).repartition(_read_tasks(index), "archive", "member", "offset")
     plain = spread.mapInPandas(_read_members, _MEMBERS)
 
     packed_paths = list_files(spark, base, pattern).where(_is_compressed(F.col("path"))).select("path")
     # Parsing costs more than inflating, so the members of one archive are spread out for it.
-    packed = packed_paths.mapInPandas(_stream_members, _MEMBERS).where(wanted).repartition("archive", "member")
+    stream = lambda batches: _stream_members(batches, marks)
+    packed = packed_paths.mapInPandas(stream, _MEMBERS).where(wanted).repartition("archive", "member")
 
     return plain.unionByName(packed).select(
-        "archive", "member", classify_feed(F.col("member")).alias("feed_type"), F.col("content").cast("string").alias("content")
+        "archive",
+        "member",
+        classify_feed(F.col("member")).alias("feed_type"),
+        F.col("content").cast("string").alias("content"),
+        "problem",
     )
+
+
+def read_archives(spark: SparkSession, base: str, pattern: str = "*.tar*", selection: str = "both") -> DataFrame:
+    """(archive, member, feed_type, content) of every readable member of a selected feed."""
+    return scan_archives(spark, base, pattern, selection).where("problem is null").drop("problem")

@@ -10,39 +10,37 @@ from pyspark.sql import functions as F
 from feedloom.functions.names import artifact_name
 from feedloom.sources.files import write_named_files
 
-ITEMS_PER_DOCUMENT = 20000
+def in_parts(rows: DataFrame, keys: Sequence[str], parts: int, of: Sequence[str]) -> DataFrame:
+    """Add ``part``: the columns ``of`` decide by hash which of the caller's ``parts`` a row is in.
 
-
-def split_groups(rows: DataFrame, keys: Sequence[str], rows_per_part: int = ITEMS_PER_DOCUMENT) -> DataFrame:
-    """Add ``part``: 0 for groups of at most ``rows_per_part`` rows, else a salt.
-
-    Only oversized groups are looked up, so the joined side has at most one row per
-    ``rows_per_part`` input rows. Copies of a row spread too: the salt is drawn per row, and
-    before the join, so that a repeated task draws the same ones.
+    Every group gets one more row per part that is null in ``of``, which lists leave out, so that
+    each part is written even if empty: storing a group again replaces all of its files.
     """
-    oversized = (
-        rows.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > rows_per_part)
-        .select(*keys, F.ceil(F.col("_n") / rows_per_part).cast("int").alias("_parts"))
-    )
-    drawn = rows.withColumn("_draw", F.rand(7)).join(oversized, list(keys), "left")
-    part = F.floor(F.col("_draw") * F.col("_parts")).cast("int")
-    return drawn.withColumn("part", F.coalesce(part, F.lit(0))).drop("_parts", "_draw")
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64(*of), F.lit(parts)).cast("int"))
+    if parts == 1:
+        return dealt
+    groups = rows.select(*[c for c in rows.columns if c not in of]).dropDuplicates(list(keys))
+    blank = groups.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return dealt.unionByName(blank, allowMissingColumns=True)
 
 
 def snapshot_documents(
-    items: DataFrame, item: Column, keys: Sequence[str] = ("feed_type", "label", "stamp"), extra: dict[str, Column] = {}
+    items: DataFrame,
+    item: Column,
+    keys: Sequence[str] = ("feed_type", "label", "stamp"),
+    extra: dict[str, Column] = {},
+    parts: int = 1,
 ) -> DataFrame:
     """(name, content, keys…, part): flat JSON documents, one per feed and cycle.
 
-    A cycle with more than ``ITEMS_PER_DOCUMENT`` items is stored as several complete
-    documents of the same name in ``part-…`` folders, so no task holds an unbounded group;
-    reading them back gives every item once. ``extra`` adds top-level fields.
+    A caller with large cycles asks for several ``parts``: complete documents of the same name in
+    ``part-…`` folders, so that no task holds a whole cycle; reading them back gives every item
+    once, and reports count a name once. Keep to one number of parts in a folder. ``extra`` adds
+    top-level fields.
     """
     keyed = items.select(*keys, item.alias("_item"), *[c.alias(n) for n, c in extra.items()])
     group = [*keys, *extra, "part"]
-    grouped = split_groups(keyed, keys).groupBy(*group).agg(F.collect_list("_item").alias("_items"))
+    grouped = in_parts(keyed, keys, parts, ["_item"]).groupBy(*group).agg(F.collect_list("_item").alias("_items"))
     documents = {
         feed_type: F.to_json(
             F.struct("feed_type", *extra, F.col("label").alias("feed_name"), F.col("_items").alias(feed_type))
@@ -60,16 +58,18 @@ def _in_part(name: Column) -> Column:
     return F.when(F.col("part") == 0, name).otherwise(F.concat(F.format_string("part-%06d/", "part"), name))
 
 
-def static_documents(rows: DataFrame, feed_url: Column | None = None) -> DataFrame:
+def static_documents(rows: DataFrame, feed_url: Column | None = None, parts: int = 1) -> DataFrame:
     """(name, content): schedule tables nested in one JSON document per feed.
 
-    Input is (label, stamp, table, line_no, row MAP). Large bundles become several documents
-    as in ``snapshot_documents``. Records keep file order inside a document.
+    Input is (label, stamp, table, line_no, row MAP). ``parts`` is as in
+    ``snapshot_documents``. Records keep file order inside a document.
     """
     keyed = rows.select("label", "stamp", "table", "line_no", "row", (feed_url or F.lit(None).cast("string")).alias("feed_url"))
-    parts = split_groups(keyed, ["label", "stamp"])
-    per_table = parts.groupBy("label", "stamp", "feed_url", "part", "table").agg(
-        F.sort_array(F.collect_list(F.struct("line_no", F.map_entries("row").alias("entries")))).alias("records")
+    record = F.when(F.col("line_no").isNotNull(), F.struct("line_no", F.map_entries("row").alias("entries")))
+    keyed = keyed.select("label", "stamp", "feed_url", "table", record.alias("_record"))
+    dealt = in_parts(keyed, ["label", "stamp", "feed_url", "table"], parts, ["_record"])
+    per_table = dealt.groupBy("label", "stamp", "feed_url", "part", "table").agg(
+        F.sort_array(F.collect_list("_record")).alias("records")
     )
     # Entries instead of maps, because maps have no order to sort by.
     per_table = per_table.withColumn(

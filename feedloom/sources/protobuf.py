@@ -179,6 +179,8 @@ def encode_entities(items: DataFrame, keys: list[str]) -> DataFrame:
                     body.trip.trip_id, body.trip.route_id = item["trip_id"], item["route_id"]
                     if item["vehicle_id"] is not None:
                         body.vehicle.id = item["vehicle_id"]
+                    if not pd.isna(item.get("timestamp")):
+                        body.timestamp = int(item["timestamp"])
                     if feed_type == "trip_updates":
                         if not pd.isna(item["delay"]):
                             body.delay = int(item["delay"])

@@ -123,6 +123,7 @@ def documents_from_names(files: DataFrame, first_entity_only: bool = False) -> D
         _agency(F.col("_parts.agency"), first_entity_only).alias("agency"),
         F.octet_length("content").cast("bigint").alias("size_bytes"),
         _status(F.col("_parts").isNotNull()).alias("status"),
+        F.col("snapshot_filename").alias("document"),
         "doc",
     )
 
@@ -133,8 +134,13 @@ def documents_from_members(
     """Parse archive members, whose time and agency come from the document itself.
 
     Input has ``member``, ``feed_type`` and ``content``. ``snapshot_filename`` becomes the
-    canonical name. ``utc_as_jst`` keeps the UTC clock reading as if it were local.
+    canonical name. ``utc_as_jst`` keeps the UTC clock reading as if it were local. Where there is a
+    ``problem``, the status is ``bad_archive``.
     """
+    origin = [F.col(c) for c in ("archive", "member") if c in members.columns]
+    document = F.concat_ws("/", *origin)
+    broken = F.col("problem").isNotNull() if "problem" in members.columns else F.lit(False)
+    named_document = snapshot_name(F.col("feed_type"), F.col("_feed_agency"), F.col("snapshot_ts_jst"))
     timed = _parsed(members).withColumns(
         {
             "snapshot_ts_jst": document_time(F.col("doc"), F.col("feed_type"), utc_as_jst),
@@ -143,13 +149,14 @@ def documents_from_members(
     )
     named = F.coalesce("_feed_agency", F.lit(UNKNOWN_AGENCY))
     return timed.select(
-        snapshot_name(F.col("feed_type"), F.col("_feed_agency"), F.col("snapshot_ts_jst")).alias("snapshot_filename"),
+        F.when(broken, document).otherwise(named_document).alias("snapshot_filename"),
         "feed_type",
         "snapshot_ts_jst",
         date_str(F.col("snapshot_ts_jst")).alias("date_str_jst"),
         _agency(named, first_entity_only).alias("agency"),
         F.octet_length("content").cast("bigint").alias("size_bytes"),
-        _status(F.lit(True)).alias("status"),
+        F.when(broken, "bad_archive").otherwise(_status(F.lit(True))).alias("status"),
+        document.alias("document"),
         "doc",
     )
 

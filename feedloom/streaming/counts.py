@@ -2,18 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from feedloom.functions.clock import epoch_to_wall_clock, jst_instant
+from feedloom.operators.activity import minute_counts
 
 
-def stream_minute_counts(stream: DataFrame, ts: str = "snapshot_ts_jst", by: str = "agency", delay: str = "1 minute") -> DataFrame:
-    """(by, minute, n) per closed minute; rows later than ``delay`` are no longer counted.
+def stream_minute_counts(
+    stream: DataFrame, path: str, checkpoint: str, ts: str = "snapshot_ts_jst", by: str = "agency", once: bool = False, interval: int = 20
+) -> StreamingQuery:
+    """Count rows per (by, minute) into the table at ``path``.
 
-    Event time must be an instant for a watermark, so the wall clock is read as JST and the
-    minute is turned back at the end. State is one row per open (minute, ``by``).
+    Each batch adds its own counts in a folder of its own and replaces them if it is repeated. Sums
+    over batches are exact at any time, for late rows and open minutes too, and no state is held.
     """
-    timed = stream.select(by, jst_instant(F.col(ts)).alias("at")).withWatermark("at", delay)
-    counted = timed.groupBy(F.window("at", "1 minute"), by).agg(F.count("*").alias("n"))
-    return counted.select(by, epoch_to_wall_clock(F.unix_seconds("window.start")).alias("minute"), "n")
+
+    def write_batch(rows: DataFrame, batch_id: int) -> None:
+        minute_counts(rows, ts, [by]).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write_batch)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{interval} seconds")).start()
+
+
+def read_minute_counts(spark: SparkSession, path: str, by: str = "agency") -> DataFrame:
+    """(by, minute, n) of everything counted so far."""
+    return spark.read.parquet(path).groupBy(by, "minute").agg(F.sum("n").alias("n"))
+
+
+def compact_minute_counts(spark: SparkSession, path: str, target: str, by: str = "agency") -> None:
+    """The counts so far as one table of the same layout, to go on from once the stream is moved there."""
+    read_minute_counts(spark, path, by).write.mode("overwrite").parquet(f"{target}/batch_id=-1")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -46,15 +47,15 @@ def stream_bronze(
 
     Batches start every ``interval`` seconds, or at once when one took longer. A batch that is
     repeated after a failure replaces its own output, so every file counts exactly once.
-    ``also`` runs once per batch after the rows are written.
+    ``also`` runs once per batch of the first feed type, which alone owns it, after its rows.
     """
     queries = []
-    for feed_type in feed_types(selection):
+    for owner, feed_type in enumerate(feed_types(selection)):
         files = stream_snapshot_files(spark, landing, feed_type, files_per_batch, archive_dir)
         writer = (
-            files.writeStream.queryName(f"bronze_{feed_type}_{abs(hash(checkpoint)):x}")
+            files.writeStream.queryName(f"bronze_{feed_type}_{md5(checkpoint.encode()).hexdigest()[:12]}")
             .option("checkpointLocation", f"{checkpoint}/{feed_type}")
-            .foreachBatch(_writer(feed_type, base, quarantine_dir, also))
+            .foreachBatch(_writer(feed_type, base, quarantine_dir, also if owner == 0 else None))
         )
         writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{interval} seconds")
         queries.append(writer.start())
@@ -79,7 +80,8 @@ def stream_with_static(
 ) -> list[StreamingQuery]:
     """Realtime ingestion with the schedule tables taken in first, and again with each cycle.
 
-    ``refresh_static`` reads the bundles and rewrites their tables; it must be repeatable.
+    ``refresh_static`` reads the bundles and writes a version of their tables; it must be repeatable.
+    One query owns it, so two refreshes never run at the same time.
     """
     refresh_static()
     also = (lambda batch_id: refresh_static() if batch_id > 0 else None) if every_cycle else None

@@ -108,7 +108,7 @@ def test_q_sweeps_equal_the_loop(spark):
             best = max(q.get((s2, b), 0.0) for b in range(4))
             targets.setdefault((s, a), []).append(r + (0.0 if done else 0.98 * best))
         q = {k: q.get(k, 0.0) + 0.3 * (sum(v) / len(v) - q.get(k, 0.0)) for k, v in targets.items()}
-    got = {(r.s, r.a): r.q for r in experience.q_sweep(df, sweeps=3).collect()}
+    got = {(r.s, r.a): r.q for r in experience.q_sweep(df, 4, sweeps=3).collect()}
     assert got.keys() == q.keys() and all(math.isclose(got[k], q[k], abs_tol=1e-9) for k in q)
 
 
@@ -117,5 +117,24 @@ def test_greedy_policy(spark):
         [(1, 0, 1.0), (1, 1, 2.0), (1, 2, 2.0), (1, 3, 0.0), (2, 0, -1.0), (2, 2, -2.0), (3, 1, 0.0), (4, 3, 0.5)], "s BIGINT, a BIGINT, q DOUBLE"
     )
     states = spark.createDataFrame([(i,) for i in (1, 2, 3, 4, 9)], "s BIGINT")
-    got = {r.s: r.action for r in experience.greedy_policy(q, states).collect()}
+    got = {r.s: r.action for r in experience.greedy_policy(q, 4, states).collect()}
     assert got == {1: 1, 2: 1, 3: 0, 4: 3, 9: 0}
+    six = spark.createDataFrame([(1, a, -1.0) for a in range(4)], "s BIGINT, a BIGINT, q DOUBLE")
+    assert [r.action for r in experience.greedy_policy(six, 6).collect()] == [4]
+    assert [r.action for r in experience.greedy_policy(six, 4).collect()] == [0]
+
+
+@pytest.mark.parametrize("rate,segment", [(0.0, 64), (1e-6, 64), (0.03, 1 << 16), (0.5, 7), (1.0, 64), (0.003, 4)])
+def test_ema_for_any_rate_and_segment(spark, monkeypatch, rate, segment):
+    monkeypatch.setattr(experience, "SEGMENT", segment)
+    rng = random.Random(8)
+    rows = [(k, i, rng.random()) for k in ("a", "b") for i in range(1500 if k == "a" else 3)]
+    df = spark.createDataFrame(rows, "k STRING, i BIGINT, c DOUBLE")
+    got = {(r.k, r.i): (r.ema, r.dual_weight) for r in experience.ema_dual(df, ["k"], ["i"], "c", rate=rate).collect()}
+    for k in ("a", "b"):
+        ema, dual = 0.0, 0.1
+        for key, i, c in rows:
+            if key == k:
+                ema = (1 - rate) * ema + rate * c
+                dual = max(0.0, dual + 3e-3 * (ema - 0.1))
+                assert math.isclose(got[(k, i)][0], ema, abs_tol=1e-9) and math.isclose(got[(k, i)][1], dual, abs_tol=1e-9)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from feedloom import cli
 from feedloom.functions.clock import ts_to_stamp
-from feedloom.operators.reports import static_profile
+from feedloom.operators.reports import document_log, ingest_report, static_profile
 from feedloom.plans import normalise
 from feedloom.session import fresh_dir, shared_dir
 from feedloom.sources import archives, bronze, documents, protobuf, snapshots, static
@@ -126,25 +126,70 @@ def test_static_json_with_nan(spark, tmp_path):
     assert [(r.feed_name, r.stamp, r.table, r.row) for r in rows] == [("f", "s", "stops", {"stop_id": "7", "stop_name": None})]
 
 
-def test_oversized_groups_are_split_and_whole(spark, monkeypatch, tmp_path):
+def test_any_number_of_parts_gives_the_same_answers(spark, tmp_path):
     n = 5000
     items = spark.range(n).select(
         F.lit("trip_updates").alias("feed_type"),
         F.when(F.col("id") < 4900, "hot").otherwise("cold").alias("label"),
         F.lit("20251114_214913").alias("stamp"),
-        # Most of the hot group are copies of one item.
-        F.when(F.col("id") < 4000, 0).otherwise(F.col("id")).alias("trip"),
+        F.col("id").alias("trip"),
     )
-    rows = documents.split_groups(items, ["label"], rows_per_part=500)
-    sizes = {(r.label, r.part): r["count"] for r in rows.groupBy("label", "part").count().collect()}
-    assert sum(sizes.values()) == n and len([k for k in sizes if k[0] == "hot"]) == 10 and sizes[("cold", 0)] == 100
-    assert max(sizes.values()) < 700
-    monkeypatch.setattr(documents.split_groups, "__defaults__", (500,))
-    docs = documents.snapshot_documents(items, F.struct(F.col("trip").cast("string").alias("trip_id")))
-    documents.write_documents(docs, str(tmp_path / "landing"))
-    back = normalise.snapshot_rows(spark, str(tmp_path / "landing"), "trip_updates")
-    assert back.count() == n and back.where("trip_id = '0'").count() == 4000
-    assert {r.agency for r in back.select("agency").distinct().collect()} == {"hot", "cold"}
+    answers = []
+    for parts in (1, 7):
+        base = str(tmp_path / f"landing{parts}")
+        make = lambda rows: documents.snapshot_documents(rows, F.struct(F.col("trip").cast("string").alias("trip_id")), parts=parts)
+        documents.write_documents(make(items), base)
+        documents.write_documents(make(items.where("trip % 50 = 0")), base)  # the same cycle again, with fewer items
+        rows = normalise.snapshot_rows(spark, base, "trip_updates")
+        docs = snapshots.documents_from_names(snapshots.read_snapshot_files(spark, base, "trip_updates"))
+        assert docs.count() == 2 * parts
+        report = ingest_report(document_log(docs)).drop("bytes")
+        answers.append((sorted(map(tuple, rows.collect()), key=str), sorted(map(tuple, report.collect()), key=str)))
+    assert answers[0] == answers[1] and len(answers[0][0]) == 100
+
+
+def test_static_documents_in_parts(spark, tmp_path):
+    rows = spark.range(100).select(
+        F.lit("f").alias("label"), F.lit("20251114_214913").alias("stamp"), F.lit("stops").alias("table"), F.col("id").alias("line_no"),
+        F.create_map(F.lit("stop_id"), F.col("id").cast("string")).alias("row"),
+    )
+    for parts in (1, 3):
+        base = str(tmp_path / f"static{parts}")
+        documents.write_documents(documents.static_documents(rows, parts=parts), base)
+        got = sorted(int(r.row["stop_id"]) for r in static.read_static_json(spark, base).collect())
+        assert got == list(range(100))
+
+
+def test_damage_is_reported(spark, archive_dir):
+    rows = archives.scan_archives(spark, archive_dir)
+    broken = {r.archive.rsplit("/", 1)[1] for r in rows.where("problem is not null").collect()}
+    assert broken == {"c.tar", "d.tar.gz"}  # files without a byte are not listed at all
+    docs = normalise.archive_documents(spark, archive_dir)
+    assert snapshots.quarantine(docs).where("status = 'bad_archive'").count() == 2
+    report = {r.agency: r for r in normalise.archive_agencies(spark, archive_dir, "[de].tar*").collect()}
+    assert (report["(none)"].documents, report["(none)"].skipped) == (1, 1)
+
+
+def test_one_large_archive_is_read_by_several_tasks(spark, tmp_path):
+    write_tar(tmp_path / "big.tar", [(f"trip_updates_{i}.json", document("a", f"t{i}") + " " * 100_000) for i in range(64)])
+    rows = archives.read_archives(spark, str(tmp_path))
+    assert rows.select(F.spark_partition_id().alias("p")).distinct().count() >= 4 and rows.count() == 64
+
+
+def test_payloads_to_bronze_report_what_cannot_be_read(spark, tmp_path):
+    (tmp_path / "gtfs_rt_trip_updates_a_20251114_214913.pb").write_bytes(b"\xff\xff\xff")
+    payloads = read_payloads(spark, str(tmp_path), "*.pb")
+    docs = normalise.payload_documents(payloads, "trip_updates")
+    assert [r.status for r in snapshots.quarantine(docs).collect()] == ["bad_json"]
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from feedloom.session import _local_folder
+
+    assert _local_folder("local[8]") and _local_folder("local")
+    for master in ("local-cluster[3,2,1024]", "yarn", "spark://host:7077", "k8s://host"):
+        with pytest.raises(ValueError):
+            _local_folder(master)
 
 
 def test_payloads(spark, tmp_path):

@@ -72,12 +72,7 @@ def test_agency_and_feed_selection(spark):
         filters.feed_types("alerts")
 
 
-# --- ranking: every level must be reachable, so the budget is taken away -------------------
-
-
-@pytest.fixture
-def no_budget(monkeypatch):
-    monkeypatch.setattr(ranking, "SMALL", 0)
+# --- ranking ------------------------------------------------------------------------------
 
 
 def hot_table(spark):
@@ -102,19 +97,19 @@ def expected_order(df):
 
 
 @pytest.mark.parametrize("start, stop", [(0, 10), (50, 70), (0, 1), (900, 1100), (2990, 3000), (2995, 3100), (5000, 5010), (0, 3000)])
-def test_slices_equal_a_plain_sort(spark, no_budget, start, stop):
+def test_slices_equal_a_plain_sort(spark, start, stop):
     df = hot_table(spark)
     got = [r.id for r in ranking.slice_rows(df, "ts", "id", start, stop).collect()]
     assert got == expected_order(df)[start:stop]
 
 
-def test_cut_leaves_little_more_than_the_slice(spark, no_budget):
+def test_cut_leaves_little_more_than_the_slice(spark):
     df = hot_table(spark)
     cut, low, high = ranking._cut(df, ranking._time_levels(F.col("ts"), "id"), 900, 910)
     assert high - low == 10 and cut.count() < 40
 
 
-def test_sample_is_exact_and_repeatable(spark, no_budget):
+def test_sample_is_exact_and_repeatable(spark):
     df = spark.range(5000)
     first = {r.id for r in ranking.sample_n(df, "id", 700).collect()}
     again = {r.id for r in ranking.sample_n(df.repartition(7), "id", 700).collect()}

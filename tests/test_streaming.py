@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from feedloom import cli
 from feedloom.sources.bronze import read_bronze
-from feedloom.streaming.counts import stream_minute_counts
+from feedloom.plans import normalise
+from feedloom.streaming.counts import compact_minute_counts, read_minute_counts, stream_minute_counts
 from feedloom.streaming.ingest import ingest_once, stream_bronze, stream_with_static
 
 
@@ -78,7 +79,7 @@ def test_schedules_come_first_and_again(spark, tmp_path):
     assert len(calls) == 2 and len(trips(spark, str(tmp_path / "bronze"))) == 4
 
 
-def test_minute_counts_drop_rows_behind_the_watermark(spark, tmp_path):
+def test_minute_counts_take_late_rows_and_open_minutes(spark, tmp_path):
     source, output = tmp_path / "source", str(tmp_path / "out")
     schema = "agency STRING, snapshot_ts_jst TIMESTAMP_NTZ"
 
@@ -87,16 +88,40 @@ def test_minute_counts_drop_rows_behind_the_watermark(spark, tmp_path):
         rows.select("agency", F.col("t").cast("timestamp_ntz").alias("snapshot_ts_jst")).coalesce(1).write.mode("append").parquet(str(source))
 
     def drain():
-        counts = stream_minute_counts(spark.readStream.schema(schema).parquet(str(source)))
-        writer = counts.writeStream.format("parquet").option("path", output).option("checkpointLocation", str(tmp_path / "offsets"))
-        writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+        stream = spark.readStream.schema(schema).parquet(str(source))
+        stream_minute_counts(stream, output, str(tmp_path / "offsets"), once=True).awaitTermination()
+        return sorted((str(r.minute)[11:16], r.n) for r in read_minute_counts(spark, output).collect())
 
     add("2025-11-14 00:00:10", "2025-11-14 00:00:50", "2025-11-14 00:01:10", "2025-11-14 00:05:00")
-    drain()
+    assert drain() == [("00:00", 2), ("00:01", 1), ("00:05", 1)]
     add("2025-11-14 00:00:20", "2025-11-14 00:04:30", "2025-11-14 00:09:00")
-    drain()
-    got = sorted((str(r.minute)[11:16], r.n) for r in spark.read.parquet(output).collect())
-    assert got == [("00:00", 2), ("00:01", 1), ("00:04", 1), ("00:05", 1)]
+    whole = [("00:00", 3), ("00:01", 1), ("00:04", 1), ("00:05", 1), ("00:09", 1)]
+    assert drain() == whole
+    compact_minute_counts(spark, output, str(tmp_path / "compact"))
+    assert sorted((str(r.minute)[11:16], r.n) for r in read_minute_counts(spark, str(tmp_path / "compact")).collect()) == whole
+
+
+def test_one_query_owns_the_schedule_refresh(spark, tmp_path):
+    import zipfile
+
+    landing, bundles, schedule = tmp_path / "landing", tmp_path / "bundles", str(tmp_path / "schedule")
+    bundles.mkdir()
+    with zipfile.ZipFile(bundles / "one.zip", "w") as z:
+        z.writestr("stop_times.txt", "trip_id,stop_id,departure_time\n" + "".join(f"t{i},s,10:00:00\n" for i in range(100)))
+    for i in range(4):
+        land(landing, "trip_updates", "a", f"20251114_1000{i}0", f"t{i}")
+        land(landing, "vehicle_positions", "a", f"20251114_1000{i}0", f"t{i}")
+    calls = []
+
+    def refresh():
+        calls.append(1)
+        normalise.refresh_static_tables(spark, str(bundles), schedule)
+
+    place = (spark, str(landing), str(tmp_path / "bronze"), str(tmp_path / "offsets"))
+    for query in stream_with_static(*place, refresh, selection="both", once=True, files_per_batch=1):
+        query.awaitTermination()
+    assert len(calls) == 4  # before the start, and with batches 1 to 3 of one query
+    assert normalise.read_static_tables(spark, schedule).count() == 100
 
 
 def test_files_move_once_they_are_taken_in(spark, tmp_path):
