@@ -124,6 +124,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return joined.where(F.col("common") >= F.lit(threshold) * union).select("a", "b")
 
 
+def _shared_items(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(digest, alone): how many items of each of ``nodes`` no other node has."""
+    items = nodes.join(sets, "digest").select(F.xxhash64("digest").alias("d1"), F.hash("digest").alias("d2"), F.explode("items").alias("item"))
+    once = items.groupBy("item").agg(F.count("*").alias("n"), F.min("d1").alias("d1"), F.min("d2").alias("d2")).where("n = 1")
+    alone = once.groupBy("d1", "d2").agg(F.count("*").alias("alone"))
+    named = nodes.select("digest", F.xxhash64("digest").alias("d1"), F.hash("digest").alias("d2"))
+    return named.join(alone, ["d1", "d2"]).select("digest", "alone")
+
+
 def near_classes(docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = 25, rows: int = 5) -> DataFrame:
     """Classes of near-duplicate documents (doc_id, text): linked at weighted Jaccard >= threshold.
 
@@ -133,8 +142,10 @@ def near_classes(docs: DataFrame, width: int = 5, threshold: float = 0.8, bands:
     one of them is compared. At 25 bands of 5 registers a pair at 0.8 is missed once in 20,000.
 
     Texts of a bucket are first compared with its smallest digest. Where that leaves several
-    components in a bucket, members outside its largest component are compared with all members of
+    components in a bucket, members outside its largest component are compared with the members of
     other components: no link between components is lost, and a bucket of copies costs its size.
+    Texts with too much that no other text of these buckets has can't reach the threshold with any
+    of them, so many edited copies of one text, far from each other, are not compared in pairs.
     """
     text_batches(docs.sparkSession)
     signed = staged(_signed(docs, width, bands, rows), "signatures")
@@ -156,11 +167,17 @@ def near_classes(docs: DataFrame, width: int = 5, threshold: float = 0.8, bands:
     roots = components(links)
     placed = members.join(roots, members["digest"] == roots["id"], "left").select("bucket", "digest", "size", F.coalesce("root", "digest").alias("root"))
     placed = staged(placed, "placed")
-    parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    split = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("root", F.struct("n", "root")).alias("largest")).where("parts > 1")
-    open_ = placed.join(split, "bucket")
-    few = open_.where("root <> largest").select("bucket", F.col("digest").alias("p"), F.col("size").alias("p_size"), F.col("root").alias("p_root"))
-    both = few.join(open_.select("bucket", "digest", "size", "root"), "bucket").where("root <> p_root").where(alike(F.col("size"), F.col("p_size")))
+    parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min("size").alias("least"))
+    split = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.min("least").alias("least"), F.max_by("root", F.struct("n", "root")).alias("largest")).where("parts > 1")
+    open_ = staged(placed.join(split, "bucket").drop("parts"), "open")
+    open_ = open_.join(_shared_items(open_.select("digest").distinct(), sets), "digest", "left")
+    open_ = open_.withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0)))
+    # A pair at the threshold has so much in common; what a text has alone can't be part of it.
+    common = lambda x, y: F.lit(threshold / (1 + threshold) - 1e-9) * (x + y)
+    open_ = open_.where(F.col("shared") >= common(F.col("size"), F.greatest("least", threshold * F.col("size"))))
+    few = open_.where("root <> largest").select("bucket", F.col("digest").alias("p"), F.col("size").alias("p_size"), F.col("root").alias("p_root"), F.col("shared").alias("p_shared"))
+    both = few.join(open_.select("bucket", "digest", "size", "root", "shared"), "bucket").where("root <> p_root").where(alike(F.col("size"), F.col("p_size")))
+    both = both.where(F.least("shared", "p_shared") >= common(F.col("size"), F.col("p_size")))
     rest = both.select(F.least("p", "digest").alias("a"), F.greatest("p", "digest").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
     more = staged(_verified(rest, sets, threshold), "links")
     roots = components(links.unionByName(more))
