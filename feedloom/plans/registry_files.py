@@ -318,7 +318,9 @@ def decode_pb_vehicle_positions(spark, sf_dir):
 @query(
     "pb_to_bronze",
     with_views(
-        _tu_sql("day", "cast(null as varchar)").replace("cast(null as int) as direction_id", "0 as direction_id"),
+        _tu_sql("day")
+        .replace("cast(null as int) as direction_id, cast(null as varchar) as start_time", "0 as direction_id, '' as start_time")
+        .replace("cast(null as varchar) as start_date", "'' as start_date"),
         "tu",
     ),
 )
@@ -333,8 +335,8 @@ def pb_to_bronze(spark, sf_dir):
 @query(
     "pb_positions_to_bronze",
     with_views(
-        """select snapshot_filename, snapshot_ts_jst, date_str_jst, agency, entity_id, vehicle_id, trip_id, route_id, 0 as direction_id, start_time,
-        start_date, 0 as current_stop_sequence, '2' as current_status, vp_timestamp,
+        """select snapshot_filename, snapshot_ts_jst, date_str_jst, agency, entity_id, vehicle_id, trip_id, route_id, 0 as direction_id, '' as start_time,
+        '' as start_date, 0 as current_stop_sequence, 2 as current_status, vp_timestamp,
         round(cast(cast(lat as float) as double), 4) as lat, round(cast(cast(lon as float) as double), 4) as lon,
         case when lat is not null then cast(0 as double) end as bearing, round(cast(cast(speed as float) as double), 4) as speed from ("""
         + _vp_sql("day")
