@@ -97,9 +97,9 @@ def first_n(df: DataFrame, ts: str, key: str, n: int) -> DataFrame:
     return slice_rows(df, ts, key, 0, n)
 
 
-def head_rows(df: DataFrame, n: int) -> DataFrame:
-    """Any n rows; reads no more partitions than it needs."""
-    return df.limit(n)
+def head_rows(df: DataFrame, n: int, order: Sequence[str] = ()) -> DataFrame:
+    """n rows: the first of ``order``, else any, reading no more partitions than needed."""
+    return (df.orderBy(*order) if order else df).limit(n)
 
 
 def _digest_levels(digest: Column) -> list[Level]:

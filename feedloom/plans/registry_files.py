@@ -402,6 +402,18 @@ def stream_bronze_query(spark, sf_dir):
     return _round_vp(bronze.read_bronze(spark, table, "vehicle_positions"))
 
 
+@query("bronze_compact", with_views(_vp_sql("day"), "vp"))
+def bronze_compact(spark, sf_dir):
+    """Streamed batches of two drains rewritten in the batch layout, then again for what came later."""
+    live, closed, base, offsets = (fresh_dir(spark, label) for label in ("live", "closed", "landing", "offsets"))
+    docs = fixtures.flat_documents(fixtures.cycle_rows(spark, sf_dir, "vehicle_positions"), "vehicle_positions")
+    for since_batch, part in ((-1, "label = 'harbour_tram'"), (0, "label <> 'harbour_tram'")):
+        documents.write_documents(docs.where(part), base)
+        ingest_once(spark, base, live, offsets, "vehicle_positions")
+        bronze.compact_bronze(spark, live, closed, "vehicle_positions", "99991231", since_batch)
+    return _round_vp(bronze.read_bronze(spark, closed, "vehicle_positions"))
+
+
 @query(
     "stream_once",
     with_views(

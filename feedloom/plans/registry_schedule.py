@@ -510,9 +510,9 @@ def first_positions(spark, sf_dir):
     return _vp_rows(ranking.first_n(view(spark, sf_dir, "vp"), "snapshot_ts_jst", "event_id", 1000))
 
 
-@query("head_rows", with_views("select count(*) as n from (select * from vp limit 100)", "vp"))
+@query("head_rows", with_views(f"select {_VP_COLUMNS} from vp order by vp.snapshot_ts_jst, event_id limit 100", "vp"))
 def head_rows(spark, sf_dir):
-    return ranking.head_rows(view(spark, sf_dir, "vp"), 100).agg(F.count("*").alias("n"))
+    return _vp_rows(ranking.head_rows(view(spark, sf_dir, "vp"), 100, ["snapshot_ts_jst", "event_id"]))
 
 
 @query(

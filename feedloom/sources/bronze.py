@@ -48,6 +48,18 @@ def append_bronze_batch(rows: DataFrame, base: str, feed_type: str, batch_id: in
     )
 
 
+def compact_bronze(spark: SparkSession, live: str, closed: str, feed_type: str, before: str, since_batch: int = -1) -> None:
+    """Rewrite streamed dates below ``before`` (YYYYMMDD) as few files in the batch layout.
+
+    Only (agency, date) partitions that got a batch later than ``since_batch`` are written, each
+    whole and once, so a late file leads to its date alone being written again. Repeatable.
+    """
+    schema = f"{BRONZE[feed_type]}, feed_type STRING, batch_id BIGINT"
+    rows = spark.read.schema(schema).parquet(live).where((F.col("feed_type") == feed_type) & (F.col("date_str_jst") < before))
+    touched = rows.where(F.col("batch_id") > since_batch).select("agency", "date_str_jst").distinct()
+    write_bronze(rows.join(touched, ["agency", "date_str_jst"], "left_semi").drop("batch_id", "feed_type"), closed, feed_type)
+
+
 def read_bronze(spark: SparkSession, base: str, feed_type: str) -> DataFrame:
     """Rows of one feed type in bronze column order; filters on agency and date prune folders.
 

@@ -133,3 +133,26 @@ def test_files_move_once_they_are_taken_in(spark, tmp_path):
                   "--once", "--archive-dir", str(done)])
     assert [t[2] for t in trips(spark, base)] == ["t0", "t1", "t2"]
     assert 1 <= len(list(done.rglob("*.json"))) and len(list(landing.rglob("*.json"))) < 3
+
+
+def test_compaction_rewrites_touched_dates_into_fewer_files(spark, tmp_path):
+    from pathlib import Path
+
+    from feedloom.sources.bronze import compact_bronze
+
+    landing, live, closed, offsets = tmp_path / "landing", str(tmp_path / "live"), str(tmp_path / "closed"), str(tmp_path / "offsets")
+    for i in range(4):
+        land(landing, "trip_updates", "a", f"20251114_1000{i}0", f"t{i}")
+        land(landing, "trip_updates", "a", f"20251115_1000{i}0", f"u{i}")
+        ingest_once(spark, str(landing), live, offsets, "trip_updates")
+    compact_bronze(spark, live, closed, "trip_updates", "20251115")
+    assert trips(spark, closed) == [t for t in trips(spark, live) if t[1] == "20251114"]
+    count = lambda base: len(list(Path(base).rglob("date_str_jst=20251114/**/*.parquet")))
+    assert count(live) == 4 and count(closed) == 1
+    land(landing, "trip_updates", "a", "20251114_110000", "late")
+    ingest_once(spark, str(landing), live, offsets, "trip_updates")
+    before = [p.name for p in Path(closed).rglob("*.parquet")]
+    compact_bronze(spark, live, closed, "trip_updates", "20251115", since_batch=4)
+    assert [p.name for p in Path(closed).rglob("*.parquet")] == before
+    compact_bronze(spark, live, closed, "trip_updates", "20251115", since_batch=3)
+    assert [t[2] for t in trips(spark, closed)] == ["late", "t0", "t1", "t2", "t3"]
