@@ -124,13 +124,46 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return joined.where(F.col("common") >= F.lit(threshold) * union).select("a", "b")
 
 
-def _shared_items(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(digest, alone): how many items of each of ``nodes`` no other node has."""
-    items = nodes.join(sets, "digest").select(F.xxhash64("digest").alias("d1"), F.hash("digest").alias("d2"), F.explode("items").alias("item"))
-    once = items.groupBy("item").agg(F.count("*").alias("n"), F.min("d1").alias("d1"), F.min("d2").alias("d2")).where("n = 1")
-    alone = once.groupBy("d1", "d2").agg(F.count("*").alias("alone"))
-    named = nodes.select("digest", F.xxhash64("digest").alias("d1"), F.hash("digest").alias("d2"))
-    return named.join(alone, ["d1", "d2"]).select("digest", "alone")
+def _open_pairs(members: DataFrame, links: DataFrame, roots: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of one bucket but different components that can still reach the threshold.
+
+    Buckets with several components turn to the member with most links, their centre. Members of all
+    buckets of one centre form its family, and every member's multiset is cut into what it shares
+    with the centre and the rest. Two members of n and m items need t / (1 + t) * (n + m) in common
+    at threshold t. Either the smaller of their shares with the centre is that large, or they also
+    have an item in common that the centre lacks. So edited copies of one text, far from each other
+    but all near the text, are not compared in pairs. Links to the centre itself are among the pairs.
+    """
+    ends = links.select(F.explode(F.array("a", "b")).alias("digest")).groupBy("digest").agg(F.count("*").alias("links"))
+    placed = members.select("bucket", "digest", "size").join(roots.withColumnRenamed("id", "digest"), "digest", "left")
+    placed = staged(placed.join(ends, "digest", "left").select("bucket", "digest", "size", F.coalesce("root", "digest").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "placed")
+    centre = F.max(F.struct("links", "digest", "root"))
+    split = placed.groupBy("bucket").agg(centre.alias("c"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    family = staged(placed.join(split, "bucket").select(F.col("c.digest").alias("centre"), F.col("c.root").alias("centre_root"), "digest", "size", "root").distinct(), "families")
+
+    own = family.join(sets, "digest").join(sets.select(F.col("digest").alias("centre"), F.col("items").alias("core")), "centre")
+    cut = own.select("centre", "centre_root", "digest", "size", "root", F.size(F.array_intersect("items", "core")).alias("shared"), F.array_except("items", "core").alias("extra"))
+    cut = staged(cut, "cut")
+    need = lambda x, y: F.lit(threshold / (1 + threshold) - 1e-9) * (x + y)
+    straight = cut.where("root <> centre_root").select(F.col("centre").alias("p"), F.col("digest").alias("q"))
+
+    sizes = cut.groupBy("centre").agg(F.min("size").alias("least"))
+    core = cut.drop("extra").join(sizes, "centre").where(F.col("shared") >= need(F.col("size"), F.greatest("least", threshold * F.col("size"))))
+    side = lambda rows, *more: rows.select("centre", *more, *[F.col(c).alias(f"p_{c}") for c in ("digest", "size", "root", "shared")])
+    apart = (F.col("root") != F.col("p_root")) & (F.least("size", "p_size") >= F.lit(threshold) * F.greatest("size", "p_size"))
+    by_core = side(core.where("root <> centre_root")).join(core, "centre").where(apart & (F.least("shared", "p_shared") >= need(F.col("size"), F.col("p_size"))))
+
+    items = cut.select("centre", "centre_root", "digest", "size", "root", "shared", F.explode("extra").alias("item"))
+    twice = items.groupBy("centre", "item").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    items = items.join(twice, ["centre", "item"])
+    both = side(items.where("root <> centre_root"), "item").join(items, ["centre", "item"]).where(apart & ((F.col("p_digest") < F.col("digest")) | (F.col("root") == F.col("centre_root"))))
+    counted_pairs = both.groupBy("centre", "p_digest", "digest", "p_size", "size", "p_shared", "shared").agg(F.count("*").alias("extra"))
+    by_extra = counted_pairs.where(F.least("shared", "p_shared") + F.col("extra") >= need(F.col("size"), F.col("p_size")))
+
+    found = straight
+    for pairs in (by_core, by_extra):
+        found = found.unionByName(pairs.select(F.col("p_digest").alias("p"), F.col("digest").alias("q")))
+    return found.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
 def near_classes(docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = 25, rows: int = 5) -> DataFrame:
@@ -142,10 +175,8 @@ def near_classes(docs: DataFrame, width: int = 5, threshold: float = 0.8, bands:
     one of them is compared. At 25 bands of 5 registers a pair at 0.8 is missed once in 20,000.
 
     Texts of a bucket are first compared with its smallest digest. Where that leaves several
-    components in a bucket, members outside its largest component are compared with the members of
-    other components: no link between components is lost, and a bucket of copies costs its size.
-    Texts with too much that no other text of these buckets has can't reach the threshold with any
-    of them, so many edited copies of one text, far from each other, are not compared in pairs.
+    components in a bucket, :func:`_open_pairs` gives the pairs that can still be links: none is
+    lost, and a bucket of copies costs its size.
     """
     text_batches(docs.sparkSession)
     signed = staged(_signed(docs, width, bands, rows), "signatures")
@@ -165,21 +196,7 @@ def near_classes(docs: DataFrame, width: int = 5, threshold: float = 0.8, bands:
 
     links = staged(_verified(tested, sets, threshold), "links")
     roots = components(links)
-    placed = members.join(roots, members["digest"] == roots["id"], "left").select("bucket", "digest", "size", F.coalesce("root", "digest").alias("root"))
-    placed = staged(placed, "placed")
-    parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min("size").alias("least"))
-    split = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.min("least").alias("least"), F.max_by("root", F.struct("n", "root")).alias("largest")).where("parts > 1")
-    open_ = staged(placed.join(split, "bucket").drop("parts"), "open")
-    open_ = open_.join(_shared_items(open_.select("digest").distinct(), sets), "digest", "left")
-    open_ = open_.withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0)))
-    # A pair at the threshold has so much in common; what a text has alone can't be part of it.
-    common = lambda x, y: F.lit(threshold / (1 + threshold) - 1e-9) * (x + y)
-    open_ = open_.where(F.col("shared") >= common(F.col("size"), F.greatest("least", threshold * F.col("size"))))
-    few = open_.where("root <> largest").select("bucket", F.col("digest").alias("p"), F.col("size").alias("p_size"), F.col("root").alias("p_root"), F.col("shared").alias("p_shared"))
-    both = few.join(open_.select("bucket", "digest", "size", "root", "shared"), "bucket").where("root <> p_root").where(alike(F.col("size"), F.col("p_size")))
-    both = both.where(F.least("shared", "p_shared") >= common(F.col("size"), F.col("p_size")))
-    rest = both.select(F.least("p", "digest").alias("a"), F.greatest("p", "digest").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    more = staged(_verified(rest, sets, threshold), "links")
+    more = staged(_verified(_open_pairs(members, links, roots, sets, threshold).join(tested, ["a", "b"], "left_anti"), sets, threshold), "links")
     roots = components(links.unionByName(more))
 
     rooted = signed.join(roots, signed["digest"] == roots["id"], "left").select("doc_id", "digest", F.coalesce("root", "digest").alias("root"))

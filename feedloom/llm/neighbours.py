@@ -91,14 +91,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, axes: int = 64, fr
 
     Returns query_id, rank (from 1; ties to the smaller id), vec_id and score (the cosine of the
     original vectors in double precision). Vectors that are null, zero or hold null or non-finite
-    components take no part; fewer candidates than ``k`` are all returned. Rows that share a query's
+    components, and rows without an id, take no part; fewer candidates than ``k`` are all returned. Rows that share a query's
     id are not its candidates. Vectors of another length than the commonest one raise.
 
     Rows and queries are dealt into blocks of bounded size by a hash of the id and each (rows,
     queries) block pair is one task's work: every row is indexed, none is gathered or broadcast. The
     axes are random lines, so nothing is fitted. No vectors, no rows.
     """
-    rows = staged(vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["embedding"], F.coalesce(is_query, F.lit(False)).alias("is_query")).where(usable(F.col("embedding"))), "vectors")
+    rows = staged(vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["embedding"], F.coalesce(is_query, F.lit(False)).alias("is_query")).where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))), "vectors")
     n, n_queries, dimensions = rows.agg(F.count("*"), F.count(F.when(F.col("is_query"), 1)), F.max(F.size("embedding"))).first()
     blocks, query_blocks = max(1, -(-n // block)), max(1, -(-n_queries // query_block))
     lines = np.random.default_rng(seed).standard_normal((dimensions or 1, axes))

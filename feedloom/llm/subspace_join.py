@@ -86,8 +86,8 @@ def near_embeddings(vectors: DataFrame, threshold: float = 0.93, blocks: int = 4
     """Links between vectors (vec_id, embedding, label) of one label with cosine >= threshold.
 
     Returns per row vec_id, n_links (other rows linked directly), component_id (smallest vec_id
-    reachable, itself included) and kept (vec_id = component_id). Null labels, and vectors that are
-    null, zero or hold null or non-finite components, link with nothing. Equal vectors of a label
+    reachable, itself included) and kept (vec_id = component_id). Null labels, null ids, and vectors
+    that are null, zero or hold null or non-finite components, link with nothing. Equal vectors of a label
     are joined once and count as often as they occur. Within a label all vectors must have one
     length. No vectors, no rows; other columns are not read.
 
@@ -98,7 +98,7 @@ def near_embeddings(vectors: DataFrame, threshold: float = 0.93, blocks: int = 4
     one edge per linked vector, never all pairs.
     """
     ids = vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["embedding"].cast("array<double>").alias("embedding"), vectors["label"].cast("long").alias("label"))
-    fine = usable(F.col("embedding")) & F.col("label").isNotNull()
+    fine = usable(F.col("embedding")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     groups = staged(ids.where(fine).groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "vectors")
     dimensions = groups.agg(F.max(F.size("embedding"))).first()[0] or blocks
     edges, budgets = block_edges(dimensions, blocks), block_budgets(dimensions, blocks, threshold)
@@ -160,4 +160,4 @@ def near_embeddings(vectors: DataFrame, threshold: float = 0.93, blocks: int = 4
     usable_key = F.when(fine, F.col("label"))
     out = ids.withColumn("_label", usable_key).join(known.withColumnRenamed("label", "_label"), ["_label", "embedding"], "left")
     component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))

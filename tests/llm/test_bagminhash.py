@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import numpy as np
@@ -80,3 +81,19 @@ def test_signatures_estimate_weighted_jaccard():
     owner = np.repeat([0, 1], 40)
     found = bag_signatures(owner, np.concatenate([elements, elements]), np.concatenate([a, b]), 2, 4096)
     assert abs((found[0] == found[1]).mean() - np.minimum(a, b).sum() / np.maximum(a, b).sum()) < 0.03
+
+
+def test_edited_copies_far_from_each_other(spark):
+    """Many edits of one text: some near it, some near another edit only, most near nothing."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 160):
+        words = list(base) if rng.random() < 0.8 else rows[rng.randrange(len(rows))][1].split()
+        for _ in range(rng.randrange(1, 9)):
+            words[rng.randrange(len(words))] = f"e{rng.randrange(12)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame([(i, t, "en", "") for i, t in rows], SCHEMA)
+    got = {r["doc_id"]: r["class_id"] for r in near_classes(docs).collect()}
+    want = brute_classes(rows)
+    assert got == want and 10 < len(set(want.values())) < 150

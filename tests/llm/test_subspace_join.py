@@ -49,6 +49,8 @@ def test_links_equal_all_pairs(spark):
     assert result(near_embeddings(frame(spark, rows))) == want
     assert result(near_embeddings(frame(spark, rows), chunk=8)) == want  # full cells are split
     assert sum(n for n, _, _ in want.values()) > 1000
+    nameless = near_embeddings(frame(spark, [*rows[:5], (None, rows[1][1], 1)])).where("vec_id is null").collect()
+    assert [tuple(r) for r in nameless] == [(None, 0, None, False)]
 
 
 def test_given_vectors_and_empty_table(spark):
