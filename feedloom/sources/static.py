@@ -37,32 +37,34 @@ def _table_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     raise ValueError(f"line {line_no} has more fields than the header")
                 yield line_no, {k: v or None for k, v in record.items()}
 
-    def bundle_rows(path: str):
+    def table_rows(path: str, table: str):
         filesystem, target = open_filesystem(path)
         with filesystem.open_input_file(target) as raw, zipfile.ZipFile(raw) as bundle:
-            for table in [t for t in STATIC_TABLES if f"{t}.txt" in bundle.namelist()]:
-                try:
-                    for _ in records(bundle, table):
-                        pass  # a table that breaks off later must not have given rows before
-                except OSError:
-                    raise  # storage trouble is not a bad table: let Spark run the task again
-                except Exception as error:  # noqa: BLE001 - a bad table is reported, the others are read
-                    yield (path, table, None, None, str(error))
-                    continue
-                for line_no, row in records(bundle, table):
-                    yield (path, table, line_no, row, None)
+            if f"{table}.txt" not in bundle.namelist():
+                return
+            try:
+                for _ in records(bundle, table):
+                    pass  # a table that breaks off later must not have given rows before
+            except OSError:
+                raise  # storage trouble is not a bad table: let Spark run the task again
+            except Exception as error:  # noqa: BLE001 - a bad table is reported, the others are read
+                yield (path, table, None, None, str(error))
+                return
+            for line_no, row in records(bundle, table):
+                yield (path, table, line_no, row, None)
 
     for batch in batches:
-        for path in batch["path"]:
+        for path, table in zip(batch["path"], batch["table"]):
             rows = []
             try:
-                for row in bundle_rows(path):
+                for row in table_rows(path, table):
                     rows.append(row)
                     if len(rows) >= _BATCH_ROWS:
                         yield pd.DataFrame(rows, columns=columns)
                         rows = []
             except (zipfile.BadZipFile, ValueError) as error:
-                rows.append((path, None, None, None, str(error)))
+                if table == STATIC_TABLES[0]:  # a bad bundle is reported once
+                    rows.append((path, None, None, None, str(error)))
             if rows:
                 yield pd.DataFrame(rows, columns=columns)
 
@@ -70,10 +72,13 @@ def _table_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def read_static_bundles(spark: SparkSession, base: str, pattern: str = "*.zip") -> DataFrame:
     """(archive, table, line_no, row, problem): the rows of the seven schedule tables of each bundle.
 
-    A table that cannot be read to its end is skipped and reported once in ``problem``.
+    A table that cannot be read to its end is skipped and reported once in ``problem``. A table of a
+    bundle is one task's work, so that large tables of one bundle are read side by side.
     """
-    paths = list_files(spark, base, pattern).select("path")
-    rows = paths.mapInPandas(_table_rows, _ROWS)
+    tables = F.explode(F.array(*[F.lit(t) for t in STATIC_TABLES])).alias("table")
+    work = list_files(spark, base, pattern).select("path", tables)
+    spread = work.repartition(4 * spark.sparkContext.defaultParallelism, "path", "table")
+    rows = spread.mapInPandas(_table_rows, _ROWS)
     return rows.withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
