@@ -127,8 +127,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 def _open_pairs(members: DataFrame, links: DataFrame, roots: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) of one bucket but different components that can still reach the threshold.
 
-    Buckets with several components turn to the member with most links, their centre. Members of all
-    buckets of one centre form its family, and every member's multiset is cut into what it shares
+    Buckets with several components turn to a centre: the text with most links among their members and
+    all that share any bucket with these. Members of all buckets of one centre form its family, and every member's multiset is cut into what it shares
     with the centre and the rest. Two members of n and m items need t / (1 + t) * (n + m) in common
     at threshold t. Either the smaller of their shares with the centre is that large, or they also
     have an item in common that the centre lacks. So edited copies of one text, far from each other
@@ -138,7 +138,10 @@ def _open_pairs(members: DataFrame, links: DataFrame, roots: DataFrame, sets: Da
     placed = members.select("bucket", "digest", "size").join(roots.withColumnRenamed("id", "digest"), "digest", "left")
     placed = staged(placed.join(ends, "digest", "left").select("bucket", "digest", "size", F.coalesce("root", "digest").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "placed")
     centre = F.max(F.struct("links", "digest", "root"))
-    split = placed.groupBy("bucket").agg(centre.alias("c"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    near = placed.groupBy("bucket").agg(centre.alias("c"))
+    seen = staged(placed.join(near, "bucket").groupBy("digest").agg(F.max("c").alias("c")), "centres")
+    lead = placed.join(seen, "digest").groupBy("bucket").agg(F.max("c").alias("c"), F.min("root").alias("low"), F.max("root").alias("high"))
+    split = lead.where("low <> high").select("bucket", "c")
     family = staged(placed.join(split, "bucket").select(F.col("c.digest").alias("centre"), F.col("c.root").alias("centre_root"), "digest", "size", "root").distinct(), "families")
 
     own = family.join(sets, "digest").join(sets.select(F.col("digest").alias("centre"), F.col("items").alias("core")), "centre")
