@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from feedloom.llm.common import staged, text_batches
 from feedloom.llm.graph import components
@@ -131,7 +132,7 @@ def _open_pairs(members: DataFrame, links: DataFrame, roots: DataFrame, sets: Da
     all that share any bucket with these. Members of all buckets of one centre form its family, and every member's multiset is cut into what it shares
     with the centre and the rest. Two members of n and m items need t / (1 + t) * (n + m) in common
     at threshold t. Either the smaller of their shares with the centre is that large, or they also
-    have an item in common that the centre lacks. So edited copies of one text, far from each other
+    have items in common that the centre lacks, at least as many as are then missing. So edited copies of one text, far from each other
     but all near the text, are not compared in pairs. Links to the centre itself are among the pairs.
     """
     ends = links.select(F.explode(F.array("a", "b")).alias("digest")).groupBy("digest").agg(F.count("*").alias("links"))
@@ -156,12 +157,15 @@ def _open_pairs(members: DataFrame, links: DataFrame, roots: DataFrame, sets: Da
     apart = (F.col("root") != F.col("p_root")) & (F.least("size", "p_size") >= F.lit(threshold) * F.greatest("size", "p_size"))
     by_core = side(core.where("root <> centre_root")).join(core, "centre").where(apart & (F.least("shared", "p_shared") >= need(F.col("size"), F.col("p_size"))))
 
-    items = cut.select("centre", "centre_root", "digest", "size", "root", "shared", F.explode("extra").alias("item"))
-    twice = items.groupBy("centre", "item").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    items = items.join(twice, ["centre", "item"])
-    both = side(items.where("root <> centre_root"), "item").join(items, ["centre", "item"]).where(apart & ((F.col("p_digest") < F.col("digest")) | (F.col("root") == F.col("centre_root"))))
-    counted_pairs = both.groupBy("centre", "p_digest", "digest", "p_size", "size", "p_shared", "shared").agg(F.count("*").alias("extra"))
-    by_extra = counted_pairs.where(F.least("shared", "p_shared") + F.col("extra") >= need(F.col("size"), F.col("p_size")))
+    # Two members must share at least ``k`` items that the centre lacks; of each, the k - 1 commonest
+    # may be left out, for whoever shares k of them shares one of the others.
+    k = F.ceil(need(F.col("size"), F.greatest("least", threshold * F.col("size"))) - F.col("shared"))
+    able = cut.join(sizes, "centre").withColumn("k", F.greatest(F.lit(1), k)).where(F.col("k") <= F.size("extra")).drop("least")
+    items = able.withColumn("item", F.explode("extra")).drop("extra")
+    often = items.groupBy("centre", "item").agg(F.count("*").alias("n")).where("n > 1")
+    ranks = Window.partitionBy("centre", "digest").orderBy(F.desc("n"), "item")
+    rare = items.join(often, ["centre", "item"]).withColumn("rank", F.row_number().over(ranks)).where("rank >= k")
+    by_extra = side(rare.where("root <> centre_root"), "item").join(rare, ["centre", "item"]).where(apart)
 
     found = straight
     for pairs in (by_core, by_extra):
