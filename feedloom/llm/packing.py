@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import sys
 from array import array
 from collections.abc import Callable, Iterator, Sequence
@@ -22,6 +23,9 @@ _CACHED_WORDS, _CACHED_LENGTH = 250_000, 48
 #: Fixed value: how byte-level BPE cuts text into the pieces that it encodes one by one.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: A blank inside or at the end of white space that began before it: no piece starts there.
+_INNER_BLANK = re.compile(r" (?!\S)(?<=\s )")
+
 
 def _byte_ranks(model: dict) -> dict[bytes, int]:
     """A byte-level vocabulary as ranks of byte strings. Its file writes bytes that don't print as
@@ -80,12 +84,13 @@ def _words(path: str) -> _Words:
 
 
 def _text_ids(text: str, words: _Words) -> bytes:
-    """Ids of a whole text. The byte-level pattern never joins a word with the single blank after it,
-    so a text without double blanks is the sum of its blank-led words; others are encoded whole.
-    That holds for the byte-level pattern only, so ``words.splits`` says whether to."""
+    """Ids of a whole text. The byte-level pattern starts a piece at each blank that begins or ends
+    a run of white space, so a text with no other blanks is the sum of its blank-led words; texts
+    with blanks inside such runs (as between NBSP) are encoded whole. That holds for the byte-level
+    pattern only, so ``words.splits`` says whether to."""
     if not text:
         return b""
-    if "  " in text or not words.splits:
+    if "  " in text or not words.splits or _INNER_BLANK.search(text):
         return words.encode(text)
     first, *others = text.split(" ")
     return words[first] + b"".join([words[" " + w] for w in others])

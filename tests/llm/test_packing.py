@@ -1,3 +1,4 @@
+import random
 import zlib
 from array import array
 from collections import defaultdict
@@ -5,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.llm.packing import best_fit_decreasing, pack_documents, padding
+from feedloom.llm.packing import _text_ids, _words, best_fit_decreasing, pack_documents, padding
 from feedloom.llm.registry import tokenizer_path
 
 SCHEMA = "doc_id long, text string, length string, rank int"
@@ -60,6 +61,21 @@ def test_odd_rows(spark):
     assert pack_documents(docs.limit(0), tokenizer_path()).count() == 0
 
 
+def test_blanks_inside_runs_of_white_space(spark):
+    texts = {1: "a \u00a0 \u00a0 b", 2: "price: \u00a0 \u00a0 \u00a0 \u00a0 10", 3: "a\u00a0 ", 4: " \u00a0 x", 5: "a\u3000 \u3000b", 6: "a \n \n b\n ", 7: "\u00a0 \u00a0"}
+    docs = spark.createDataFrame([(i, t, "clash", 1) for i, t in texts.items()], SCHEMA)
+    check(pack_documents(docs, tokenizer_path()).collect(), texts)
+
+
+def test_word_wise_ids_are_those_of_the_whole_text():
+    from tokenizers import Tokenizer
+
+    rng, words, whole = random.Random(1), _words(tokenizer_path()), Tokenizer.from_file(tokenizer_path())
+    for _ in range(3000):
+        text = "".join(rng.choice("ab1.,'s \u00a0\u00a0 \t\n\r\u2003\x1c") for _ in range(rng.randrange(1, 30)))
+        assert list(array("I", _text_ids(text, words))) == whole.encode(text, add_special_tokens=False).ids
+
+
 def naive(counts, window):
     """One piece after another, longest first, into the fullest window that has room."""
     rooms = []
