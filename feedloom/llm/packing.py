@@ -7,7 +7,7 @@ import re
 import sys
 from array import array
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from zlib import crc32
 
 import pyarrow as pa
@@ -36,11 +36,12 @@ def _byte_ranks(model: dict) -> dict[bytes, int]:
     return {bytes(byte_of[c] for c in token): rank for token, rank in model["vocab"].items()}
 
 
-def text_encoder(path: str) -> Callable[[str], Sequence[int]]:
-    """Ids of a text under a tokenizer file; strings of special tokens are ordinary text.
+def text_encoder(path: str, added_tokens: bool = False) -> Callable[[str], Sequence[int]]:
+    """Ids of a text under a tokenizer file. ``added_tokens``: strings of the file's added tokens get
+    the ids of those, as in ``Tokenizer.encode``; otherwise strings of special tokens are ordinary text.
 
     Plain byte-level BPE, whose merges come in order of their ids, runs on the faster of two
-    libraries, with equal ids; any other file on the general one.
+    libraries, with equal ids for texts without added tokens; any other file on the general one.
     """
     from tokenizers import Tokenizer
 
@@ -55,20 +56,34 @@ def text_encoder(path: str) -> Callable[[str], Sequence[int]]:
 
         return tiktoken.Encoding("file", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=_byte_ranks(model), special_tokens={}).encode_ordinary
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = not added_tokens
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
 class _Words(dict):
     """Token ids (little-endian unsigned 32-bit) of words; keeps the first ones, a bounded number."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         super().__init__()
-        self.ids = text_encoder(path)
+        self.path = path
+        self.ids = text_encoder(path, added_tokens)
         self.splits = getattr(self.ids, "__name__", "") == "encode_ordinary"
+        self.markers: list[str] = []
+        if added_tokens and self.splits:
+            with open(path, encoding="utf-8") as file:
+                self.markers = [t["content"] for t in json.load(file).get("added_tokens") or []]
+
+    @cached_property
+    def general(self):
+        """The tokenizer itself, for texts with added tokens; loaded when the first one comes."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     def encode(self, text: str) -> bytes:
-        return array("I", self.ids(text)).tobytes() if sys.byteorder == "little" else b"".join(i.to_bytes(4, "little") for i in self.ids(text))
+        marked = any(m in text for m in self.markers)
+        ids = self.general.encode(text, add_special_tokens=False).ids if marked else self.ids(text)
+        return array("I", ids).tobytes() if sys.byteorder == "little" else b"".join(i.to_bytes(4, "little") for i in ids)
 
     def __missing__(self, word: str) -> bytes:
         ids = self.encode(word)
@@ -78,29 +93,29 @@ class _Words(dict):
 
 
 @lru_cache(maxsize=1)
-def _words(path: str) -> _Words:
+def _words(path: str, added_tokens: bool = False) -> _Words:
     """One cache for all tasks of a Python worker."""
-    return _Words(path)
+    return _Words(path, added_tokens)
 
 
 def _text_ids(text: str, words: _Words) -> bytes:
     """Ids of a whole text. The byte-level pattern starts a piece at each blank that begins or ends
     a run of white space, so a text with no other blanks is the sum of its blank-led words; texts
-    with blanks inside such runs (as between NBSP) are encoded whole. That holds for the byte-level
-    pattern only, so ``words.splits`` says whether to."""
+    with blanks inside such runs (as between NBSP) or with added tokens are encoded whole. That holds
+    for the byte-level pattern only, so ``words.splits`` says whether to."""
     if not text:
         return b""
-    if "  " in text or not words.splits or _INNER_BLANK.search(text):
+    if "  " in text or not words.splits or _INNER_BLANK.search(text) or any(m in text for m in words.markers):
         return words.encode(text)
     first, *others = text.split(" ")
     return words[first] + b"".join([words[" " + w] for w in others])
 
 
-def tokenized_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> DataFrame:
+def tokenized_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int, added_tokens: bool = False) -> DataFrame:
     """One row per piece: full windows from the start of each document, then what is left."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = _words(tokenizer), end_id.to_bytes(4, "little")
+        words, end = _words(tokenizer, added_tokens), end_id.to_bytes(4, "little")
         names = [n.split()[0] for n in _PIECES.split(", ")]
         for batch in batches:
             out: list[list] = [[] for _ in names]
@@ -184,18 +199,19 @@ def best_fit_decreasing(counts: dict[int, int], window: int) -> list[tuple[int,
     return rows
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, added_tokens: bool = False) -> DataFrame:
     """Pack documents (doc_id, text) into sequences of at most ``window`` tokens.
 
     Returns per piece doc_id, start, length, ids_crc32 (ids as little-endian unsigned 32 bits),
     doc_tokens, sequence_id and offset; :func:`padding` tells what each sequence is padded to. Every document ends in ``end_id``; null or empty texts are
     that id alone. Only counts per length (at most ``window``) reach the driver; ranks within a
     length spread over tasks, so copies and hot lengths are harmless. No documents, no rows; other
-    columns are not read.
+    columns are not read. ``added_tokens`` takes strings of the tokenizer's added tokens as these
+    tokens (see :func:`text_encoder`).
     """
     spark: SparkSession = docs.sparkSession
     text_batches(spark)
-    pieces = staged(tokenized_pieces(docs, tokenizer, window, end_id), "pieces")
+    pieces = staged(tokenized_pieces(docs, tokenizer, window, end_id, added_tokens), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     plan = best_fit_decreasing(counts, window)
     schema = "length long, first long, pieces long, sequence long, used long, each long"

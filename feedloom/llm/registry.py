@@ -65,7 +65,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), added_tokens=True)
 
 
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,9 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from feedloom.llm.packing import _text_ids, _words, best_fit_decreasing, pack_documents, padding
-from feedloom.llm.registry import tokenizer_path
+from feedloom.llm.registry import op8_pack, tokenizer_path
 
 SCHEMA = "doc_id long, text string, length string, rank int"
 
@@ -76,6 +77,24 @@ def test_word_wise_ids_are_those_of_the_whole_text():
         assert list(array("I", _text_ids(text, words))) == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_registered_queries_give_ids_of_the_plain_call(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    texts = {1: "<|endoftext|> x", 2: "x <|endoftext|>y <|endoftext|>", 3: "a<|endoftext|><|endoftext|>", 4: "plain words", 5: "<|endoftext", 6: "w " * 3000 + "<|endoftext|>", 7: "a \u00a0 \u00a0<|endoftext|>  b"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    whole = Tokenizer.from_file(tokenizer_path())
+    stored = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for packed in (op8_pack(spark, str(tmp_path)), corpus_pipeline.packed(spark, stored, str(tmp_path))):
+        pieces = {(r["doc_id"], r["start"]): r for r in packed.collect()}
+        for doc_id, text in texts.items():
+            ids = whole.encode(text, add_special_tokens=False).ids + [1]
+            for start in range(0, len(ids), 2048):
+                r = pieces.pop((doc_id, start))
+                assert r["doc_tokens"] == len(ids)
+                assert r["ids_crc32"] == zlib.crc32(array("I", ids[start : start + 2048]).tobytes())
+        assert not pieces
+
+
 def naive(counts, window):
     """One piece after another, longest first, into the fullest window that has room."""
     rooms = []
