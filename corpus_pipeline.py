@@ -37,9 +37,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources brought to their weights: a document comes as often as the mix takes it."""
-    copies = mix_documents(docs).groupBy("doc_id").agg(F.max("copies").cast("int").alias("_copies"))
-    joined = docs.select(*COLUMNS).join(copies.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.where("_copies > 0").withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*COLUMNS)
+    taken = mix_documents(docs, carry=COLUMNS[1:]).where("copies > 0")
+    return taken.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -103,17 +103,21 @@ def rounded(classes: DataFrame, sources: DataFrame, most: int, rounds: int = 12)
     return state
 
 
-def mix_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: int = 2) -> DataFrame:
+def mix_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: int = 2, carry: Sequence[str] = ()) -> DataFrame:
     """Copies of each document so that every source nears its share of words.
 
     Returns doc_id, size (words; null text: 0), source_size, target (its source's), copies and taken
     (words with repeats; no document passes ``most`` copies). A null source is one source, last in
     order. Work runs on (source, size) classes: iterations never read the documents again. Which of
     a class's documents get one copy more follows a hash of the id, so reruns agree. Documents
-    without words get one copy. An empty table gives no rows; other columns are not read.
+    without words get one copy. An empty table gives no rows; other columns are not read, except those
+    in ``carry``: they come along at the end, each row's with its own copies even if ids repeat or are
+    null, and the hash is of id and carried columns.
     """
+    carried = [docs[c] for c in carry]
     slim = staged(
         docs.select(
+            *([F.struct(*carried).alias("_carried"), F.xxhash64(*carried).alias("_digest")] if carry else []),
             docs["doc_id"],
             docs["source"].isNotNull().alias("has_source"),
             F.coalesce(docs["source"], F.lit("")).alias("source_key"),
@@ -127,7 +131,7 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share:
     rate = F.when(F.col("size") == 0, 1.0).when(F.col("full"), float(most)).otherwise(F.least(F.lit(float(most)), F.exp(F.col("tilt") * F.col("size") / F.col("scale"))))
     rated = classes.join(solved, _SOURCE, "left").select(*_SOURCE, "size", "n", F.coalesce(rate, F.lit(1.0)).alias("rate"))
     facts = rounded(rated, sources, most).join(sources.select(*_SOURCE, "source_size", "target"), _SOURCE)
-    placed = ranked(slim, [*_SOURCE, "size"], ["doc_id"], facts)
+    placed = ranked(slim, [*_SOURCE, "size"], ["doc_id", "_digest"] if carry else ["doc_id"], facts)
     copies = F.expr("copies div n") + F.when(F.col("rank") < F.col("copies") % F.col("n"), 1).otherwise(0)
     out = placed.withColumn("copies", copies.cast("long"))
-    return out.select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return out.select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *[F.col("_carried")[c].alias(c) for c in carry])

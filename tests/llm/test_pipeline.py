@@ -1,6 +1,7 @@
 """The pipeline against what each stage promises, stage by stage, on its own input."""
 
 import random
+from collections import Counter
 
 import pytest
 from test_bagminhash import brute_classes
@@ -78,6 +79,19 @@ def test_stages_do_what_they_promise(spark, corpus):
     assert all(sum(r["length"] for r in p) == p[0]["doc_tokens"] for p in once.values())
 
 
+def test_mixing_of_repeated_and_null_ids(spark):
+    rows = [(None if i % 2 else 5, " ".join(f"{s}{i}x{k}" for k in range(10)), "en", s, i, 1) for s in "abc" for i in range(200)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = [tuple(r) for r in pipeline.mixed(spark, docs, "").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, [tuple(r) for r in pipeline.mixed(spark, docs.repartition(5), "").collect()]))
+    assert set(got) <= {r[:5] for r in rows} and max(Counter(got).values()) <= 2
+    taken = Counter()
+    for r in got:
+        taken[r[3]] += 10
+    for source, target in targets({s: 2000 for s in "abc"}).items():
+        assert abs(taken[source] - target) <= 10
+
+
 def test_run_on_given_tables_and_empty_tables(spark, corpus):
     base, _ = corpus
     got = pipeline.run(spark, base)
