@@ -1,14 +1,16 @@
-"""Queries of this folder with production parameters; no SQL where an operator can't be put in SQL."""
+"""Queries of this folder with production parameters, and SQL of those that SQL can express."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.llm import oracles
 from feedloom.llm.bagminhash import near_classes
 from feedloom.llm.common import table
 from feedloom.llm.license_scan import scan_licenses
 from feedloom.llm.license_texts import LICENSE_TEXTS
+from feedloom.llm.line_dedup import line_digest
 from feedloom.llm.mixing import mix_documents
 from feedloom.llm.neighbours import nearest
 from feedloom.llm.packing import pack_documents
@@ -78,5 +80,22 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors["vec_id"] % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_licenses, op2_suffix_dedup, op3_url_filter, op4_mix_sources, op5_bagminhash, op6_subspace, op7_toxicity, op8_pack, op9_shard, op10_neighbours)}
-ORACLES: dict[str, str] = {}
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_digest(table(spark, sf_dir, "documents"))
+
+
+_ALL = (
+    op1_licenses,
+    op2_suffix_dedup,
+    op3_url_filter,
+    op4_mix_sources,
+    op5_bagminhash,
+    op6_subspace,
+    op7_toxicity,
+    op8_pack,
+    op9_shard,
+    op10_neighbours,
+    op12_line_dedup,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+ORACLES: dict[str, str] = {"op12_line_dedup": oracles.LINE_DEDUP}
