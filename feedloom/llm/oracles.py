@@ -15,3 +15,49 @@ texts as (
   from marked group by rid)
 select doc_id, n_lines, n_dropped, sha256(kept) as kept_sha256 from docs join texts using (rid)
 """
+
+#: Unsigned crc32 of an ASCII text, bit by bit (the reflected polynomial 0xEDB88320).
+_CRC32 = """xor(4294967295, list_reduce(
+  list_concat([4294967295::bigint], list_transform(string_split({0}, ''), lambda c: ascii(c)::bigint)),
+  lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+    lambda x, unused: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end)))"""
+
+PREFIX_TRIE = f"""
+with turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, role, text) as t
+  from conversations where conv_id is not null),
+heads as (
+  select conv_id, own, conv_id - conv_id % 20 as base, {_CRC32.format("conv_id::varchar")} % 4 as h
+  from (select conv_id, max(t) as own from turns group by conv_id)),
+facts as (
+  select a.*, least(a.h, coalesce(b.own, 0)) as m, least(a.h, coalesce(b.own, 0)) + greatest(a.own - a.h, 0) as length
+  from heads a left join heads b on a.base = b.conv_id),
+built as (
+  select conv_id, t - h + m as depth, role, text from turns join facts using (conv_id) where t > h
+  union all
+  select f.conv_id, t, role, text from turns join facts f on turns.conv_id = f.base and t <= f.m),
+keyed as (
+  select conv_id, depth, text, md5(string_agg(md5(role) || md5(text), '') over (partition by conv_id order by depth)) as node from built
+  union all select conv_id, 0, '', '' from facts),
+named as (
+  select *, min(conv_id) over (partition by depth, node) as rep, count(*) over (partition by depth, node) as n from keyed),
+nodes as (
+  select rep, depth, any_value(n) as n,
+         (any_value(n) - 1) * any_value(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))) as own_tokens
+  from named group by rep, depth),
+edges as (
+  select c.rep, c.depth, p.rep as parent from nodes c left join named p on p.conv_id = c.rep and p.depth = c.depth - 1),
+kids as (select parent as rep, depth - 1 as depth, count(*) as n_children from edges where parent is not null group by all),
+below as (
+  select a.rep, a.depth, sum(y.own_tokens) as saved, count(*) filter (k.n_children is null) as leaves
+  from nodes y join named a on a.conv_id = y.rep and a.depth <= y.depth
+  left join kids k on k.rep = y.rep and k.depth = y.depth group by a.rep, a.depth),
+ends as (
+  select rep, depth, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as digest
+  from named join facts using (conv_id) where depth = length group by rep, depth)
+select rep as conv_id, depth, parent as parent_conv_id, n as n_convs, coalesce(n_children, 0) as n_children,
+       leaves as n_leaves, saved::bigint as saved_tokens, coalesce(digest, sha256('')) as ends_sha256
+from nodes join edges using (rep, depth) join below using (rep, depth)
+left join kids using (rep, depth) left join ends using (rep, depth)
+"""

@@ -14,6 +14,7 @@ from feedloom.llm.line_dedup import line_digest
 from feedloom.llm.mixing import mix_documents
 from feedloom.llm.neighbours import nearest
 from feedloom.llm.packing import pack_documents
+from feedloom.llm.prefix_trie import prefix_trie, shared_head
 from feedloom.llm.sharding import shard_documents
 from feedloom.llm.subspace_join import near_embeddings
 from feedloom.llm.suffix_dedup import removal_digest
@@ -80,6 +81,11 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors["vec_id"] % 50 == 0)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv_id = F.col("conv_id")
+    return prefix_trie(table(spark, sf_dir, "conversations"), shared_head(conv_id), conv_id - conv_id % 20, most=3)
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digest(table(spark, sf_dir, "documents"))
 
@@ -95,7 +101,8 @@ _ALL = (
     op8_pack,
     op9_shard,
     op10_neighbours,
+    op11_prefix_trie,
     op12_line_dedup,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLES: dict[str, str] = {"op12_line_dedup": oracles.LINE_DEDUP}
+ORACLES: dict[str, str] = {"op11_prefix_trie": oracles.PREFIX_TRIE, "op12_line_dedup": oracles.LINE_DEDUP}
