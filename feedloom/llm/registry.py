@@ -16,6 +16,7 @@ from feedloom.llm.neighbours import nearest
 from feedloom.llm.packing import pack_documents
 from feedloom.llm.prefix_trie import prefix_trie, shared_head
 from feedloom.llm.sharding import shard_documents
+from feedloom.llm.structure_repair import damaged, repair_report
 from feedloom.llm.subspace_join import near_embeddings
 from feedloom.llm.suffix_dedup import removal_digest
 from feedloom.llm.toxicity import toxicity
@@ -90,6 +91,11 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_report(conversations, damaged(conversations))
+
+
 _ALL = (
     op1_licenses,
     op2_suffix_dedup,
@@ -103,6 +109,11 @@ _ALL = (
     op10_neighbours,
     op11_prefix_trie,
     op12_line_dedup,
+    op13_structure_repair,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLES: dict[str, str] = {"op11_prefix_trie": oracles.PREFIX_TRIE, "op12_line_dedup": oracles.LINE_DEDUP}
+ORACLES: dict[str, str] = {
+    "op11_prefix_trie": oracles.PREFIX_TRIE,
+    "op12_line_dedup": oracles.LINE_DEDUP,
+    "op13_structure_repair": oracles.STRUCTURE_REPAIR,
+}
