@@ -9,7 +9,6 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,13 +84,13 @@ def _runs(rows: list[tuple]) -> list[tuple[str, int, int]]:
     return [(*key, sum(x[2] for x in some)) for key, some in groupby(symbols, key=lambda x: x[:2])]
 
 
-_COLUMNS = ("known", "conv", "turn", "c1", "c2", "initial", "state", "n", "seen")
+_COLUMNS = ("_slice", "known", "conv", "turn", "c1", "c2", "initial", "state", "n", "seen")
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple]]]:
-    """The rows of one conversation in a slice at a time."""
+    """The rows of one conversation in a slice at a time, with (slice, known, conv)."""
     rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in _COLUMNS)))
-    for key, some in groupby(rows, key=lambda r: r[:2]):
+    for key, some in groupby(rows, key=lambda r: r[:3]):
         yield key, list(some)
 
 
@@ -105,7 +104,7 @@ def _segment_costs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         total = None
         for run in _runs(rows):
             total = run_costs(*run) if total is None else product(total, run_costs(*run))
-        out.append((TaskContext.get().partitionId(), *key, total.reshape(-1).tolist()))
+        out.append((*key, total.reshape(-1).tolist()))
     columns = list(zip(*out)) or [[]] * 4
     kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int64())]
     yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["slice", "known", "conv", "costs"])
@@ -115,11 +114,11 @@ def _exits(after: dict[tuple, np.ndarray]) -> Callable:
     """For conversations in several slices: where each of their segments leads from each place."""
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, out = TaskContext.get().partitionId(), []
+        out = []
         for key, rows in _segments(batches):
-            if (place, *key) in after:
+            if key in after:
                 runs = _runs(rows)
-                out.append((place, *key, [unroll(runs, after[(place, *key)], p)[1] for p in range(4)]))
+                out.append((*key, [unroll(runs, after[key], p)[1] for p in range(4)]))
         columns = list(zip(*out)) or [[]] * 4
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int64())]
         yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["slice", "known", "conv", "exits"])
@@ -134,18 +133,17 @@ def _choices(after: dict[tuple, np.ndarray], entries: dict[tuple, int]) -> Calla
     """Edits of every row, as one string for equal rows."""
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, out = TaskContext.get().partitionId(), []
+        out = []
         kinds = [pa.bool_(), *[pa.int64()] * 4, pa.string(), pa.int32(), pa.int64(), pa.bool_(), pa.string()]
 
         def batch_of() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out), kinds)], [*_COLUMNS, "edits"])
+            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out), kinds)], [*_COLUMNS[1:], "edits"])
 
         for key, rows in _segments(batches):
-            where = (place, *key)
-            made, _ = unroll(_runs(rows), after.get(where, LAST), entries.get(where, EMPTY))
+            made, _ = unroll(_runs(rows), after.get(key, LAST), entries.get(key, EMPTY))
             steps = (step for run in made for step in run)
             for row in rows:
-                out.append((*row, "".join(next(steps) for _ in range(row[7]))))
+                out.append((*row[1:], "".join(next(steps) for _ in range(row[8]))))
                 if len(out) == 10_000:
                     yield batch_of()
                     out.clear()

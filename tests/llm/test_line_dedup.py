@@ -45,7 +45,7 @@ def test_random_lines_equal_brute_force(spark, min_docs):
     assert digest(frame(spark, rows), min_docs=min_docs) == plain(rows, min_docs)
 
 
-def test_a_hot_line_is_cut_over_slices_and_counted_once(spark):
+def test_a_hot_line_is_cut_over_slices_and_counted_once(spark, many_slices):
     rows = [(i, f"own {i}\nHOT\nrare {i % 40}") for i in range(400)]
     rows += [(1000 + i, "nine\nnine\n nine") for i in range(9)] + [(2000 + i, "ten") for i in range(10)]
     assert digest(frame(spark, rows, 5)) == plain(rows)
@@ -58,7 +58,7 @@ def test_a_hot_line_is_cut_over_slices_and_counted_once(spark):
     assert got == {i: d for i, _, d, _ in plain(rows)}
 
 
-def test_keep_first_leaves_one_line_of_each_key(spark):
+def test_keep_first_leaves_one_line_of_each_key(spark, many_slices):
     rows = [(i, f"x\ny {i % 30}\nx") for i in range(90)]
     got = sorted((r["doc_id"], r["text"]) for r in drop_common_lines(frame(spark, rows), min_docs=2, keep_first=True).collect())
     lines = [x for _, t in got for x in t.split("\n") if t]

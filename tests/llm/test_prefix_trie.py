@@ -71,7 +71,7 @@ def test_random_tries_equal_brute_force_however_they_are_cut(spark):
     assert trie(frame(spark, rows), piece_turns=20, band_levels=2, queue_limit=2) == plain(rows)
 
 
-def test_one_long_conversation_and_one_hot_first_turn(spark):
+def test_one_long_conversation_and_one_hot_first_turn(spark, many_slices):
     rows = [(7, t, "user", f"x {t}") for t in range(400)]
     rows += [(20 + 20 * i, t, "user", "same words here" if t < 2 else f"{i} {t}") for i in range(150) for t in range(4)]
     assert trie(frame(spark, rows), piece_turns=50, band_levels=8, queue_limit=10) == plain(rows)

@@ -107,7 +107,7 @@ def test_random_conversations_equal_brute_force(spark):
     assert report(df) == plain(rows, [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows])
 
 
-def test_a_long_conversation_is_shared_by_slices(spark):
+def test_a_long_conversation_is_shared_by_slices(spark, many_slices):
     rng = random.Random(5)
     long = [(9, t, rng.choice(["user", "assistant"]) if t < 3000 else "user", f"turn {t}" + rng.choice([".", ".", ""])) for t in range(6000)]
     rows = long + [(10 + i, t, ("user", "assistant")[t % 2], f"{i} {t}.") for i in range(300) for t in range(4)]
