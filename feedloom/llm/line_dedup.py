@@ -9,7 +9,6 @@ from itertools import compress
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
@@ -65,10 +64,11 @@ class _Batch:
 
 def _edge_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of the first and the last key of a slice: all that other slices may hold more of."""
-    first, now, docs, last = None, None, 0, None
+    first, now, docs, last, place = None, None, 0, None, 0
     for batch in batches:
         if not batch.num_rows:
             continue
+        place = batch.column("slice")[0].as_py()
         part = _Batch(batch, last)
         last = part.last
         for segment in sorted({0, len(part.docs) - 1}):
@@ -79,7 +79,6 @@ def _edge_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 first = (*now, docs)
             now, docs = part.key_of(segment), int(part.docs[segment])
     ends = [x for x in (first, None if now is None else (*now, docs)) if x is not None]
-    place = TaskContext.get().partitionId()
     names = ["slice", "h1", "h2", "docs"]
     yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*[(place, *e) for e in ends])] or [pa.array([], pa.int64())] * 4, names)
 
@@ -88,12 +87,12 @@ def _dropper(shared: dict[tuple[int, int], tuple[int, int]], min_docs: int, keep
     """Stream a slice and name the lines that go. ``shared`` has (documents, first slice) of keys in several slices."""
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, last, docs = TaskContext.get().partitionId(), None, 0
+        last, docs = None, 0
         held: list[pa.RecordBatch] = []  # lines of the open key while it has fewer than min_docs documents
         for batch in batches:
             if not batch.num_rows:
                 continue
-            part = _Batch(batch, last)
+            part, place = _Batch(batch, last), batch.column("slice")[0].as_py()
             last, end = part.last, len(part.docs) - 1
             counts = part.docs.copy()
             counts[0] += docs if part.goes_on else 0
@@ -142,7 +141,8 @@ def stays(bitmap: bytes, n_lines: int) -> np.ndarray:
 def _bitmaps(named: DataFrame, min_docs: int, min_chars: int, keep_first: bool) -> DataFrame:
     shared_dir(named.sparkSession)
     order = ["h1", "h2", "doc_id", "k1", "k2"]
-    laid = _line_table(named, min_chars).repartitionByRange(*order).sortWithinPartitions(*order, "pos").checkpoint().drop("doc_id")
+    laid = _line_table(named, min_chars).repartitionByRange(*order).sortWithinPartitions(*order, "pos")
+    laid = laid.drop("doc_id").withColumn("slice", F.spark_partition_id()).checkpoint()
     edges = laid.mapInArrow(_edge_counts, "slice long, h1 long, h2 long, docs long").groupBy("h1", "h2")
     # At most two rows a slice.
     several = edges.agg(F.sum("docs").alias("docs"), F.min("slice").alias("first"), F.count("*").alias("slices")).where("slices > 1").collect()
