@@ -16,10 +16,13 @@ def document_log(docs: DataFrame, agencies: str | None = None) -> DataFrame:
     """One row per document: what it holds, and whether it is processed or skipped.
 
     A document is skipped when it is bad, yields no rows, or its agency is filtered out. Parts of
-    one document count as one, which is bad if any part is.
+    one document (of equal ``document``) count as one, which is bad if any part is; files of one name
+    in different folders are documents of their own, and so is each row without a ``document``.
     """
     rows = document_row_count(F.col("feed_type"), F.col("doc"))
-    parts = docs.select("document", "feed_type", "agency", "size_bytes", "status", rows.alias("rows"))
+    own = F.concat(F.lit("row "), F.monotonically_increasing_id())
+    document = F.coalesce("document", own).alias("document")
+    parts = docs.select(document, "feed_type", "agency", "size_bytes", "status", rows.alias("rows"))
     log = parts.groupBy("document").agg(
         F.max("feed_type").alias("feed_type"),
         F.max("agency").alias("agency"),

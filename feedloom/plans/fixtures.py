@@ -104,7 +104,7 @@ def documents(spark: SparkSession, sf_dir: str, feed_type: str, unit: str = "day
 
 def as_files(docs: DataFrame) -> DataFrame:
     """Documents as the snapshot source would read them, without a file in between."""
-    return docs.select(F.element_at(F.split("name", "/"), -1).alias("snapshot_filename"), "content")
+    return docs.select(F.element_at(F.split("name", "/"), -1).alias("snapshot_filename"), F.col("name").alias("path"), "content")
 
 
 def landing(spark: SparkSession, sf_dir: str, *feed_types: str) -> str:

@@ -68,10 +68,25 @@ def flatten_vp(spark, sf_dir):
     return _round_vp(flatten_vehicle_positions(snapshots.documents_from_names(docs)))
 
 
+def _bytes_sql(feed_type: str, unit: str) -> str:
+    """(agency, hr, n, bytes): the size of each flat document, from the JSON text of its items."""
+    common = """'","timestamp":', cast(floor(epoch(snapshot_ts_jst)) as bigint) - 32400"""
+    if feed_type == "trip_updates":
+        source, item = "tu", f"""concat('{{"trip_id":"', trip_id, '","route_id":"', route_id, '","vehicle_id":"', vehicle_id, {common}, ',"delay":' || delay, '}}')"""
+    else:
+        position = """',"position":{"latitude":' || lat || ',"longitude":' || lon || ',"speed":' || speed || '}'"""
+        numbers = """'","current_stop_sequence":', current_stop_sequence, ',"current_status":', current_status"""
+        stamp = common.replace("""'",""", "',")
+        source, item = "vp", f"""concat('{{"vehicle_id":"', vehicle_id, '","trip_id":"', trip_id, '","route_id":"', route_id, {numbers}, {stamp}, {position}, '}}')"""
+    start = f"""concat('{{"feed_type":"{feed_type}","timestamp":', cast(epoch(hr) as bigint) - 32400, ',"feed_name":"', agency, '","{feed_type}":[]}}')"""
+    items = f"select agency, date_trunc('{unit}', snapshot_ts_jst) as hr, strlen({item}) as size from {source}"
+    return f"select '{feed_type}' as feed, agency, hr, count(*) as n, sum(size) + count(*) - 1 + strlen({start}) as bytes from ({items}) group by 2, 3"
+
+
 # Documents per agency and hour: one in five truncated, one in seven under a foreign name.
-_DAMAGED = """select feed, agency, hr, case when n % 7 = 0 then 'bad_name' when n % 5 = 0 then 'bad_json' else 'ok' end as status, n
-  from (select 'trip_updates' as feed, agency, date_trunc('hour', snapshot_ts_jst) as hr, count(*) as n from tu group by 2, 3
-    union all select 'vehicle_positions', agency, date_trunc('hour', snapshot_ts_jst), count(*) from vp group by 2, 3)"""
+_DAMAGED = f"""select feed, agency, hr, case when n % 7 = 0 then 'bad_name' when n % 5 = 0 then 'bad_json' else 'ok' end as status, n,
+    bytes - case when n % 5 = 0 then 9 else 0 end as bytes
+  from ({_bytes_sql("trip_updates", "hour")} union all {_bytes_sql("vehicle_positions", "hour")})"""
 
 
 def _damaged(spark, sf_dir):
@@ -82,6 +97,7 @@ def _damaged(spark, sf_dir):
     name = F.element_at(F.split("name", "/"), -1)
     return docs.select(
         F.when(n % 7 == 0, F.concat(F.lit("copy-of-"), name)).otherwise(name).alias("snapshot_filename"),
+        F.col("name").alias("path"),
         F.when(n % 5 == 0, F.expr("left(content, length(content) - 9)")).otherwise(F.col("content")).alias("content"),
     )
 
@@ -93,8 +109,9 @@ def quarantine_query(spark, sf_dir):
 
 
 _REPORT_SQL = f"""select agency, cast(sum(trip_updates) as bigint) as trip_updates, cast(sum(vehicle_positions) as bigint) as vehicle_positions,
-    cast(sum(1) as bigint) as documents, cast(sum(processed) as bigint) as processed, cast(sum(1 - processed) as bigint) as skipped
-  from (select case when status = 'ok' then agency else '(none)' end as agency, case when status = 'ok' and feed = 'trip_updates' then 1 else 0 end as trip_updates,
+    cast(sum(1) as bigint) as documents, cast(sum(processed) as bigint) as processed, cast(sum(1 - processed) as bigint) as skipped,
+    cast(sum(bytes) as bigint) as bytes
+  from (select bytes, case when status = 'ok' then agency else '(none)' end as agency, case when status = 'ok' and feed = 'trip_updates' then 1 else 0 end as trip_updates,
       case when status = 'ok' and feed = 'vehicle_positions' then 1 else 0 end as vehicle_positions,
       case when status = 'ok' and agency = 'harbour_bus' then 1 else 0 end as processed from ({_DAMAGED}))
   group by rollup(agency)"""
@@ -103,7 +120,7 @@ _REPORT_SQL = f"""select agency, cast(sum(trip_updates) as bigint) as trip_updat
 @query("ingest_report", with_views(_REPORT_SQL, "tu", "vp"))
 def ingest_report_query(spark, sf_dir):
     docs = snapshots.documents_from_names(_damaged(spark, sf_dir))
-    return ingest_report(document_log(docs, "harbour_bus")).drop("bytes")
+    return ingest_report(document_log(docs, "harbour_bus"))
 
 
 # --- files ---------------------------------------------------------------------------------
@@ -354,15 +371,15 @@ def pb_positions_to_bronze(spark, sf_dir):
 @query(
     "archive_agencies",
     with_views(
-        """select agency, cast(sum(n) as bigint) as trip_updates, cast(0 as bigint) as vehicle_positions, cast(sum(n) as bigint) as documents,
-        cast(sum(n) as bigint) as processed, cast(0 as bigint) as skipped
-        from (select agency, count(distinct date_trunc('day', snapshot_ts_jst)) as n from tu group by 1) group by rollup(agency)""",
+        f"""select agency, count(*) as trip_updates, cast(0 as bigint) as vehicle_positions, count(*) as documents,
+        count(*) as processed, cast(0 as bigint) as skipped, cast(sum(bytes) as bigint) as bytes
+        from ({_bytes_sql("trip_updates", "day")}) group by rollup(agency)""",
         "tu",
     ),
 )
 def archive_agencies(spark, sf_dir):
     base = _archives(spark, sf_dir, "trip_updates", packed=True)
-    return normalise.archive_agencies(spark, base).drop("bytes")
+    return normalise.archive_agencies(spark, base)
 
 
 @query(

@@ -21,12 +21,17 @@ from feedloom.operators.filters import agency_list
 from feedloom.sources.schemas import DOCUMENT, LOOSE_DOCUMENT, LOOSE_ITEMS, RAW_LISTS
 
 
+def document_of(path: Column) -> Column:
+    """What makes a document: its path without the ``part-…`` folder that holds a part of it."""
+    return F.regexp_replace(path, r"(^|/)part-[0-9]+/", "$1")
+
+
 def snapshot_glob(feed_type: str) -> str:
     return f"gtfs_rt_{feed_type}_*.json"
 
 
 def read_snapshot_files(spark: SparkSession, base: str, feed_type: str) -> DataFrame:
-    """(snapshot_filename, content) of every snapshot of one feed type below ``base``.
+    """(snapshot_filename, path, content) of every snapshot of one feed type below ``base``.
 
     Listing and name matching are the file source's; small files are packed into tasks by
     ``spark.sql.files.maxPartitionBytes`` and ``openCostInBytes``.
@@ -35,7 +40,7 @@ def read_snapshot_files(spark: SparkSession, base: str, feed_type: str) -> DataF
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", snapshot_glob(feed_type))
         .text(base, wholetext=True)
-        .select(F.col("_metadata.file_name").alias("snapshot_filename"), F.col("value").alias("content"))
+        .select(F.col("_metadata.file_name").alias("snapshot_filename"), F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
     )
 
 
@@ -57,7 +62,7 @@ def stream_snapshot_files(
         .option("pathGlobFilter", snapshot_glob(feed_type))
         .option("maxFilesPerTrigger", files_per_batch)
         .load(base)
-        .select(F.col("_metadata.file_name").alias("snapshot_filename"), F.col("value").alias("content"))
+        .select(F.col("_metadata.file_name").alias("snapshot_filename"), F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
     )
 
 
@@ -112,8 +117,10 @@ def _agency(named: Column, first_entity_only: bool) -> Column:
 def documents_from_names(files: DataFrame, first_entity_only: bool = False) -> DataFrame:
     """Parse snapshot files whose name carries agency, feed type and time.
 
-    Adds ``status``: ``ok``, ``bad_name`` or ``bad_json``; only ``ok`` documents yield rows.
+    Adds ``status``: ``ok``, ``bad_name`` or ``bad_json``; only ``ok`` documents yield rows. Where
+    ``files`` have a ``path``, it tells documents of one name apart; without one each row is its own.
     """
+    document = document_of(F.col("path")) if "path" in files.columns else F.lit(None).cast("string")
     named = _parsed(files).withColumn("_parts", filename_parts(F.col("snapshot_filename")))
     return named.select(
         "snapshot_filename",
@@ -123,7 +130,7 @@ def documents_from_names(files: DataFrame, first_entity_only: bool = False) -> D
         _agency(F.col("_parts.agency"), first_entity_only).alias("agency"),
         F.octet_length("content").cast("bigint").alias("size_bytes"),
         _status(F.col("_parts").isNotNull()).alias("status"),
-        F.col("snapshot_filename").alias("document"),
+        document.alias("document"),
         "doc",
     )
 
