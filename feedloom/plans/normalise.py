@@ -87,7 +87,7 @@ def archive_agencies(spark: SparkSession, archives: str, pattern: str = "*.tar*"
 
 
 def bundle_stop_times(spark: SparkSession, bundles: str) -> DataFrame:
-    rows = good_rows(read_static_bundles(spark, bundles))
+    rows = good_rows(read_static_bundles(spark, bundles, tables=["stop_times"]))
     return static_table(rows, "stop_times", ["trip_id", "stop_id", "departure_time"])
 
 

@@ -119,6 +119,60 @@ def test_static_bundles(spark, tmp_path):
     assert json.loads(profile.sample)["stop_id"] == "007"
 
 
+def test_one_table_is_parsed_by_several_tasks_and_unwanted_ones_stay_closed(spark, tmp_path):
+    base, lines = tmp_path / "bundles", 300_000
+    base.mkdir()
+    text = "trip_id,stop_id,departure_time\n" + "".join(f"wd_a_r_{i},s{i % 7},10:00:00\n" for i in range(lines))
+    with zipfile.ZipFile(base / "one.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("stop_times.txt", text)
+        z.writestr("stops.txt", "stop_id\n" + "x" * 1000)
+    data = bytearray((base / "one.zip").read_bytes())
+    at = data.rindex(b"stops.txt", 0, data.rindex(b"PK\x01\x02") - 10)
+    data[at + 12] ^= 0xFF  # the unwanted table no longer inflates
+    (base / "one.zip").write_bytes(bytes(data))
+    rows = static.read_static_bundles(spark, str(base), tables=["stop_times"])
+    assert rows.where("problem is not null").count() == 0
+    per_task = rows.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) > 1 and sum(r["count"] for r in per_task) == lines
+    assert rows.agg(F.count_distinct("line_no"), F.max("line_no")).first()[:] == (lines, lines)
+    everything = static.read_static_bundles(spark, str(base))
+    assert [r.table for r in everything.where("problem is not null").collect()] == ["stops"]
+    assert everything.where("problem is null").count() == lines
+
+
+def test_quotes_blank_lines_and_line_ends_of_bundles(spark, tmp_path):
+    base = tmp_path / "bundles"
+    base.mkdir()
+    with zipfile.ZipFile(base / "one.zip", "w") as z:
+        z.writestr("stops.txt", '\r\nstop_id,"stop, name",stop_id\r\n\r\n1,"a ""quoted"", one\r\nof two lines",9\r\n\r\n2\n3,é,"  "')
+        z.writestr("trips.txt", 'trip_id\n1\n"open\n')
+        z.writestr("routes.txt", b"route_id\n\xff\n")
+        z.writestr("calendar.txt", "a,b\n" + "1,2\n" * 10 + "1,2,\n")
+        z.writestr("agency.txt", "")
+    rows = static.read_static_bundles(spark, str(base))
+    assert {r.table for r in rows.where("problem is not null").collect()} == {"trips", "routes", "calendar"}
+    got = sorted((r.line_no, r.row) for r in rows.where("problem is null").collect())
+    assert got == [
+        (1, {"stop_id": "9", "stop, name": 'a "quoted", one\r\nof two lines'}),
+        (2, {"stop_id": None, "stop, name": None}),
+        (3, {"stop_id": "  ", "stop, name": "é"}),
+    ]
+
+
+def test_records_are_cut_alike_whatever_the_blocks(spark):
+    text = 'id,name\n1,"x\n,y"\n\n2,é\n3,"q""q"\n'.encode()
+    for size in range(1, len(text) + 1):
+        records, got = static._Records(), []
+        chunks = [text[i : i + size] for i in range(0, len(text), size)]
+        try:
+            for i, chunk in enumerate(chunks):
+                found = records.block(chunk, i == len(chunks) - 1)
+                got += [] if found is None else [(found[0] + j, r.strip()) for j, r in enumerate(found[1].to_pylist())]
+        except UnicodeDecodeError:
+            raise AssertionError(size)
+        assert got == [(1, '1,"x\n,y"'), (2, "2,é"), (3, '3,"q""q"')], size
+
+
 def test_static_json_with_nan(spark, tmp_path):
     body = '{"feed_url": "u", "feed_name": "f", "timestamp": "s", "tables": {"stops": [{"stop_id": 7, "stop_name": NaN}], "trips": []}}'
     (tmp_path / "gtfs_static_f_20251114_214913.json").write_text(body)
