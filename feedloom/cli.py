@@ -7,6 +7,8 @@ import argparse
 from pyspark.sql import SparkSession
 
 from feedloom.plans import normalise
+from feedloom.sources.bronze import compact_bronze, merge_bronze
+from feedloom.sources.versions import KEEP_DAYS
 from feedloom.streaming.ingest import DEFAULT_INTERVAL, stream_bronze, stream_with_static
 
 
@@ -21,10 +23,23 @@ def _parser() -> argparse.ArgumentParser:
         command.add_argument("--output-dir")
         command.add_argument("--feed-type", default="both", choices=["trip_updates", "vehicle_positions", "both"])
         command.add_argument("--agency-filter")
-    folder.add_argument("--quarantine-dir")
+        command.add_argument("--quarantine-dir")
     archives.add_argument("--pattern", default="*.tar*")
     archives.add_argument("--show-agencies", action="store_true")
 
+    payloads = commands.add_parser("payloads", help="raw protobuf payloads to bronze")
+    payloads.add_argument("--input-dir", required=True)
+    payloads.add_argument("--output-dir", required=True)
+    payloads.add_argument("--feed-type", default="both", choices=["trip_updates", "vehicle_positions", "both"])
+
+    compact = commands.add_parser("compact", help="merge folders of a live table, or rewrite its closed dates")
+    compact.add_argument("--live-dir", required=True)
+    compact.add_argument("--feed-type", required=True, choices=["trip_updates", "vehicle_positions"])
+    compact.add_argument("--keep-days", type=float, default=KEEP_DAYS, help="for superseded folders")
+    compact.add_argument("--closed-dir", help="batch table for dates before --before")
+    compact.add_argument("--before", help="YYYYMMDD")
+    compact.add_argument("--since-batch", type=int, default=-1)
+
     ingest = commands.add_parser("ingest", help="landing folder to bronze, continuously or once")
     ingest.add_argument("--landing", required=True)
     ingest.add_argument("--output-dir", required=True)
@@ -48,6 +63,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     if getattr(args, "feed_type", "") in ("gtfs_static", "all") and not (args.bundles and args.schedule_dir):
         parser.error(f"--feed-type {args.feed_type} needs --bundles and --schedule-dir")
+    if args.command == "compact" and bool(args.closed_dir) != bool(args.before):
+        parser.error("--closed-dir and --before go together")
     spark = SparkSession.builder.appName(f"feedloom-{args.command}").getOrCreate()
     if args.command == "normalise":
         normalise.normalise_folder(
@@ -62,8 +79,14 @@ def main(argv: list[str] | None = None) -> None:
                 print(*row, sep="\t")
     elif args.command == "archives":
         normalise.normalise_archives(
-            spark, args.input_dir, args.output_dir, args.pattern, args.agency_filter, args.feed_type
+            spark, args.input_dir, args.output_dir, args.pattern, args.agency_filter, args.feed_type, args.quarantine_dir
         )
+    elif args.command == "payloads":
+        normalise.payloads_to_bronze(spark, args.input_dir, args.output_dir, args.feed_type)
+    elif args.command == "compact" and args.closed_dir:
+        compact_bronze(spark, args.live_dir, args.closed_dir, args.feed_type, args.before, args.since_batch)
+    elif args.command == "compact":
+        merge_bronze(spark, args.live_dir, args.feed_type, keep_days=args.keep_days)
     elif args.command == "ingest":
         options = {"quarantine_dir": args.quarantine_dir, "archive_dir": args.archive_dir, "interval": args.interval, "once": args.once}
         place = (spark, args.landing, args.output_dir, args.checkpoint)

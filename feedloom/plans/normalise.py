@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import time
-
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +23,7 @@ from feedloom.sources.snapshots import (
     quarantine,
     read_snapshot_files,
 )
+from feedloom.sources.versions import KEEP_DAYS, Entry, VersionLog, read_folders
 from feedloom.sources.static import good_rows, read_static_bundles, read_stop_times_csv, static_table
 
 
@@ -47,10 +47,14 @@ def normalise_folder(
 ) -> None:
     """Snapshot files below ``landing`` to bronze, one job per feed type."""
     for feed_type in feed_types(selection):
-        write_bronze(snapshot_rows(spark, landing, feed_type, agencies), base, feed_type)
-        if quarantine_dir is not None:
-            files = of_named_agencies(read_snapshot_files(spark, landing, feed_type), agencies)
-            quarantine(documents_from_names(files)).write.mode("overwrite").parquet(f"{quarantine_dir}/{feed_type}")
+        if quarantine_dir is None:
+            write_bronze(snapshot_rows(spark, landing, feed_type, agencies), base, feed_type)
+            continue
+        # Parsed once for rows and quarantine.
+        docs = documents_from_names(of_named_agencies(read_snapshot_files(spark, landing, feed_type), agencies)).persist(StorageLevel.DISK_ONLY)
+        write_bronze(flatten(keep_agencies(docs, agencies), feed_type), base, feed_type)
+        quarantine(docs).write.mode("overwrite").parquet(f"{quarantine_dir}/{feed_type}")
+        docs.unpersist()
 
 
 def archive_documents(spark: SparkSession, base: str, pattern: str = "*.tar*", selection: str = "both", **quirks) -> DataFrame:
@@ -74,11 +78,14 @@ def normalise_archives(
     """
     members = fresh_dir(spark, "members")
     scan_archives(spark, archives, pattern, selection).write.option("compression", "zstd").parquet(members)
+    docs = documents_from_members(spark.read.parquet(members), **quirks)
+    if quarantine_dir is not None:
+        docs = docs.persist(StorageLevel.DISK_ONLY)  # parsed once for all feeds and quarantine
     for feed_type in feed_types(selection):
-        docs = documents_from_members(spark.read.parquet(members).where(F.col("feed_type") == feed_type), **quirks)
-        write_bronze(flatten(keep_agencies(docs, agencies), feed_type), base, feed_type)
+        write_bronze(flatten(keep_agencies(docs.where(F.col("feed_type") == feed_type), agencies), feed_type), base, feed_type)
     if quarantine_dir is not None:
-        quarantine(documents_from_members(spark.read.parquet(members), **quirks)).write.mode("overwrite").parquet(quarantine_dir)
+        quarantine(docs).write.mode("overwrite").parquet(quarantine_dir)
+        docs.unpersist()
 
 
 def archive_agencies(spark: SparkSession, archives: str, pattern: str = "*.tar*", agencies: str | None = None) -> DataFrame:
@@ -97,22 +104,38 @@ def headway_report(spark: SparkSession, stop_times_csv: str) -> tuple[DataFrame,
     return stats, headway_by_route(stats)
 
 
-def refresh_static_tables(spark: SparkSession, bundles: str, base: str) -> None:
-    """Write the schedule rows of all bundles as a new version below ``base``.
+_SCHEDULE = "archive STRING, line_no BIGINT, row MAP<STRING, STRING>, table STRING"
+
+
+def _bundle_state(spark: SparkSession, bundles: str) -> str:
+    """Tells one state of a bundle folder from another: a digest over paths, sizes and times of change."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.zip").load(bundles)
+    marks = files.select(F.md5(F.concat_ws(" ", "path", "length", F.unix_micros("modificationTime"))).alias("mark"))
+    halves = [F.conv(F.substring("mark", at, 15), 16, 10).cast("decimal(38,0)") for at in (1, 16)]
+    return "-".join(str(x) for x in marks.agg(F.count("*"), *[F.sum(h) for h in halves]).first())
+
+
+def refresh_static_tables(spark: SparkSession, bundles: str, base: str, keep_days: float = KEEP_DAYS) -> bool:
+    """Write the schedule rows of all bundles as a new version below ``base``, if the bundles have changed.
 
-    A version is a folder of its own, partitioned by table name, and counts once it is complete, so
-    readers see one whole version and a refresh that runs twice gives equal versions.
+    A version has a folder of its own, partitioned by table name, and counts once it is complete, so
+    readers see one whole version and a refresh that runs twice gives equal versions. Versions
+    superseded for ``keep_days`` are removed. Tells whether there is a new version.
     """
+    log, state = VersionLog(spark, base, "schedule"), _bundle_state(spark, bundles)
+    if log.exists() and log.current().source == state:
+        return False
+    folder = log.fresh()
     rows = good_rows(read_static_bundles(spark, bundles))
-    version = f"{base.rstrip('/')}/version-{time.time_ns():020d}"
-    rows.hint("rebalance", "table").write.option("compression", "zstd").partitionBy("table").parquet(version)
+    rows.hint("rebalance", "table").write.option("compression", "zstd").partitionBy("table").parquet(f"{log.base}/{folder}")
+    log.commit(lambda entries: (Entry(folder),), state)
+    log.vacuum(keep_days)
+    return True
 
 
 def read_static_tables(spark: SparkSession, base: str) -> DataFrame:
     """The schedule rows of the last complete version."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/version-*/_SUCCESS")
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    return spark.read.parquet(max(s.getPath().getParent().toString() for s in found))
+    return read_folders(spark, VersionLog(spark, base, "schedule").folders(), _SCHEDULE)
 
 
 def payload_documents(payloads: DataFrame, feed_type: str) -> DataFrame:

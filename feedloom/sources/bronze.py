@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.sources.schemas import BRONZE
+from feedloom.sources.versions import KEEP_DAYS, VersionLog, read_folders
 
 PARTITION_COLUMNS = ("agency", "feed_type", "date_str_jst")
 
@@ -29,23 +30,26 @@ def write_bronze(rows: DataFrame, base: str, feed_type: str) -> None:
     )
 
 
+def _write_folder(rows: DataFrame, path: str) -> None:
+    rows.hint("rebalance", *PARTITION_COLUMNS).write.option("compression", "zstd").partitionBy(*PARTITION_COLUMNS).parquet(path)
+
+
 def append_bronze_batch(rows: DataFrame, base: str, feed_type: str, batch_id: int) -> None:
-    """Write one streaming batch beside earlier ones; writing the same batch again replaces it.
+    """Add one streaming batch to the live table at ``base``; the same batch again replaces its rows.
 
-    A late file adds to its date without rewriting the rows already there.
+    The batch has a folder of its own and counts once the log names it (``VersionLog``): a late file
+    adds to its date without rewriting rows, and readers never see half a batch.
     """
-    partitions = (*PARTITION_COLUMNS, "batch_id")
-    (
-        rows.where("agency is not null and date_str_jst is not null")
-        .withColumn("feed_type", F.lit(feed_type))
-        .withColumn("batch_id", F.lit(batch_id))
-        .hint("rebalance", *PARTITION_COLUMNS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy(*partitions)
-        .parquet(base)
-    )
+    dated = rows.where("agency is not null and date_str_jst is not null").withColumn("feed_type", F.lit(feed_type))
+    VersionLog(rows.sparkSession, base, feed_type).put_batch(batch_id, lambda path: _write_folder(dated, path))
+
+
+def merge_bronze(spark: SparkSession, live: str, feed_type: str, fan: int = 10, keep_days: float = KEEP_DAYS) -> list[str]:
+    """Bound the folders of a live table: merge levels of ``fan`` batches, then remove what is superseded
+    for ``keep_days``. May run beside the stream. Returns the removed folders."""
+    log, schema = VersionLog(spark, live, feed_type), f"{BRONZE[feed_type]}, feed_type STRING"
+    log.merge(lambda folders, path: _write_folder(read_folders(spark, folders, schema), path), fan)
+    return log.vacuum(keep_days)
 
 
 def compact_bronze(spark: SparkSession, live: str, closed: str, feed_type: str, before: str, since_batch: int = -1) -> None:
@@ -54,20 +58,23 @@ def compact_bronze(spark: SparkSession, live: str, closed: str, feed_type: str,
     Only (agency, date) partitions that got a batch later than ``since_batch`` are written, each
     whole and once, so a late file leads to its date alone being written again. Repeatable.
     """
-    schema = f"{BRONZE[feed_type]}, feed_type STRING, batch_id BIGINT"
-    rows = spark.read.schema(schema).parquet(live).where((F.col("feed_type") == feed_type) & (F.col("date_str_jst") < before))
-    touched = rows.where(F.col("batch_id") > since_batch).select("agency", "date_str_jst").distinct()
-    write_bronze(rows.join(touched, ["agency", "date_str_jst"], "left_semi").drop("batch_id", "feed_type"), closed, feed_type)
+    log, schema = VersionLog(spark, live, feed_type), f"{BRONZE[feed_type]}, feed_type STRING"
+    entries = log.current().entries
+    later = read_folders(spark, [f"{live}/{e.folder}" for e in entries if e.last > since_batch], schema)
+    touched = later.where(F.col("date_str_jst") < before).select("agency", "date_str_jst").distinct()
+    rows = read_folders(spark, [f"{live}/{e.folder}" for e in entries], schema).where(F.col("date_str_jst") < before)
+    write_bronze(rows.join(touched, ["agency", "date_str_jst"], "left_semi").drop("feed_type"), closed, feed_type)
 
 
 def read_bronze(spark: SparkSession, base: str, feed_type: str) -> DataFrame:
     """Rows of one feed type in bronze column order; filters on agency and date prune folders.
 
     The schema is stated, so a date never comes back as a number and an empty table keeps
-    its columns.
+    its columns. Of a streamed table the folders of its last version are read.
     """
-    schema = f"{BRONZE[feed_type]}, feed_type STRING"
-    table = spark.read.schema(schema).parquet(base).where(F.col("feed_type") == feed_type)
+    schema, log = f"{BRONZE[feed_type]}, feed_type STRING", VersionLog(spark, base, feed_type)
+    rows = read_folders(spark, log.folders(), schema) if log.exists() else spark.read.schema(schema).parquet(base)
+    table = rows.where(F.col("feed_type") == feed_type)
     names = [field.split()[0] for field in BRONZE[feed_type].replace("\n", " ").split(",")]
     return table.select(*names)
 

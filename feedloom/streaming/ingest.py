@@ -5,25 +5,33 @@ from __future__ import annotations
 from collections.abc import Callable
 from hashlib import md5
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from feedloom.operators.filters import feed_types
 from feedloom.operators.flatten import flatten
-from feedloom.sources.bronze import append_bronze_batch
+from feedloom.sources.bronze import append_bronze_batch, merge_bronze
 from feedloom.sources.snapshots import documents_from_names, quarantine, stream_snapshot_files
 
 # Fixed value: seconds between polls of the realtime feeds.
 DEFAULT_INTERVAL = 20
+#: Batches between merges of the live table.
+MERGE_EVERY = 10
 
 
 def _writer(feed_type: str, base: str, quarantine_dir: str | None, also: Callable[[int], None] | None):
     def write_batch(files: DataFrame, batch_id: int) -> None:
         docs = documents_from_names(files)
+        if quarantine_dir is not None:
+            docs = docs.persist(StorageLevel.DISK_ONLY)  # parsed once for rows and quarantine
         append_bronze_batch(flatten(docs, feed_type), base, feed_type, batch_id)
         if quarantine_dir is not None:
             target = f"{quarantine_dir}/feed_type={feed_type}/batch_id={batch_id}"
             quarantine(docs).drop("feed_type").write.mode("overwrite").parquet(target)
+            docs.unpersist()
+        if batch_id % MERGE_EVERY == MERGE_EVERY - 1:
+            merge_bronze(files.sparkSession, base, feed_type)
         if also is not None:
             also(batch_id)
 
@@ -46,7 +54,8 @@ def stream_bronze(
     """Start one query per feed type from ``landing`` to bronze; ``once`` drains and stops.
 
     Batches start every ``interval`` seconds, or at once when one took longer. A batch that is
-    repeated after a failure replaces its own output, so every file counts exactly once.
+    repeated after a failure replaces its own output, so every file counts exactly once. Every
+    ``MERGE_EVERY`` batches the folders of the live table are merged and superseded ones removed.
     ``also`` runs once per batch of the first feed type, which alone owns it, after its rows.
     """
     queries = []
@@ -80,7 +89,8 @@ def stream_with_static(
 ) -> list[StreamingQuery]:
     """Realtime ingestion with the schedule tables taken in first, and again with each cycle.
 
-    ``refresh_static`` reads the bundles and writes a version of their tables; it must be repeatable.
+    ``refresh_static`` reads the bundles, if they have changed, and writes a version of their tables;
+    it must be repeatable.
     One query owns it, so two refreshes never run at the same time.
     """
     refresh_static()
