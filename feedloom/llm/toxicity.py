@@ -95,11 +95,16 @@ def training_rows(labelled: DataFrame, most: int) -> DataFrame:
 
 
 def fit(examples: list[tuple[int, np.ndarray, np.ndarray | None]], sparsity: float = 3e-4, fairness: float = 1.0, rounds: int = 150) -> Model:
-    """Balanced logistic loss + sparsity * |w| + fairness * mean squared score change under swaps.
+    """Balanced logistic loss + sparsity * |w| + fairness * mean squared score change under swaps, w >= 0.
+
+    With ``fairness``, labels are balanced among texts with an identity term and among others apart:
+    the penalty alone would lift all terms of a line to the most blamed one.
 
     Solved by accelerated proximal gradient. A text's score is its bias plus the weights of what
-    occurs in it; the sparse weights keep long clean texts near the bias. With one class
-    only, every text gets that label; without examples, 0.5.
+    occurs in it. No weight is negative: harmless words don't make up for a toxic phrase, however
+    many there are, and what the penalty takes from identity terms can't come back as a bonus of other
+    words; the sparse weights keep long clean texts near the bias. With one class only, every text
+    gets that label; without examples, 0.5.
     """
     labels = np.array([y for y, _, _ in examples], float)
     if not len(labels) or labels.min() == labels.max():
@@ -115,6 +120,15 @@ def fit(examples: list[tuple[int, np.ndarray, np.ndarray | None]], sparsity: flo
     used = np.union1d(column, swap_column)
     column, swap_column = (np.searchsorted(used, c).astype(np.int32) for c in (column, swap_column))
     balance = np.where(labels > 0.5, 0.5 / labels.sum(), 0.5 / (1 - labels).sum())
+    mention = np.array([o is not None for _, _, o in examples])
+    cells = np.bincount(2 * mention + (labels > 0.5), minlength=4)
+    if fairness and cells.all():
+        # Texts with and without identity terms get both labels in equal shares, so a mention tells nothing.
+        share = np.array([1 - mention.mean(), mention.mean()])[mention.astype(int)]
+        balance = 0.5 * share / cells[2 * mention + (labels > 0.5)]
+    # Own step lengths for swapped terms, so that a strong penalty does not slow the others down.
+    lengths = np.bincount(swap, minlength=len(moves))[swap] if moves else swap
+    bend = np.bincount(swap_column, 2 * fairness / max(1, len(moves)) * lengths, len(used))
     weights, bias = np.zeros(len(used)), 0.0
     ahead, ahead_bias, pace, step = weights, bias, 1.0, 1.0
 
@@ -132,11 +146,11 @@ def fit(examples: list[tuple[int, np.ndarray, np.ndarray | None]], sparsity: flo
     for _ in range(rounds):
         loss, slope, bias_slope = loss_and_slope(ahead, ahead_bias)
         while True:  # shorten the step until the quadratic bound holds
-            moved = ahead - step * slope
-            fresh = np.sign(moved) * np.maximum(np.abs(moved) - step * sparsity, 0)
+            bent = 1 / step + bend
+            fresh = np.maximum(ahead - (slope + sparsity) / bent, 0)
             fresh_bias = ahead_bias - step * bias_slope
             delta, delta_bias = fresh - ahead, fresh_bias - ahead_bias
-            bound = loss + delta @ slope + delta_bias * bias_slope + (delta @ delta + delta_bias**2) / (2 * step)
+            bound = loss + delta @ slope + delta_bias * bias_slope + (delta**2 @ bent + delta_bias**2 / step) / 2
             if loss_and_slope(fresh, fresh_bias)[0] <= bound + 1e-12:
                 break
             step /= 2
@@ -151,10 +165,26 @@ def fit(examples: list[tuple[int, np.ndarray, np.ndarray | None]], sparsity: flo
 
 
 def train(labelled: DataFrame, most: int = 4000, **options) -> Model:
-    """Fit on at most ``most`` of the labelled rows (text, label 0 or 1; null labels don't count)."""
-    rows = training_rows(labelled, most).collect()
-    array = lambda x: None if x is None else np.frombuffer(x, np.int32)
-    return fit([(r["label"], array(r["found"]), array(r["other"])) for r in rows], **options)
+    """Fit on at most ``most`` of the labelled rows (text, label 0 or 1; null labels don't count).
+
+    The bounded sample is one task's work; the driver gets the weights that are not 0.
+    """
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        array = lambda x: None if x is None else np.frombuffer(x, np.int32)
+        columns = (zip(*(batch.column(c).to_pylist() for c in ("label", "found", "other"))) for batch in batches)
+        model = fit([(label, array(found), array(other)) for rows in columns for label, found, other in rows], **options)
+        used = np.flatnonzero(model.weights)
+        values = np.concatenate([[model.bias], model.weights[used]])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], used])), pa.array(values)], ["bucket", "weight"])
+
+    weights, bias = np.zeros(DIMENSIONS), 0.0
+    for r in training_rows(labelled, most).coalesce(1).mapInArrow(fitted, "bucket long, weight double").collect():
+        if r["bucket"] < 0:
+            bias = r["weight"]
+        else:
+            weights[r["bucket"]] = r["weight"]
+    return Model(weights, bias)
 
 
 def score_texts(docs: DataFrame, model: Model, names: list[str] | None = None) -> DataFrame:
