@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from feedloom.plans import normalise
 from feedloom.sources.bronze import compact_bronze, merge_bronze
 from feedloom.sources.versions import KEEP_DAYS
-from feedloom.streaming.ingest import DEFAULT_INTERVAL, stream_bronze, stream_with_static
+from feedloom.streaming.ingest import DEFAULT_INTERVAL, ingest_once, stream_bronze, stream_with_static
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -51,6 +51,7 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--once", action="store_true")
     ingest.add_argument("--quarantine-dir")
     ingest.add_argument("--archive-dir", help="where files move once they are taken in")
+    ingest.add_argument("--dated", action="store_true", help="the landing folder has a folder per date, YYYYMMDD")
 
     headway = commands.add_parser("headway", help="headway statistics of a stop_times file")
     headway.add_argument("--stop-times", required=True)
@@ -88,13 +89,16 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "compact":
         merge_bronze(spark, args.live_dir, args.feed_type, keep_days=args.keep_days)
     elif args.command == "ingest":
-        options = {"quarantine_dir": args.quarantine_dir, "archive_dir": args.archive_dir, "interval": args.interval, "once": args.once}
+        options = {"quarantine_dir": args.quarantine_dir, "archive_dir": args.archive_dir, "interval": args.interval, "once": args.once, "dated": args.dated}
         place = (spark, args.landing, args.output_dir, args.checkpoint)
         refresh = lambda: normalise.refresh_static_tables(spark, args.bundles, args.schedule_dir)
         if args.feed_type == "gtfs_static":
             return refresh()
         if args.feed_type == "all":
             queries = stream_with_static(*place, refresh, selection="realtime", **options)
+        elif args.once and args.dated:
+            options.pop("once")
+            return ingest_once(*place, args.feed_type, **options)
         else:
             queries = stream_bronze(*place, args.feed_type, **options)
         if args.once:

@@ -419,6 +419,19 @@ def stream_bronze_query(spark, sf_dir):
     return _round_vp(bronze.read_bronze(spark, table, "vehicle_positions"))
 
 
+@query("stream_dated_landing", with_views(_vp_sql("day"), "vp"))
+def stream_dated_landing(spark, sf_dir):
+    """A landing folder per date, drained in two rounds; dates that are done are not listed again."""
+    base, table, checkpoint = (fresh_dir(spark, label) for label in ("landing", "bronze", "offsets"))
+    docs = fixtures.flat_documents(fixtures.cycle_rows(spark, sf_dir, "vehicle_positions"), "vehicle_positions")
+    dated = docs.withColumn("name", F.concat_ws("/", F.substring("stamp", 1, 8), "name"))
+    middle = docs.agg(F.percentile_approx(F.substring("stamp", 1, 8).cast("int"), 0.5).cast("string")).first()[0]
+    for part in (F.substring("stamp", 1, 8) <= middle, F.substring("stamp", 1, 8) > middle):
+        documents.write_documents(dated.where(part), base)
+        ingest_once(spark, base, table, checkpoint, "vehicle_positions", dated=True)
+    return _round_vp(bronze.read_bronze(spark, table, "vehicle_positions"))
+
+
 @query("bronze_compact", with_views(_vp_sql("day"), "vp"))
 def bronze_compact(spark, sf_dir):
     """Streamed batches of two drains rewritten in the batch layout, then again for what came later."""

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from feedloom.operators.filters import feed_types
 from feedloom.operators.flatten import flatten
 from feedloom.sources.bronze import append_bronze_batch, merge_bronze
+from feedloom.sources.landing import stream_dated_files
 from feedloom.sources.snapshots import documents_from_names, quarantine, stream_snapshot_files
 
 # Fixed value: seconds between polls of the realtime feeds.
@@ -50,17 +51,24 @@ def stream_bronze(
     quarantine_dir: str | None = None,
     archive_dir: str | None = None,
     also: Callable[[int], None] | None = None,
+    dated: bool = False,
+    **landing_options,
 ) -> list[StreamingQuery]:
     """Start one query per feed type from ``landing`` to bronze; ``once`` drains and stops.
 
     Batches start every ``interval`` seconds, or at once when one took longer. A batch that is
     repeated after a failure replaces its own output, so every file counts exactly once. Every
     ``MERGE_EVERY`` batches the folders of the live table are merged and superseded ones removed.
+    With ``dated`` the landing folder has a folder per date and only open dates are listed
+    (``stream_dated_files``, which takes ``landing_options``).
     ``also`` runs once per batch of the first feed type, which alone owns it, after its rows.
     """
     queries = []
     for owner, feed_type in enumerate(feed_types(selection)):
-        files = stream_snapshot_files(spark, landing, feed_type, files_per_batch, archive_dir)
+        if dated:
+            files = stream_dated_files(spark, landing, feed_type, files_per_batch, **landing_options)
+        else:
+            files = stream_snapshot_files(spark, landing, feed_type, files_per_batch, archive_dir, **landing_options)
         writer = (
             files.writeStream.queryName(f"bronze_{feed_type}_{md5(checkpoint.encode()).hexdigest()[:12]}")
             .option("checkpointLocation", f"{checkpoint}/{feed_type}")
@@ -73,8 +81,16 @@ def stream_bronze(
 
 def ingest_once(spark: SparkSession, landing: str, base: str, checkpoint: str, selection: str = "both", **options) -> None:
     """Take in everything that has landed, then return."""
-    for query in stream_bronze(spark, landing, base, checkpoint, selection, once=True, **options):
-        query.awaitTermination()
+    waiting = feed_types(selection)
+    while waiting:
+        more = []
+        for feed_type in waiting:
+            (query,) = stream_bronze(spark, landing, base, checkpoint, feed_type, once=True, **options)
+            query.awaitTermination()
+            # A run over dated folders takes one batch; it is repeated until one finds nothing.
+            if options.get("dated") and sum(p["numInputRows"] for p in query.recentProgress):
+                more.append(feed_type)
+        waiting = more
 
 
 def stream_with_static(
