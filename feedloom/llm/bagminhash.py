@@ -129,11 +129,15 @@ def _open_pairs(members: DataFrame, links: DataFrame, roots: DataFrame, sets: Da
     """Pairs (a, b) of one bucket but different components that can still reach the threshold.
 
     Buckets with several components turn to a centre: the text with most links among their members and
-    all that share any bucket with these. Members of all buckets of one centre form its family, and every member's multiset is cut into what it shares
-    with the centre and the rest. Two members of n and m items need t / (1 + t) * (n + m) in common
-    at threshold t. Either the smaller of their shares with the centre is that large, or they also
-    have items in common that the centre lacks, at least as many as are then missing. So edited copies of one text, far from each other
-    but all near the text, are not compared in pairs. Links to the centre itself are among the pairs.
+    all that share any bucket with these. Members of all buckets of one centre form its family. Each
+    is told by how it differs from the items C that most of the family hold: those it misses and those it adds. Two members of n and m
+    items have |C| - missed - missed' + d items in common, d of their differences being equal, and
+    need t / (1 + t) * (n + m) at threshold t. With g = t / (1 + t) * n + missed - |C| / 2 that is
+    d >= g + g'. Pairs with g + g' <= 0 are links, and both are so with the member of least g: a star
+    gives their component. Others share that many differences; of each member's the commonest may be left
+    out, for whoever shares k of them shares one that is not among the k - 1 commonest. The member of
+    smaller g leaves out 2g - 1, as its partner has no smaller g. So edited copies of one text are
+    compared only where their edits agree, however many there are. Links to the centre are among the pairs.
     """
     ends = links.select(F.explode(F.array("a", "b")).alias("digest")).groupBy("digest").agg(F.count("*").alias("links"))
     placed = members.select("bucket", "digest", "size").join(roots.withColumnRenamed("id", "digest"), "digest", "left")
@@ -145,31 +149,42 @@ def _open_pairs(members: DataFrame, links: DataFrame, roots: DataFrame, sets: Da
     split = lead.where("low <> high").select("bucket", "c")
     family = staged(placed.join(split, "bucket").select(F.col("c.digest").alias("centre"), F.col("c.root").alias("centre_root"), "digest", "size", "root").distinct(), "families")
 
-    own = family.join(sets, "digest").join(sets.select(F.col("digest").alias("centre"), F.col("items").alias("core")), "centre")
-    cut = own.select("centre", "centre_root", "digest", "size", "root", F.size(F.array_intersect("items", "core")).alias("shared"), F.array_except("items", "core").alias("extra"))
+    held = family.join(sets, "digest")
+    usual = held.select("centre", F.explode("items").alias("item")).groupBy("centre", "item").agg(F.count("*").alias("n"))
+    usual = usual.join(family.groupBy("centre").agg(F.count("*").alias("members")), "centre").where("2 * n > members")
+    cores = usual.groupBy("centre").agg(F.collect_list("item").alias("core"))
+    none = F.array().cast("array<long>")
+    own = held.join(cores, "centre", "left").withColumn("core", F.coalesce("core", none))
+    missed = F.transform(F.array_except("core", "items"), lambda x: F.bitwise_not(x))
+    share = threshold / (1 + threshold)
+    g = F.lit(share) * F.size("items") + F.size(missed) - F.size("core") / 2 - F.lit(1e-6)
+    cut = own.select("centre", "centre_root", "digest", "root", g.alias("g"), F.concat(F.array_except("items", "core"), missed).alias("changes"))
     cut = staged(cut, "cut")
-    need = lambda x, y: F.lit(threshold / (1 + threshold) - 1e-9) * (x + y)
     straight = cut.where("root <> centre_root").select(F.col("centre").alias("p"), F.col("digest").alias("q"))
+    least = cut.groupBy("centre").agg(F.min(F.struct("g", "digest", "root")).alias("least"))
+    sure = cut.join(least, "centre").where("g + least.g <= 0 and root <> least.root").select(F.col("least.digest").alias("p"), F.col("digest").alias("q"))
 
-    sizes = cut.groupBy("centre").agg(F.min("size").alias("least"))
-    core = cut.drop("extra").join(sizes, "centre").where(F.col("shared") >= need(F.col("size"), F.greatest("least", threshold * F.col("size"))))
-    side = lambda rows, *more: rows.select("centre", *more, *[F.col(c).alias(f"p_{c}") for c in ("digest", "size", "root", "shared")])
-    apart = (F.col("root") != F.col("p_root")) & (F.least("size", "p_size") >= F.lit(threshold) * F.greatest("size", "p_size"))
-    by_core = side(core.where("root <> centre_root")).join(core, "centre").where(apart & (F.least("shared", "p_shared") >= need(F.col("size"), F.col("p_size"))))
-
-    # Two members must share at least ``k`` items that the centre lacks; of each, the k - 1 commonest
-    # may be left out, for whoever shares k of them shares one of the others.
-    k = F.ceil(need(F.col("size"), F.greatest("least", threshold * F.col("size"))) - F.col("shared"))
-    able = cut.join(sizes, "centre").withColumn("k", F.greatest(F.lit(1), k)).where(F.col("k") <= F.size("extra")).drop("least")
-    items = able.withColumn("item", F.explode("extra")).drop("extra")
+    able = cut.join(least.select("centre", F.col("least.g").alias("low")), "centre")
+    able = able.withColumn("k", F.greatest(F.lit(1), F.ceil(F.col("g") + F.col("low")))).where(F.col("k") <= F.size("changes"))
+    items = able.select("centre", "digest", "root", "g", "k", F.explode("changes").alias("item"))
     often = items.groupBy("centre", "item").agg(F.count("*").alias("n")).where("n > 1")
     ranks = Window.partitionBy("centre", "digest").orderBy(F.desc("n"), "item")
-    rare = items.join(often, ["centre", "item"]).withColumn("rank", F.row_number().over(ranks)).where("rank >= k")
-    by_extra = side(rare.where("root <> centre_root"), "item").join(rare, ["centre", "item"]).where(apart)
-
-    found = straight
-    for pairs in (by_core, by_extra):
-        found = found.unionByName(pairs.select(F.col("p_digest").alias("p"), F.col("digest").alias("q")))
+    rare = staged(items.join(often, ["centre", "item"]).withColumn("rank", F.row_number().over(ranks)).where("rank >= k"), "rare")
+    # Each side knows the partner's g by its class and leaves out as many changes as their sum asks for.
+    size = F.floor(2 * F.log2(F.abs("g") + 1))
+    rare = rare.withColumn("class", F.when(F.col("g") < 0, -size - 1).otherwise(size).cast("int"))
+    ends = rare.groupBy("centre").agg(F.min("class").alias("first"), F.max("class").alias("last"))
+    rare = rare.join(ends, "centre")
+    least_of = lambda c: F.when(c < 0, 1 - F.pow(F.lit(2.0), -c / 2)).otherwise(F.pow(F.lit(2.0), c / 2) - 1)
+    known = lambda rows: rows.where(F.col("rank") >= F.greatest(F.lit(1), F.ceil(F.col("g") + least_of(F.col("other")) - 1e-6)))
+    lower = known(rare.withColumn("other", F.explode(F.sequence("class", "last"))))
+    lower = lower.select("centre", "item", F.col("class").alias("low_class"), F.col("other").alias("high_class"), *[F.col(c).alias(f"p_{c}") for c in ("digest", "root", "g")])
+    upper = known(rare.withColumn("other", F.explode(F.sequence("first", "class"))))
+    upper = upper.select("centre", "item", F.col("other").alias("low_class"), F.col("class").alias("high_class"), "digest", "root", "g")
+    later = F.struct("p_g", "p_digest") < F.struct("g", "digest")
+    alike = lower.join(upper, ["centre", "item", "low_class", "high_class"]).where((F.col("root") != F.col("p_root")) & later & (F.col("g") + F.col("p_g") > 0))
+
+    found = straight.unionByName(sure).unionByName(alike.select(F.col("p_digest").alias("p"), F.col("digest").alias("q")))
     return found.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
