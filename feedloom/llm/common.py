@@ -38,22 +38,27 @@ def tasks_for(spark: SparkSession, factor: int = 1) -> int:
     return factor * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str], facts: DataFrame | None = None) -> DataFrame:
+def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str], facts: DataFrame | None = None, weight: str | None = None) -> DataFrame:
     """Add ``rank``, gapless from 0 within the non-null ``keys``, for groups of any size.
 
     The order is by a hash of ``order``, then ``order``. Rows are counted per (keys, bucket), counts
     are summed along the buckets of a key, and only rows of one bucket meet in one task. ``facts``
-    has one row per key, whose columns come along. Rows equal in ``order`` share a bucket.
+    has one row per key, whose columns come along. Rows equal in ``order`` share a bucket. A row of
+    ``weight`` n stands for n rows, and its rank is that of the first.
     """
+    count = F.sum(weight) if weight else F.count("*")
     rows = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(BUCKETS)).cast("int"))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = rows.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
+    counts = rows.groupBy(*keys, "_bucket").agg(count.alias("_n"))
     starts = counts.select(*keys, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     if facts is not None:
         starts = starts.join(facts, list(keys))
     inside = Window.partitionBy(*keys, "_bucket").orderBy(F.xxhash64(*order), *order)
     joined = rows.join(starts, [*keys, "_bucket"])
-    return joined.withColumn("rank", F.col("_start") + F.row_number().over(inside) - 1).drop("_bucket", "_start")
+    number = F.row_number().over(inside) - 1
+    if weight:
+        number = F.sum(weight).over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col(weight)
+    return joined.withColumn("rank", F.col("_start") + number).drop("_bucket", "_start")
 
 
 def utf8_bytes(text: Column) -> Column:

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from feedloom.llm.sharding import shard_documents
+from feedloom.llm.sharding import shard_documents, write_shards
 
 SCHEMA = "doc_id long, text string, shard string, key int"
 
@@ -50,3 +50,35 @@ def test_odd_rows_and_empty_table(spark):
     assert got[1]["size"] == 1 and got[1]["text_crc32"] == 0 and got[5]["size"] == 3
     assert shard_documents(frame(spark, rows)).count() == 6
     assert shard_documents(frame(spark, []).where(F.lit(False))).count() == 0
+
+
+def test_equal_rows_are_cut_like_others(spark):
+    rows = [(7, "z" * 1000)] * 300 + [(i, f"small {i}") for i in range(100, 200)]
+    got = shard_documents(frame(spark, rows)).collect()
+    total, slots = defaultdict(int), defaultdict(list)
+    for r in got:
+        total[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert len(got) == 400 and set(total) == set(range(16))
+    assert max(total.values()) - min(total.values()) <= 1001
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert sorted(map(tuple, shard_documents(frame(spark, rows).repartition(7)).collect())) == sorted(map(tuple, got))
+
+
+def test_written_shards_hold_exactly_the_rows(spark, tmp_path):
+    rows = [(None, "n" * 50)] * 20 + [(None, None), (1, None), (1, ""), (2, "x")] + [(3, "w" * 300)] * 40 + [(3, "v")] * 2
+    docs = spark.createDataFrame([(i, t, f"row {k}", k, -k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, shard string, rank int, copy int").repartition(3)
+    write_shards(docs, str(tmp_path / "out"), n_shards=4)
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r["rank"], r["doc_id"] or 0, r["text"] or "-", r["copy"]) for r in got) == [(k, i or 0, t or "-", -k) for k, (i, t) in enumerate(rows)]
+    slots, total = defaultdict(list), defaultdict(int)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+        total[r["shard"]] += len(r["text"] or "") + 1
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(total.values()) - min(total.values()) <= 2 * 301
+    digest = shard_documents(docs, 4)
+    plain = lambda rows: sorted((r["shard"], r["slot"], str(r["doc_id"])) for r in rows)
+    assert plain(got) == plain(digest.collect())
+    write_shards(docs.limit(0), str(tmp_path / "none"))
+    assert spark.read.schema("doc_id long").parquet(str(tmp_path / "none")).count() == 0
