@@ -91,42 +91,56 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, axes: int = 64, fr
 
     Returns query_id, rank (from 1; ties to the smaller id), vec_id and score (the cosine of the
     original vectors in double precision). Vectors that are null, zero or hold null or non-finite
-    components, and rows without an id, take no part; fewer candidates than ``k`` are all returned. Rows that share a query's
-    id are not its candidates. Vectors of another length than the commonest one raise.
+    components, and rows without an id, take no part; fewer candidates than ``k`` are all returned.
+    Only vectors of one length are compared. Rows equal in id and vector are searched once and count
+    as often as they occur: each of them, if a query, has its own ``k`` rows, its copies among them.
+    A row that shares only the id is a candidate like any other.
 
     Rows and queries are dealt into blocks of bounded size by a hash of the id and each (rows,
     queries) block pair is one task's work: every row is indexed, none is gathered or broadcast. The
     axes are random lines, so nothing is fitted. No vectors, no rows.
     """
-    rows = staged(vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["embedding"], F.coalesce(is_query, F.lit(False)).alias("is_query")).where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))), "vectors")
-    n, n_queries, dimensions = rows.agg(F.count("*"), F.count(F.when(F.col("is_query"), 1)), F.max(F.size("embedding"))).first()
+    asks = F.coalesce(is_query, F.lit(False))
+    known = vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["embedding"], asks.alias("asks"))
+    known = known.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
+    counted = known.groupBy("vec_id", "embedding").agg(F.count("*").alias("copies"), F.count_if("asks").alias("asks"))
+    rows = staged(counted.withColumns({"digest": F.xxhash64("vec_id", "embedding"), "length": F.size("embedding")}), "vectors")
+    n, n_queries = rows.agg(F.count("*"), F.count_if(F.col("asks") > 0)).first()
     blocks, query_blocks = max(1, -(-n // block)), max(1, -(-n_queries // query_block))
-    lines = np.random.default_rng(seed).standard_normal((dimensions or 1, axes))
     deal = lambda kinds, salt: F.pmod(F.xxhash64("vec_id", "embedding", F.lit(salt)), F.lit(kinds)).cast("int")
     every = lambda kinds: F.explode(F.sequence(F.lit(0), F.lit(kinds - 1)))
-    base = rows.select("vec_id", "embedding", deal(blocks, 1).alias("b"), every(query_blocks).alias("q"))
-    asked = rows.where("is_query").select("vec_id", "embedding", deal(query_blocks, 2).alias("q")).withColumn("b", every(blocks))
+    facts = ["vec_id", "embedding", "digest", "length"]
+    base = rows.select(*facts, "copies", deal(blocks, 1).alias("b"), every(query_blocks).alias("q"))
+    asked = rows.where("asks > 0").select(*facts, "asks", deal(query_blocks, 2).alias("q")).withColumn("b", every(blocks))
+    shape = "query_id long, query_digest long, asks long, vec_id long, score double, copies long"
 
     def search(some: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[int, int, float]] = []
+        found: list[tuple[int, int, int, int, float, int]] = []
         if len(some) and len(queries):
-            some, queries = some.sort_values("vec_id", kind="stable"), queries.sort_values("vec_id", kind="stable")
-            ids = some["vec_id"].to_numpy()
+            order = ["vec_id", "digest"]
+            some, queries = some.sort_values(order, kind="stable"), queries.sort_values(order, kind="stable")
+            ids, digests, copies = (some[c].to_numpy() for c in ("vec_id", "digest", "copies"))
             units, points = unit_rows(some["embedding"]), unit_rows(queries["embedding"])
+            lines = np.random.default_rng(seed).standard_normal((units.shape[1], axes))
             searched = search_block(units, points, k, lines, frequent, sigma, 0.1, 2.0)
-            for query_id, point, (at, cosines) in zip(queries["vec_id"], points, searched):
-                other = ids[at] != query_id
-                at, cosines = at[other], cosines[other]
+            for query, digest, asks, point, (at, cosines) in zip(queries["vec_id"], queries["digest"], queries["asks"], points, searched):
+                left = copies[at] - ((ids[at] == query) & (digests[at] == digest))  # all but the query's own row
+                at, cosines, left = at[left > 0], cosines[left > 0], left[left > 0]
                 if len(at) > k:  # what can be among the best, measured anew so that ties are exact
-                    at = at[cosines >= np.partition(cosines, len(at) - k)[len(at) - k] - 1e-9]
+                    good = cosines >= np.partition(cosines, len(at) - k)[len(at) - k] - 1e-9
+                    at, left = at[good], left[good]
                 exact = (units[at] * point).sum(axis=1)
-                best = np.lexsort((ids[at], -exact))[:k]
-                found += [(int(query_id), int(ids[at[i]]), float(exact[i])) for i in best]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
-
-    pairs = base.groupBy("b", "q").cogroup(asked.groupBy("b", "q")).applyInPandas(search, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                for i in np.lexsort((ids[at], -exact))[:k]:
+                    found.append((int(query), int(digest), int(asks), int(ids[at[i]]), float(exact[i]), min(k, int(left[i]))))
+        return pd.DataFrame(found, columns=["query_id", "query_digest", "asks", "vec_id", "score", "copies"])
+
+    keys = ["length", "b", "q"]
+    pairs = base.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(search, shape)
+    each = pairs.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    order = Window.partitionBy("query_id", "query_digest").orderBy(F.col("score").desc(), "vec_id")
+    best = each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    repeated = best.withColumn("ask", F.explode(F.sequence(F.lit(1).cast("long"), F.col("asks"))))
+    return repeated.select("query_id", "rank", "vec_id", "score")
 
 
 def recall(found: DataFrame, exact: DataFrame) -> float:

@@ -43,3 +43,19 @@ def test_odd_rows(spark):
     few = df.where("vec_id in (0, 1, 2)")
     assert nearest(few, few["vec_id"] == 0).count() == 2
     assert nearest(df.limit(0), df.limit(0)["vec_id"] == 0).count() == 0
+
+
+def test_repeated_rows_and_lengths(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in np.float32(rng.standard_normal(6))]) for i in range(1, 30)]
+    rows += [(50, rows[0][1])] * 3 + [(100, [1.0, 2.0, 3.0]), (101, [3.0, 2.0, 1.0]), (100, rows[4][1])] + [(31, rows[7][1])] * 9 + [(150, rows[7][1])]
+    df = spark.createDataFrame([(i, v, 1, "clash") for i, v in rows], SCHEMA).repartition(3)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in nearest(df, df["vec_id"] % 50 == 0, block=16, query_block=2).collect())
+    want = []
+    for at, (i, v) in enumerate(rows):
+        if i % 50 == 0:
+            q = np.asarray(v)
+            near = sorted((-round(float(q @ w / np.linalg.norm(q) / np.linalg.norm(w)), 12), j) for b, (j, w) in enumerate(rows) if b != at and len(w) == len(v))
+            want += [(i, rank, j, round(-s, 9)) for rank, (s, j) in enumerate(near[:5], 1)]
+    assert got == sorted(want)
+    assert sum(q == 50 for q, *_ in got) == 15 and sum(q == 100 for q, *_ in got) == 6
