@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,14 @@ def block_budgets(dimensions: int, blocks: int, threshold: float) -> np.ndarray:
     return (2 - 2 * threshold + _SLACK) * np.diff(block_edges(dimensions, blocks)) / dimensions
 
 
+@cache
+def geometry(dimensions: int, most_blocks: int, threshold: float) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+    """(edges, budgets, rotation, cell widths) for vectors of one length; no block is empty."""
+    blocks = min(most_blocks, dimensions)
+    budgets = block_budgets(dimensions, blocks, threshold)
+    return block_edges(dimensions, blocks), budgets, rotation(dimensions), np.sqrt(budgets + 2 * _SLACK)
+
+
 def first_block(a: np.ndarray, b: np.ndarray, edges: list[int], budgets: np.ndarray, upto: int) -> np.ndarray:
     """For pairs of rotated rows: whether no block before ``upto`` is within budget."""
     fresh = np.ones(len(a), bool)
@@ -88,8 +97,8 @@ def near_embeddings(vectors: DataFrame, threshold: float = 0.93, blocks: int = 4
     Returns per row vec_id, n_links (other rows linked directly), component_id (smallest vec_id
     reachable, itself included) and kept (vec_id = component_id). Null labels, null ids, and vectors
     that are null, zero or hold null or non-finite components, link with nothing. Equal vectors of a label
-    are joined once and count as often as they occur. Within a label all vectors must have one
-    length. No vectors, no rows; other columns are not read.
+    are joined once and count as often as they occur. A label may be of any type that groups; only
+    vectors of one length are compared. No vectors, no rows; other columns are not read.
 
     Rotated unit vectors are cut into ``blocks``; each block is joined by ranges on a grid over its
     first two coordinates, cells as wide as the block's radius, so partners lie in the same or a
@@ -97,24 +106,22 @@ def near_embeddings(vectors: DataFrame, threshold: float = 0.93, blocks: int = 4
     tasks' work. A pair within budget in several blocks counts in the first. Tasks return counts and
     one edge per linked vector, never all pairs.
     """
-    ids = vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["embedding"].cast("array<double>").alias("embedding"), vectors["label"].cast("long").alias("label"))
+    ids = vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["embedding"].cast("array<double>").alias("embedding"), vectors["label"].cast("string").alias("label"))
+    ids = ids.withColumn("label", F.concat("label", F.lit("/"), F.size("embedding")))
     fine = usable(F.col("embedding")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     groups = staged(ids.where(fine).groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "vectors")
-    dimensions = groups.agg(F.max(F.size("embedding"))).first()[0] or blocks
-    edges, budgets = block_edges(dimensions, blocks), block_budgets(dimensions, blocks, threshold)
-    turn, widths = rotation(dimensions), np.sqrt(budgets + 2 * _SLACK)
 
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            if not len(frame):
-                continue
-            rotated = unit_rows(frame["embedding"]) @ turn
-            for k in range(blocks):
-                x = np.floor(rotated[:, edges[k]] / widths[k])
-                y = np.floor(rotated[:, min(edges[k] + 1, edges[k + 1] - 1)] / widths[k])
-                yield frame[["label", "node"]].assign(block=k, x=x.astype(np.int64), y=y.astype(np.int64))
-
-    placed = staged(groups.select("label", "node", "embedding").mapInPandas(cells, "label long, node long, block int, x long, y long"), "cells")
+            for dimensions, some in frame.groupby(frame["embedding"].map(len)):
+                edges, _, turn, widths = geometry(int(dimensions), blocks, threshold)
+                rotated = unit_rows(some["embedding"]) @ turn
+                for k, width in enumerate(widths):
+                    x = np.floor(rotated[:, edges[k]] / width)
+                    y = np.floor(rotated[:, min(edges[k] + 1, edges[k + 1] - 1)] / width)
+                    yield some[["label", "node"]].assign(block=k, x=x.astype(np.int64), y=y.astype(np.int64))
+
+    placed = staged(groups.select("label", "node", "embedding").mapInPandas(cells, "label string, node long, block int, x long, y long"), "cells")
     cell = ["label", "block", "x", "y"]
     sizes = placed.groupBy(*cell).agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
     # partners of a cell: itself and four of its eight neighbours, so that each pair of cells meets once
@@ -142,6 +149,7 @@ def near_embeddings(vectors: DataFrame, threshold: float = 0.93, blocks: int = 4
         b = a if same else frame[~frame["left"]].sort_values("node")
         if not len(a) or not len(b):
             return pd.DataFrame({"node": [], "links": [], "root": []})
+        edges, budgets, turn, _ = geometry(len(a["embedding"].iloc[0]), blocks, threshold)
         i, j = linked_pairs(unit_rows(a["embedding"]), unit_rows(b["embedding"]), same, turn, edges, budgets, int(first["block"]), threshold)
         nodes = np.concatenate([a["node"].to_numpy(), b["node"].to_numpy()])
         names, index = np.unique(nodes, return_inverse=True)

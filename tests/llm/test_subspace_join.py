@@ -58,3 +58,18 @@ def test_given_vectors_and_empty_table(spark):
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in vectors.collect()]
     assert result(near_embeddings(vectors)) == brute(rows)
     assert near_embeddings(frame(spark, rows[:3]).limit(0)).count() == 0
+
+
+def test_lengths_and_text_labels(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(160):
+        size = (1, 2, 3, 9)[i % 4]
+        v = np.ones(size) * (1 if i % 3 else -1) + rng.standard_normal(size) * 0.1
+        rows.append((i, [float(x) for x in np.float32(v)], ("a", "b/9", "")[i % 5 % 3]))
+    want = {}
+    for size in (1, 2, 3, 9):
+        want |= brute([r for r in rows if len(r[1]) == size])
+    df = spark.createDataFrame([(i, v, y, "clash", 1) for i, v, y in rows], SCHEMA.replace("label int", "label string")).repartition(3)
+    assert result(near_embeddings(df)) == want
+    assert sum(n for n, _, _ in want.values()) > 500
