@@ -62,18 +62,18 @@ def downsample_positions(vp: DataFrame, every: str = "1 second", ts: str = "snap
     """Per vehicle and time bucket: first position and mean speed, buckets aligned to the epoch.
 
     Of several rows of one vehicle at the very same time the smallest (latitude, longitude) comes
-    first. The tie is settled per time, then the earliest time of a bucket is taken.
+    first. The tie is settled per place, then per time, by plain minima: every step is a hash
+    aggregation with a map-side part, never a sort.
     """
-    located = vp.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).withColumn("_place", F.struct("lat", "lon"))
-    # per exact time first, so that a tie is settled before the earliest time is taken
-    at_once = located.groupBy("vehicle_id", ts).agg(
-        F.min("_place")["lat"].alias("latitude"), F.min("_place")["lon"].alias("longitude"), F.sum("speed").alias("_sum"), F.count("speed").alias("_speeds"), F.count("*").alias("n")
+    speeds = [F.sum("_sum").alias("_sum"), F.sum("_speeds").alias("_speeds"), F.sum("n").alias("n")]
+    located = vp.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    at_place = located.groupBy("vehicle_id", ts, "lat").agg(
+        F.min("lon").alias("lon"), F.sum("speed").alias("_sum"), F.count("speed").alias("_speeds"), F.count("*").alias("n")
     )
+    at_once = at_place.groupBy("vehicle_id", ts).agg(F.min("lat").alias("latitude"), F.min_by("lon", "lat").alias("longitude"), *speeds)
     reduced = at_once.groupBy("vehicle_id", F.window(F.col(ts), every)).agg(
-        F.min_by("latitude", ts).alias("latitude"),
-        F.min_by("longitude", ts).alias("longitude"),
-        (F.sum("_sum") / F.sum("_speeds")).alias("speed"),
-        F.sum("n").alias("n"),
+        F.min_by("latitude", ts).alias("latitude"), F.min_by("longitude", ts).alias("longitude"), *speeds
     )
+    reduced = reduced.withColumn("speed", F.col("_sum") / F.col("_speeds"))
     start = F.col("window.start").cast("timestamp_ntz").alias(ts)
     return reduced.select("vehicle_id", start, "latitude", "longitude", "speed", "n")

@@ -62,10 +62,12 @@ def static_documents(rows: DataFrame, feed_url: Column | None = None, parts: int
     """(name, content): schedule tables nested in one JSON document per feed.
 
     Input is (label, stamp, table, line_no, row MAP). ``parts`` is as in
-    ``snapshot_documents``. Records keep file order inside a document.
+    ``snapshot_documents``. Records keep file order inside a document; those without a line number
+    come last, in order of their content. A row with neither number nor record names an empty table.
     """
     keyed = rows.select("label", "stamp", "table", "line_no", "row", (feed_url or F.lit(None).cast("string")).alias("feed_url"))
-    record = F.when(F.col("line_no").isNotNull(), F.struct("line_no", F.map_entries("row").alias("entries")))
+    numbered = F.struct(F.col("line_no").isNull().alias("late"), "line_no", F.map_entries("row").alias("entries"))
+    record = F.when(F.col("line_no").isNotNull() | F.col("row").isNotNull(), numbered)  # else a table without records
     keyed = keyed.select("label", "stamp", "feed_url", "table", record.alias("_record"))
     dealt = in_parts(keyed, ["label", "stamp", "feed_url", "table"], parts, ["_record"])
     per_table = dealt.groupBy("label", "stamp", "feed_url", "part", "table").agg(

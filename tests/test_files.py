@@ -214,6 +214,16 @@ def test_static_documents_in_parts(spark, tmp_path):
         assert got == list(range(100))
 
 
+def test_schedule_rows_without_a_line_number_are_kept(spark):
+    schema = "label string, stamp string, table string, line_no bigint, row map<string,string>"
+    rows = [("f", "20251114_214913", "stops", n, {"stop_id": v}) for n, v in ((None, "z"), (2, "b"), (None, "y"), (1, "a"), (None, "y"))]
+    df = spark.createDataFrame([*rows, ("f", "20251114_214913", "trips", None, None)], schema)
+    whole = json.loads(documents.static_documents(df).first().content)
+    assert [r["stop_id"] for r in whole["tables"]["stops"]] == ["a", "b", "y", "y", "z"] and whole["tables"]["trips"] == []
+    parts = [json.loads(r.content)["tables"].get("stops", []) for r in documents.static_documents(df, parts=3).collect()]
+    assert sorted(r["stop_id"] for part in parts for r in part) == ["a", "b", "y", "y", "z"]
+
+
 def test_damage_is_reported(spark, archive_dir):
     rows = archives.scan_archives(spark, archive_dir)
     broken = {r.archive.rsplit("/", 1)[1] for r in rows.where("problem is not null").collect()}

@@ -57,6 +57,17 @@ def test_downsampling_keeps_the_first_position(spark):
     assert got == [(1.0, 10.0, 2.0, 2), (3.0, 30.0, None, 1)]
 
 
+def test_downsampling_settles_ties_without_sorting(spark):
+    vp = positions(
+        spark, ("v", at("10:00:00"), 2.0, 1.0, 3.0), ("v", at("10:00:00"), 1.0, 9.0, None), ("v", at("10:00:00"), 1.0, 8.0, 5.0),
+        (None, at("10:00:00"), 4.0, 4.0, None), ("v", None, 0.0, 0.0, 1.0),
+    )
+    down = activity.downsample_positions(vp)
+    assert sorted((tuple(r)[2:] for r in down.where("snapshot_ts_jst is not null").collect()), key=str) == [(1.0, 8.0, 4.0, 3), (4.0, 4.0, None, 1)]
+    plan = down._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("HashAggregate") == 6
+
+
 def test_filter_counts(spark):
     df = spark.createDataFrame([(1,), (None,), (3,)], "v INT")
     row = activity.filter_counts(df, big=F.col("v") > 2, known=F.col("v").isNotNull()).first()
