@@ -189,8 +189,7 @@ def payloads(spark: SparkSession, sf_dir: str, feed_type: str) -> DataFrame:
     rows = cycle_rows(spark, sf_dir, feed_type)
     fields = ["trip_id", "route_id", "vehicle_id"]
     extra = ["delay"] if feed_type == "trip_updates" else [position_struct().alias("position")]
-    keyed = rows.select(*_KEYS, F.struct(entity_id().alias("id"), *fields, F.col("item_time").alias("timestamp"), *extra).alias("_item"))
-    grouped = in_parts(keyed, _KEYS, 1, ["_item"]).groupBy(*_KEYS, "part").agg(F.collect_list("_item").alias("entities"))
+    keyed = rows.select(*_KEYS, F.struct(entity_id().alias("id"), *fields, F.col("item_time").alias("timestamp"), *extra).alias("entity"))
+    encoded = encode_entities(in_parts(keyed, _KEYS, 1, ["entity"]), [*_KEYS, "part"])
     name = artifact_name(F.lit("rt_raw"), F.col("feed_type"), F.col("label"), F.col("stamp"))
-    placed = grouped.withColumn("name", F.concat(F.format_string("part-%06d/", "part"), name))
-    return encode_entities(placed, ["name", "feed_type", "timestamp"]).select("name", "content")
+    return encoded.select(F.concat(F.format_string("part-%06d/", "part"), name).alias("name"), "content")

@@ -43,6 +43,20 @@ def read_payloads(spark: SparkSession, base: str, pattern: str) -> DataFrame:
     )
 
 
+#: Python workers get and write files in pieces of this size, so what they hold does not follow the file.
+PIECE_BYTES = 1 << 20
+
+
+def in_pieces(files: DataFrame, *columns: str) -> DataFrame:
+    """(columns…, piece, content): each ``content`` cut into pieces, numbered from 0, at least one a file.
+
+    The pieces of a file stay in its task, in order.
+    """
+    last = F.greatest(F.ceil(F.octet_length("content") / PIECE_BYTES).cast("int") - 1, F.lit(0))
+    cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.substr("content", i * PIECE_BYTES + 1, F.lit(PIECE_BYTES)))
+    return files.select(*columns, F.posexplode(cut).alias("piece", "content"))
+
+
 class _NamedFilesWriter(DataSourceWriter):
     def __init__(self, base: str):
         self.base = base
@@ -50,7 +64,9 @@ class _NamedFilesWriter(DataSourceWriter):
     def write(self, rows) -> WriterCommitMessage:
         filesystem, root = open_filesystem(self.base)
         made = set()
-        for row in rows:
+        rows = iter(rows)
+        row = next(rows, None)
+        while row is not None:
             target = posixpath.join(root, row["name"])
             folder, leaf = posixpath.split(target)
             if folder not in made:
@@ -60,19 +76,21 @@ class _NamedFilesWriter(DataSourceWriter):
             staged = posixpath.join(folder, f".{leaf}.{uuid.uuid4().hex}")
             with filesystem.open_output_stream(staged, compression=None) as sink:
                 sink.write(bytes(row["content"]))
+                while (row := next(rows, None)) is not None and row["piece"] > 0:
+                    sink.write(bytes(row["content"]))
             filesystem.move(staged, target)
         return WriterCommitMessage()
 
 
 class NamedFiles(DataSource):
-    """Sink: each row ``(name STRING, content BINARY)`` becomes the file ``path/name``."""
+    """Sink: the rows ``(name STRING, piece INT, content BINARY)`` from piece 0 on become the file ``path/name``."""
 
     @classmethod
     def name(cls) -> str:
         return "named_files"
 
     def schema(self) -> str:
-        return "name STRING, content BINARY"
+        return "name STRING, piece INT, content BINARY"
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
         return _NamedFilesWriter(self.options["path"])
@@ -80,10 +98,10 @@ class NamedFiles(DataSource):
 
 def write_named_files(files: DataFrame, base: str) -> None:
     """Write every ``(name, content)`` row as its own file below ``base``."""
-    files.sparkSession.dataSource.register(NamedFiles)
-    (
-        files.select(F.col("name").cast("string"), F.col("content").cast("binary"))
-        .write.format("named_files")
-        .mode("append")
-        .save(base)
-    )
+    write_pieces(in_pieces(files.select(F.col("name").cast("string"), F.col("content").cast("binary")), "name"), base)
+
+
+def write_pieces(pieces: DataFrame, base: str) -> None:
+    """Write files that come as rows ``(name, piece, content)``, those of a file one after another in one task."""
+    pieces.sparkSession.dataSource.register(NamedFiles)
+    pieces.select("name", "piece", "content").write.format("named_files").mode("append").save(base)

@@ -5,6 +5,7 @@ import json
 import tarfile
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from feedloom.operators.reports import document_log, ingest_report, static_profi
 from feedloom.plans import normalise
 from feedloom.session import fresh_dir, shared_dir
 from feedloom.sources import archives, bronze, documents, protobuf, snapshots, static
-from feedloom.sources.files import read_payloads, write_named_files
+from feedloom.sources.files import PIECE_BYTES, in_pieces, read_payloads, write_named_files
 
 
 def document(agency, trip, timestamp=1763124553):
@@ -240,6 +241,73 @@ def test_one_large_archive_is_read_by_several_tasks(spark, tmp_path):
     assert rows.select(F.spark_partition_id().alias("p")).distinct().count() >= 4 and rows.count() == 64
 
 
+def test_files_are_cut_into_pieces_and_written_whole(spark, tmp_path):
+    texts = {"a/empty": b"", "a/one": b"x" * PIECE_BYTES, "a/more": bytes(range(256)) * (PIECE_BYTES // 100)}
+    rows = spark.createDataFrame(list(texts.items()), "name string, content binary")
+    sizes = in_pieces(rows, "name").groupBy("name").agg(F.count("*").alias("n"), F.max(F.octet_length("content")).alias("most")).collect()
+    assert {r["name"]: (r.n, r.most) for r in sizes} == {"a/empty": (1, 0), "a/one": (1, PIECE_BYTES), "a/more": (3, PIECE_BYTES)}
+    write_named_files(rows, str(tmp_path))
+    assert {f"a/{p.name}": p.read_bytes() for p in (tmp_path / "a").iterdir()} == texts
+
+
+def _positions(n):
+    feed = protobuf.feed_message_class()()
+    feed.header.gtfs_realtime_version, feed.header.timestamp = "2.0", 1763124553
+    for i in range(n):
+        vehicle = feed.entity.add(id=f"e{i}").vehicle
+        vehicle.trip.trip_id, vehicle.trip.route_id, vehicle.vehicle.id, vehicle.timestamp = f"t{i}", "r", "v", 1763124553 + i
+        if i % 3:
+            vehicle.position.latitude = i
+    return feed
+
+
+def test_a_large_payload_is_decoded_in_stretches(monkeypatch):
+    whole, parsed = protobuf.feed_message_class(), []
+    data = _positions(30_000).SerializeToString()
+    late = whole()  # a header that ends the payload adds to the first one
+    late.header.timestamp = 7
+
+    class Watched:
+        def __new__(cls):
+            feed = whole()
+
+            class Feed:
+                ParseFromString = staticmethod(lambda text: (parsed.append(len(text)), feed.ParseFromString(text)))
+                __getattr__ = lambda self, name: getattr(feed, name)
+
+            return Feed()
+
+    monkeypatch.setattr(protobuf, "feed_message_class", lambda: Watched)
+    texts = {"whole": data + late.SerializeToString(), "cut": data[:-1], "unknown": b"\x7b\x08\x01\x7c" + data[:20], "odd": b"\x98\x06\x05" + data, "none": b""}
+    decode = protobuf._decoder("vehicle", protobuf._position_values, "vehicle_positions", protobuf._POSITION_TYPE)
+    got = {r["path"]: r for b in decode(iter([pa.record_batch({"path": list(texts), "content": list(texts.values())})])) for r in b.to_pylist()}
+    assert max(parsed) < 2 * protobuf._STRETCH_BYTES < len(data)
+    for name, text in texts.items():
+        feed, row = whole(), got[name]
+        try:
+            feed.ParseFromString(text)
+        except Exception:
+            assert name in ("cut", "unknown") and (row["timestamp"], row["gtfs_realtime_version"], row["vehicle_positions"]) == (None, None, None)
+            continue
+        assert (row["timestamp"], row["gtfs_realtime_version"]) == (feed.header.timestamp, feed.header.gtfs_realtime_version)
+        assert row["vehicle_positions"] == [protobuf._position_values(e.vehicle) for e in feed.entity]
+
+
+def test_payloads_are_built_row_by_row(spark):
+    item = "struct<id: string, trip_id: string, route_id: string, vehicle_id: string, timestamp: bigint, position: struct<latitude: double>>"
+    n, feed = 25_000, _positions(25_000)
+    value = F.struct(
+        F.concat(F.lit("e"), "id").alias("id"), F.concat(F.lit("t"), "id").alias("trip_id"), F.lit("r").alias("route_id"), F.lit("v").alias("vehicle_id"),
+        (F.col("id") + 1763124553).alias("timestamp"), F.when(F.col("id") % 3 > 0, F.struct(F.col("id").cast("double").alias("latitude"))).alias("position"),
+    ).cast(item)
+    keyed = lambda label, rows, entity: rows.select(F.lit(label).alias("label"), F.lit("vehicle_positions").alias("feed_type"), F.lit(1763124553).cast("bigint").alias("timestamp"), entity.alias("entity"))
+    rows = keyed("full", spark.range(n), value).unionByName(keyed("empty", spark.range(2), F.lit(None).cast(item)))
+    got = {r.label: protobuf.feed_message_class().FromString(bytes(r.content)) for r in protobuf.encode_entities(rows, ["label", "feed_type", "timestamp"]).collect()}
+    order = lambda found: sorted(e.SerializeToString() for e in found.entity)
+    assert got["full"].header.SerializeToString() == got["empty"].header.SerializeToString() == feed.header.SerializeToString()
+    assert order(got["full"]) == order(feed) and len(got["empty"].entity) == 0
+
+
 def test_payloads_to_bronze_report_what_cannot_be_read(spark, tmp_path):
     (tmp_path / "gtfs_rt_trip_updates_a_20251114_214913.pb").write_bytes(b"\xff\xff\xff")
     payloads = read_payloads(spark, str(tmp_path), "*.pb")
