@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from feedloom.functions.names import artifact_name
 from feedloom.plans.views import view
 from feedloom.session import fresh_dir
 from feedloom.sources.documents import in_parts, snapshot_documents, write_documents
-from feedloom.sources.files import write_named_files
+from feedloom.sources.files import PIECE_BYTES, in_pieces, write_named_files, write_pieces
 from feedloom.sources.protobuf import encode_entities
 
 _KEYS = ["feed_type", "label", "stamp", "timestamp"]
@@ -116,42 +117,63 @@ def landing(spark: SparkSession, sf_dir: str, *feed_types: str) -> str:
 
 
 def _pack_tar(suffix: str, mode: str):
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
+    """Pieces of archives from pieces of documents; an archive ends with the document that fills it."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tarfile
 
         from pyspark import TaskContext
 
-        task, number, held, buffer, tar = TaskContext.get().partitionId(), 0, 0, None, None
+        class Sink:
+            data = bytearray()
+            write = data.extend
 
-        def finished():
-            tar.close()
-            return pd.DataFrame({"name": [f"pack-{task:06d}-{number:04d}{suffix}"], "content": [buffer.getvalue()]})
+        task, number, piece, held, sink, tar = TaskContext.get().partitionId(), 0, 0, 0, Sink(), None
+
+        def put(data: bytes) -> None:
+            tar.fileobj.write(data)
+            tar.offset += len(data)
+
+        def given_out() -> pa.RecordBatch:
+            content = [bytes(sink.data)]
+            sink.data.clear()
+            return pa.record_batch({"name": [f"pack-{task:06d}-{number:04d}{suffix}"], "piece": pa.array([piece], pa.int32()), "content": content})
 
         for batch in batches:
-            for name, part, content in zip(batch["name"], batch["part"], batch["content"]):
+            for name, part, size, at, content in zip(*[batch[c] for c in ("name", "part", "size", "piece", "content")]):
                 if tar is None:
-                    buffer = io.BytesIO()
-                    tar = tarfile.open(fileobj=buffer, mode=mode)
-                data = content.encode("utf-8")
-                info = tarfile.TarInfo(f"feeds/{part:06d}/{name.rsplit('/', 1)[-1]}")
-                info.size = len(data)
-                tar.addfile(info, io.BytesIO(data))
-                held += len(data)
-                if held >= PACK_BYTES:
-                    yield finished()
-                    number, held, tar = number + 1, 0, None
+                    tar = tarfile.open(fileobj=sink, mode=mode, bufsize=PIECE_BYTES)
+                if at.as_py() == 0:
+                    info = tarfile.TarInfo(f"feeds/{part.as_py():06d}/{name.as_py().rsplit('/', 1)[-1]}")
+                    info.size = left = size.as_py()
+                    # The member's header alone: its content follows piece by piece.
+                    put(info.tobuf(tar.format, tar.encoding, tar.errors))
+                    held += info.size
+                data = content.as_py()
+                put(data)
+                left -= len(data)
+                if left == 0:
+                    put(bytes(-info.size % tarfile.BLOCKSIZE))
+                    if held >= PACK_BYTES:
+                        tar.close()
+                        yield given_out()
+                        number, piece, held, tar = number + 1, 0, 0, None
+                if len(sink.data) >= PIECE_BYTES:
+                    yield given_out()
+                    piece += 1
         if tar is not None:
-            yield finished()
+            tar.close()
+            yield given_out()
 
     return pack
 
 
 def write_archives(docs: DataFrame, base: str, prefix: str = "plain", packed: bool = False) -> None:
     """Documents as ``.tar`` or ``.tar.gz`` archives of a few MB each."""
-    pack = _pack_tar(".tar.gz" if packed else ".tar", "w:gz" if packed else "w")
-    archives = docs.select("name", "part", "content").mapInPandas(pack, "name STRING, content BINARY")
-    write_named_files(archives.withColumn("name", F.concat(F.lit(f"{prefix}-"), "name")), base)
+    pack = _pack_tar(".tar.gz" if packed else ".tar", "w|gz" if packed else "w|")
+    texts = docs.select("name", "part", F.col("content").cast("binary")).withColumn("size", F.octet_length("content"))
+    archives = in_pieces(texts, "name", "part", "size").mapInArrow(pack, "name STRING, piece INT, content BINARY")
+    write_pieces(archives.withColumn("name", F.concat(F.lit(f"{prefix}-"), "name")), base)
 
 
 def _pack_zip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

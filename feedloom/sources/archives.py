@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,38 +58,62 @@ def _index_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame(found, columns=_INDEX_COLUMNS)
 
 
-def _read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+class _Batches:
+    """Member rows given out in batches of about ``_BATCH_BYTES``; a larger member has one of its own, without copies."""
+
+    def __init__(self):
+        self.rows, self.held = [], 0
+
+    def add(self, archive: str, member: str | None, content: bytes | None, problem: str | None = None) -> Iterator[pa.RecordBatch]:
+        size = len(content or b"")
+        if self.held + size > _BATCH_BYTES:
+            yield from self.rest()
+        self.rows.append((archive, member, content, problem))
+        self.held += size
+        if self.held >= _BATCH_BYTES:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if not self.rows:
+            return
+        archives, members, contents, problems = zip(*self.rows)
+        self.rows, self.held = [], 0
+        if len(contents) == 1 and contents[0] is not None:
+            ends = pa.array([0, len(contents[0])], pa.int32()).buffers()[1]
+            column = pa.Array.from_buffers(pa.binary(), 1, [None, ends, pa.py_buffer(contents[0])])
+        else:
+            column = pa.array(contents, pa.binary())
+        texts = [pa.array(values, pa.string()) for values in (archives, members, problems)]
+        yield pa.record_batch([*texts[:2], column, texts[2]], names=_MEMBER_COLUMNS)
+
+
+def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for archive, wanted in batch.groupby("archive", sort=False):
+        for archive, wanted in batch.to_pandas().groupby("archive", sort=False):
             filesystem, target = open_filesystem(archive)
-            rows, held = [], 0
+            out = _Batches()
             with filesystem.open_input_file(target) as raw:
                 for member, offset, size, problem in zip(wanted["member"], wanted["offset"], wanted["size"], wanted["problem"]):
                     if problem is not None:
-                        rows.append((archive, None, None, problem))
+                        yield from out.add(archive, None, None, problem)
                         continue
                     content = raw.read_at(int(size), int(offset))
                     if len(content) < size:
-                        rows.append((archive, member, None, f"{len(content)} of {size} bytes"))
+                        yield from out.add(archive, member, None, f"{len(content)} of {size} bytes")
                         continue
-                    rows.append((archive, member, content, None))
-                    held += len(content)
-                    if held >= _BATCH_BYTES:
-                        yield pd.DataFrame(rows, columns=_MEMBER_COLUMNS)
-                        rows, held = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=_MEMBER_COLUMNS)
+                    yield from out.add(archive, member, content)
+            yield from out.rest()
 
 
-def _stream_members(batches: Iterator[pd.DataFrame], marks: tuple[str, ...]) -> Iterator[pd.DataFrame]:
+def _stream_members(batches: Iterator[pa.RecordBatch], marks: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
     import lzma
     import tarfile
     import zlib
 
     for batch in batches:
-        for path in batch["path"]:
+        for path in batch["path"].to_pylist():
             filesystem, target = open_filesystem(path)
-            rows, held = [], 0
+            out = _Batches()
             try:
                 with (
                     filesystem.open_input_stream(target, compression=None) as raw,
@@ -99,16 +124,10 @@ def _stream_members(batches: Iterator[pd.DataFrame], marks: tuple[str, ...]) ->
                         # Members of no selected feed are passed over without being kept.
                         if not _wanted(member) or not any(mark in member.name for mark in marks):
                             continue
-                        content = tar.extractfile(member).read()
-                        rows.append((path, member.name, content, None))
-                        held += len(content)
-                        if held >= _BATCH_BYTES:
-                            yield pd.DataFrame(rows, columns=_MEMBER_COLUMNS)
-                            rows, held = [], 0
+                        yield from out.add(path, member.name, tar.extractfile(member).read())
             except (tarfile.TarError, EOFError, ValueError, zlib.error, lzma.LZMAError) as error:
-                rows.append((path, None, None, str(error) or type(error).__name__))
-            if rows:
-                yield pd.DataFrame(rows, columns=_MEMBER_COLUMNS)
+                yield from out.add(path, None, None, str(error) or type(error).__name__)
+            yield from out.rest()
 
 
 def archive_index(spark: SparkSession, base: str, pattern: str = "*.tar*") -> DataFrame:
@@ -138,12 +157,12 @@ def scan_archives(spark: SparkSession, base: str, pattern: str = "*.tar*", selec
     index = archive_index(spark, base, pattern).where(wanted)
     # A given number of partitions is left alone, so members of one archive stay spread.
     spread = index.select(*_INDEX_COLUMNS).repartition(_read_tasks(index), "archive", "member", "offset")
-    plain = spread.mapInPandas(_read_members, _MEMBERS)
+    plain = spread.mapInArrow(_read_members, _MEMBERS)
 
     packed_paths = list_files(spark, base, pattern).where(_is_compressed(F.col("path"))).select("path")
     # Parsing costs more than inflating, so the members of one archive are spread out for it.
     stream = lambda batches: _stream_members(batches, marks)
-    packed = packed_paths.mapInPandas(stream, _MEMBERS).where(wanted).repartition("archive", "member")
+    packed = packed_paths.mapInArrow(stream, _MEMBERS).where(wanted).repartition("archive", "member")
 
     return plain.unionByName(packed).select(
         "archive",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from feedloom import cli
 from feedloom.functions.clock import ts_to_stamp
 from feedloom.operators.reports import document_log, ingest_report, static_profile
-from feedloom.plans import normalise
+from feedloom.plans import fixtures, normalise
 from feedloom.session import fresh_dir, shared_dir
 from feedloom.sources import archives, bronze, documents, protobuf, snapshots, static
 from feedloom.sources.files import PIECE_BYTES, in_pieces, read_payloads, write_named_files
@@ -250,6 +250,24 @@ def test_files_are_cut_into_pieces_and_written_whole(spark, tmp_path):
     assert {f"a/{p.name}": p.read_bytes() for p in (tmp_path / "a").iterdir()} == texts
 
 
+@pytest.mark.parametrize("packed", [False, True])
+def test_archives_of_large_documents_are_built_and_read_in_bounded_batches(spark, tmp_path, packed):
+    sizes = [0, 511, 512, PIECE_BYTES, 3 * PIECE_BYTES + 7, 9 * PIECE_BYTES, 20 * PIECE_BYTES]
+    body = F.expr("concat_ws('', transform(sequence(0, cast(size / 32 as int)), i -> md5(cast(i * 1000 + size as string))))")
+    docs = spark.createDataFrame([(n,) for n in sizes], "size int").coalesce(2).select(
+        F.concat(F.lit("x/trip_updates_"), "size", F.lit(".json")).alias("name"), F.lit(0).alias("part"), F.substr(body, F.lit(1), F.col("size")).alias("content")
+    )
+    fixtures.write_archives(docs, str(tmp_path), packed=packed)
+    rows = archives.scan_archives(spark, str(tmp_path))
+    got = {r.member: (r.n, r.md5) for r in rows.select("member", F.length("content").alias("n"), F.md5("content").alias("md5"), "problem").where("problem is null").collect()}
+    assert rows.count() == len(sizes) and got == {f"feeds/000000/{r['name'][2:]}": (len(r.content), r.md5) for r in docs.withColumn("md5", F.md5("content")).collect()}
+    # A member above the batch size is alone in its batch, so no other content is held with it.
+    paths = [pa.record_batch({"path": sorted(str(p) for p in tmp_path.iterdir())})]
+    found = archives._stream_members(iter(paths), ("trip_update",)) if packed else archives._read_members(map(pa.RecordBatch.from_pandas, archives._index_members(b.to_pandas() for b in paths)))
+    held = [(b.num_rows, sum(len(c or b"") for c in b["content"].to_pylist())) for b in found]
+    assert all(size <= 16 * PIECE_BYTES or n == 1 for n, size in held) and sum(size for _, size in held) == sum(sizes)
+
+
 def _positions(n):
     feed = protobuf.feed_message_class()()
     feed.header.gtfs_realtime_version, feed.header.timestamp = "2.0", 1763124553
