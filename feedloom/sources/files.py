@@ -103,5 +103,11 @@ def write_named_files(files: DataFrame, base: str) -> None:
 
 def write_pieces(pieces: DataFrame, base: str) -> None:
     """Write files that come as rows ``(name, piece, content)``, those of a file one after another in one task."""
-    pieces.sparkSession.dataSource.register(NamedFiles)
-    pieces.select("name", "piece", "content").write.format("named_files").mode("append").save(base)
+    spark, limit = pieces.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.dataSource.register(NamedFiles)
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, str(16 * PIECE_BYTES))  # a worker holds a batch twice, as Arrow and as rows
+    try:
+        pieces.select("name", "piece", "content").write.format("named_files").mode("append").save(base)
+    finally:
+        spark.conf.set(limit, before)
